@@ -26,7 +26,7 @@ def _bracket(glob: str, start: int) -> tuple[str, int] | None:
     body = "".join(f"\\x{{{ord(a):x}}}-\\x{{{ord(b):x}}}" for a, b in spans)
     if negated:
         return f"[^/{body}]", end + 1
-    return (f"[{body}]" if spans else "[^\\x{0}-\\x{10ffff}]"), end + 1
+    return (f"(?!/)[{body}]" if spans else "(?!)"), end + 1
 
 
 def glob_to_regex(glob: str) -> str:

@@ -11,24 +11,23 @@ def bucket(path: Column) -> Column:
     return F.conv(F.substring(F.md5(path), 1, 3), 16, 10).cast("int")
 
 
-def with_new_ids(files: DataFrame, last_id: Column) -> DataFrame:
-    """Number the rows without id from ``last_id`` + 1 on, in (bucket, path) order.
+def numbered(new: DataFrame, id_column: str, last_id: Column) -> DataFrame:
+    """Give rows ids from ``last_id`` + 1 on, in (bucket, path) order.
 
     A global row_number would run in one task. Here every bucket numbers its own
     rows and starts where the buckets before it end; the table of starts has at
-    most BUCKETS rows, which is what makes broadcasting it safe.
+    most BUCKETS rows, which is what makes broadcasting it safe. ``new`` is read
+    twice, so it should be a written table.
     """
-    new = files.where("id IS NULL").withColumn("bucket", bucket(F.col("path")))
-    sizes = new.groupBy("bucket").count()
+    placed = new.withColumn("bucket", bucket(F.col("path")))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
+    starts = placed.groupBy("bucket").count().select(
         "bucket", (F.coalesce(F.sum("count").over(before), F.lit(0)) + last_id).alias("start")
     )
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy("path"))
-    numbered = (
-        new.withColumn("rank", rank)
+    return (
+        placed.withColumn("rank", rank)
         .join(F.broadcast(starts), "bucket")
-        .withColumn("id", (F.col("start") + F.col("rank")).cast("long"))
-        .select(*files.columns)
+        .withColumn(id_column, (F.col("start") + F.col("rank")).cast("long"))
+        .select(*new.columns)
     )
-    return files.where("id IS NOT NULL").unionByName(numbered)

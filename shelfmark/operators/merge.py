@@ -52,8 +52,12 @@ class Run:
         return F.timestamp_seconds(F.lit(int(instant.timestamp())))
 
 
-SEEN = F.col("visits").isNotNull
-KNOWN = F.col("old_known").isNotNull
+def is_seen() -> Column:
+    return F.col("visits").isNotNull()
+
+
+def is_known() -> Column:
+    return F.col("old_known").isNotNull()
 
 
 def matched(listing: DataFrame, prior: DataFrame) -> DataFrame:
@@ -97,8 +101,8 @@ def hash_action(run: Run) -> Column:
     The stored hash wins over the size cap: a cap set later does not drop it.
     """
     if not run.hashing:
-        return F.when(SEEN(), "skip")
-    chain = F.when(~SEEN(), None)
+        return F.when(is_seen(), "skip")
+    chain = F.when(~is_seen(), None)
     chain = chain.when(F.col("error").isNotNull(), "skip")
     chain = chain.when(F.col("category") == S.METADATA_CATEGORY, "skip")
     if not run.rehash:
@@ -114,8 +118,8 @@ def change_class(run: Run) -> Column:
     )
     return (
         F.when(is_stale(run), "missing")
-        .when(~SEEN(), "carried")
-        .when(~KNOWN(), "new")
+        .when(~is_seen(), "carried")
+        .when(~is_known(), "new")
         .when(unchanged, "unchanged")
         .otherwise("changed")
     )
@@ -132,9 +136,10 @@ def planned(rows: DataFrame, run: Run) -> DataFrame:
 def merged(rows: DataFrame, run: Run) -> DataFrame:
     """The next snapshot from planned rows that carry ``new_sha256`` and ``hash_error``.
 
-    Rows not known before have no id yet; see ``ids.with_new_ids``.
+    Rows not known before take their id from ``old_id`` as well, where the caller
+    has put a new one (see ``ids.numbered``), or have none.
     """
-    seen, stale = SEEN(), is_stale(run)
+    seen, stale = is_seen(), is_stale(run)
     if run.prune:
         rows = rows.where(~stale)
 
@@ -150,7 +155,7 @@ def merged(rows: DataFrame, run: Run) -> DataFrame:
 
     corpus = F.when(~seen, F.col("old_corpus"))
     if run.corpus_policy == "preserve":
-        corpus = corpus.when(KNOWN(), F.coalesce("old_corpus", F.lit(S.UNASSIGNED)))
+        corpus = corpus.when(is_known(), F.coalesce("old_corpus", F.lit(S.UNASSIGNED)))
 
     values = {c: now_or_old(c) for c in (
         "root", "rel_path", "top_folder", "filename", "ext", "fmt", "category",
@@ -162,7 +167,7 @@ def merged(rows: DataFrame, run: Run) -> DataFrame:
         "sha256": sha,
         "corpus": corpus.otherwise(S.UNASSIGNED),
         "run_id": F.when(seen, run.run_id).otherwise(F.col("old_run_id")),
-        "first_seen": F.when(KNOWN(), F.col("old_first_seen")).otherwise(run.timestamp),
+        "first_seen": F.when(is_known(), F.col("old_first_seen")).otherwise(run.timestamp),
         "last_seen": F.when(seen, run.timestamp).otherwise(F.col("old_last_seen")),
         "missing_since": F.when(~seen, F.col("old_missing_since")),
         "error": F.when(seen, F.coalesce("error", "hash_error")).otherwise(F.col("old_error")),
