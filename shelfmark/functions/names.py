@@ -1,11 +1,9 @@
-"""Column expressions that read everything a path tells: parts, format, corpus hint.
+"""Expressions that read everything a path tells: parts, format, corpus hint.
 
-All of them are built-in expressions, so they run inside whole-stage codegen and
-need no dimension table, join or broadcast.
+All of them are built-in SQL expressions over a named column, so they run inside
+whole-stage codegen and need no dimension table, join or broadcast.
 """
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,49 +11,53 @@ from shelfmark import schema as S
 from shelfmark.functions.globs import any_component_regex
 
 
-def rel_path(path: Column, root: Column) -> Column:
-    skip = F.length(root) + F.when(root.endswith("/"), 1).otherwise(2)
-    return F.substring(path, skip, F.length(path))
+def _quoted(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def rel_path(path: str, root: str) -> str:
+    return f"substring({path}, length({root}) + if(endswith({root}, '/'), 1, 2))"
 
 
-def filename(path: Column) -> Column:
-    return F.substring_index(path, "/", -1)
+def filename(path: str) -> str:
+    return f"substring_index({path}, '/', -1)"
 
 
-def top_folder(rel: Column) -> Column:
-    return F.when(F.contains(rel, F.lit("/")), F.substring_index(rel, "/", 1)).otherwise("")
+def top_folder(rel: str) -> str:
+    return f"if(contains({rel}, '/'), substring_index({rel}, '/', 1), '')"
 
 
-def extension(name: Column) -> Column:
-    return F.lower(F.regexp_extract(name, r"(?s)^.+[.]([^.]+)\z", 1))
+def extension(name: str) -> str:
+    return rf"lower(regexp_extract({name}, r'(?s)^.+[.]([^.]+)\z', 1))"
 
 
-def category(ext: Column) -> Column:
-    chain = F
-    for name, exts in S.EXTENSIONS.items():
-        chain = chain.when(ext.isin(*exts), name)
-    return chain.otherwise(S.OTHER_CATEGORY)
+def category(ext: str) -> str:
+    cases = " ".join(
+        f"WHEN {ext} IN ({_quoted(exts)}) THEN '{name}'" for name, exts in S.EXTENSIONS.items()
+    )
+    return f"CASE {cases} ELSE '{S.OTHER_CATEGORY}' END"
 
 
-def format_name(ext: Column) -> Column:
+def format_name(ext: str) -> str:
     known = [e for exts in S.EXTENSIONS.values() for e in exts]
-    chain = F.when(~ext.isin(*known), S.UNKNOWN_FORMAT)
-    for spelling, fmt in S.SAME_FORMAT.items():
-        chain = chain.when(ext == spelling, fmt)
-    return chain.otherwise(ext)
+    cases = " ".join(f"WHEN '{e}' THEN '{fmt}'" for e, fmt in S.SAME_FORMAT.items())
+    return (
+        f"CASE WHEN {ext} NOT IN ({_quoted(known)}) THEN '{S.UNKNOWN_FORMAT}'"
+        f" ELSE CASE {ext} {cases} ELSE {ext} END END"
+    )
 
 
-def eligible(cat: Column) -> Column:
-    return cat.isin(*S.ELIGIBLE_CATEGORIES).cast("int")
+def eligible(cat: str) -> str:
+    return f"int({cat} IN ({_quoted(S.ELIGIBLE_CATEGORIES)}))"
 
 
-def corpus_hint(text: Column) -> Column:
-    low = F.lower(text)
-    chain = F
-    for corpus, needles in S.CORPUS_KEYWORDS:
-        found = reduce(lambda a, b: a | b, (F.contains(low, F.lit(n)) for n in needles))
-        chain = chain.when(found, corpus)
-    return chain.otherwise(S.UNASSIGNED)
+def corpus_hint(text: str) -> str:
+    cases = " ".join(
+        "WHEN " + " OR ".join(f"contains(lower({text}), '{n}')" for n in needles)
+        + f" THEN '{corpus}'"
+        for corpus, needles in S.CORPUS_KEYWORDS
+    )
+    return f"CASE {cases} ELSE '{S.UNASSIGNED}' END"
 
 
 def excluded(rel: Column, globs) -> Column:
@@ -65,35 +67,36 @@ def excluded(rel: Column, globs) -> Column:
     return rel.rlike(any_component_regex(globs))
 
 
-def walk_key(rel: Column) -> Column:
+def walk_key(rel: str) -> str:
     """Sort key of a top-down walk: a folder's files by name, then its subfolders."""
-    parts = F.split(rel, "/")
-    last = F.size(parts) - 1
-    return F.transform(parts, lambda part, i: F.struct((i < last).alias("d"), part.alias("n")))
+    return (
+        f"transform(split({rel}, '/'), (part, i) ->"
+        f" struct(i < size(split({rel}, '/')) - 1 AS d, part AS n))"
+    )
+
+
+# Columns that follow from ``path`` and ``root`` alone.
+FROM_PATH = (
+    "rel_path", "filename", "top_folder", "ext", "fmt", "category", "rag_eligible", "corpus_hint",
+)
 
 
 def described(df: DataFrame, hint_scope: str = "path") -> DataFrame:
-    """Add every column that follows from ``path`` and ``root`` alone.
+    """Add the ``FROM_PATH`` columns.
 
     ``hint_scope``: ``path`` reads corpus keywords in the whole absolute path,
     ``top_folder`` only in the first folder below the root.
     """
-    scopes = {"path": F.col("path"), "top_folder": F.col("top_folder")}
-    return (
-        df.withColumns({
-            "rel_path": rel_path(F.col("path"), F.col("root")),
-            "filename": filename(F.col("path")),
-        })
-        .withColumns({
-            "top_folder": top_folder(F.col("rel_path")),
-            "ext": extension(F.col("filename")),
-        })
-        .withColumns({
-            "fmt": format_name(F.col("ext")),
-            "category": category(F.col("ext")),
-        })
-        .withColumns({
-            "rag_eligible": eligible(F.col("category")),
-            "corpus_hint": corpus_hint(scopes[hint_scope]),
-        })
+    if hint_scope not in ("path", "top_folder"):
+        raise ValueError(f"hint_scope: {hint_scope!r}")
+    return df.selectExpr(
+        "*",
+        f"{rel_path('path', 'root')} AS rel_path",
+        f"{filename('path')} AS filename",
+        f"{top_folder('rel_path')} AS top_folder",
+        f"{extension('filename')} AS ext",
+        f"{format_name('ext')} AS fmt",
+        f"{category('ext')} AS category",
+        f"{eligible('category')} AS rag_eligible",
+        f"{corpus_hint(hint_scope)} AS corpus_hint",
     )

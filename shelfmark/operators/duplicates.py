@@ -37,17 +37,17 @@ def groups(files: DataFrame, paths_per_part: int = PATHS_PER_PART) -> DataFrame:
     a path's part follows from its MD5. The explicit repartition lets AQE split
     hot hashes in the join below it, which the grouping alone would forbid.
     """
-    parts = F.ceil(F.col("copies") / F.lit(paths_per_part)).cast("long")
-    digest = F.conv(F.substring(F.md5("path"), 1, 8), 16, 10).cast("long")
+    parts = f"bigint(ceil(copies / {paths_per_part}))"
+    digest = "bigint(conv(substring(md5(path), 1, 8), 16, 10))"
     return (
         members(files)
-        .withColumn("part", (digest % parts).cast("int"))
+        .selectExpr("*", f"int({digest} % {parts}) AS part")
         .repartition("sha256", "part")
         .groupBy("sha256", "part")
         .agg(
             F.first("size_bytes").alias("size_bytes"),
             F.first("copies").alias("copies"),
-            F.array_join(F.array_sort(F.collect_list("path")), "\n").alias("paths"),
+            F.expr("array_join(sort_array(collect_list(path)), '\\n') AS paths"),
         )
         .select("sha256", "size_bytes", "copies", "part", "paths")
     )
@@ -57,7 +57,7 @@ def totals(files: DataFrame) -> DataFrame:
     """One row: number of groups and of files in them."""
     return group_sizes(files).agg(
         F.count("*").alias("duplicate_groups"),
-        F.coalesce(F.sum("copies"), F.lit(0)).cast("long").alias("files_in_dup_groups"),
+        F.expr("coalesce(sum(copies), 0L) AS files_in_dup_groups"),
     )
 
 

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 BUCKETS = 4096
 
 
-def bucket(path: Column) -> Column:
-    """First three hex digits of the path's MD5: BUCKETS even shares of any paths."""
-    return F.conv(F.substring(F.md5(path), 1, 3), 16, 10).cast("int")
+# The first three hex digits of a path's MD5 give BUCKETS even shares of any paths.
+BUCKET = "int(conv(substring(md5(path), 1, 3), 16, 10))"
 
 
 def numbered(new: DataFrame, id_column: str, last_id: Column) -> DataFrame:
@@ -19,7 +18,7 @@ def numbered(new: DataFrame, id_column: str, last_id: Column) -> DataFrame:
     most BUCKETS rows, which is what makes broadcasting it safe. ``new`` is read
     twice, so it should be a written table.
     """
-    placed = new.withColumn("bucket", bucket(F.col("path")))
+    placed = new.selectExpr("*", f"{BUCKET} AS bucket")
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("bucket").count().select(
         "bucket", (F.coalesce(F.sum("count").over(before), F.lit(0)) + last_id).alias("start")

@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from shelfmark import schema as S
 from shelfmark.functions import names
 
+SEEN = "visits IS NOT NULL"
+KNOWN = "old_known IS NOT NULL"
+# NULL on either side is never the same signature.
+SAME_SIGNATURE = "coalesce(size_bytes = old_size_bytes AND mtime = old_mtime, false)"
+
 
 @dataclass(frozen=True)
 class Run:
@@ -43,21 +48,11 @@ class Run:
             raise ValueError(f"corpus_policy: {self.corpus_policy!r}")
         if self.no_hash_policy not in ("keep", "erase"):
             raise ValueError(f"no_hash_policy: {self.no_hash_policy!r}")
-        if self.hint_scope not in ("path", "top_folder"):
-            raise ValueError(f"hint_scope: {self.hint_scope!r}")
 
     @property
-    def timestamp(self) -> Column:
+    def timestamp(self) -> str:
         instant = self.now if self.now.tzinfo else self.now.replace(tzinfo=timezone.utc)
-        return F.timestamp_seconds(F.lit(int(instant.timestamp())))
-
-
-def is_seen() -> Column:
-    return F.col("visits").isNotNull()
-
-
-def is_known() -> Column:
-    return F.col("old_known").isNotNull()
+        return f"timestamp_seconds({int(instant.timestamp())})"
 
 
 def matched(listing: DataFrame, prior: DataFrame) -> DataFrame:
@@ -66,20 +61,12 @@ def matched(listing: DataFrame, prior: DataFrame) -> DataFrame:
     Columns that follow from the path are derived after the join, so the
     listing side shuffles only path, root, size, mtime and error.
     """
-    old = prior.select(
-        "path",
-        F.lit(True).alias("old_known"),
-        *[F.col(c).alias(f"old_{c}") for c in S.FILE_COLUMNS if c != "path"],
+    old = prior.selectExpr(
+        "path", "true AS old_known", *[f"{c} AS old_{c}" for c in S.FILE_COLUMNS if c != "path"]
     )
     return listing.join(old, "path", "full_outer")
 
 
-def same_signature() -> Column:
-    """Size and mtime as stored; NULL on either side is never the same."""
-    same = (F.col("size_bytes") == F.col("old_size_bytes")) & (F.col("mtime") == F.col("old_mtime"))
-    return F.coalesce(same, F.lit(False))
-
-
 def is_stale(run: Run) -> Column:
     """Known rows under a scanned root that this run did not see.
 
@@ -95,42 +82,34 @@ def is_stale(run: Run) -> Column:
     return F.coalesce(stale, F.lit(False))
 
 
-def hash_action(run: Run) -> Column:
+def hash_action(run: Run) -> str:
     """``hash`` (read the content), ``reuse`` (take the stored hash) or ``skip``.
 
     The stored hash wins over the size cap: a cap set later does not drop it.
     """
+    cases = ["WHEN visits IS NULL THEN NULL"]
     if not run.hashing:
-        return F.when(is_seen(), "skip")
-    chain = F.when(~is_seen(), None)
-    chain = chain.when(F.col("error").isNotNull(), "skip")
-    chain = chain.when(F.col("category") == S.METADATA_CATEGORY, "skip")
+        cases.append("WHEN true THEN 'skip'")
+    cases.append(f"WHEN error IS NOT NULL OR category = '{S.METADATA_CATEGORY}' THEN 'skip'")
     if not run.rehash:
-        chain = chain.when(same_signature() & F.col("old_sha256").isNotNull(), "reuse")
+        cases.append(f"WHEN {SAME_SIGNATURE} AND old_sha256 IS NOT NULL THEN 'reuse'")
     if run.hash_cap and run.hash_cap > 0:
-        chain = chain.when(F.col("size_bytes") > run.hash_cap, "skip")
-    return chain.otherwise("hash")
+        cases.append(f"WHEN size_bytes > {run.hash_cap} THEN 'skip'")
+    return f"CASE {' '.join(cases)} ELSE 'hash' END"
 
 
-def change_class(run: Run) -> Column:
-    unchanged = F.col("size_bytes").eqNullSafe(F.col("old_size_bytes")) & F.col("mtime").eqNullSafe(
-        F.col("old_mtime")
-    )
-    return (
-        F.when(is_stale(run), "missing")
-        .when(~is_seen(), "carried")
-        .when(~is_known(), "new")
-        .when(unchanged, "unchanged")
-        .otherwise("changed")
-    )
+CHANGE = f"""
+    CASE WHEN stale THEN 'missing' WHEN visits IS NULL THEN 'carried'
+         WHEN old_known IS NULL THEN 'new'
+         WHEN size_bytes <=> old_size_bytes AND mtime <=> old_mtime THEN 'unchanged'
+         ELSE 'changed' END"""
 
 
 def planned(rows: DataFrame, run: Run) -> DataFrame:
-    """Matched rows with path-derived columns, ``action`` and ``change``."""
-    return names.described(rows, run.hint_scope).withColumns({
-        "action": hash_action(run),
-        "change": change_class(run),
-    })
+    """Matched rows with path-derived columns, ``stale``, ``action`` and ``change``."""
+    return names.described(rows.withColumn("stale", is_stale(run)), run.hint_scope).selectExpr(
+        "*", f"{hash_action(run)} AS action", f"{CHANGE} AS change"
+    )
 
 
 def merged(rows: DataFrame, run: Run) -> DataFrame:
@@ -139,55 +118,44 @@ def merged(rows: DataFrame, run: Run) -> DataFrame:
     Rows not known before take their id from ``old_id`` as well, where the caller
     has put a new one (see ``ids.numbered``), or have none.
     """
-    seen, stale = is_seen(), is_stale(run)
     if run.prune:
-        rows = rows.where(~stale)
-
-    def now_or_old(column: str) -> Column:
-        return F.when(seen, F.col(column)).otherwise(F.col(f"old_{column}"))
+        rows = rows.where("NOT stale")
 
-    sha = F.when(~seen, F.col("old_sha256"))
-    sha = sha.when(F.col("action") == "hash", F.col("new_sha256"))
-    sha = sha.when(F.col("action") == "reuse", F.col("old_sha256"))
+    kept_hash = "NULL"
     if not run.hashing and run.no_hash_policy == "keep":
-        readable = F.col("error").isNull() & (F.col("category") != S.METADATA_CATEGORY)
-        sha = sha.when(readable & same_signature(), F.col("old_sha256"))
-
-    corpus = F.when(~seen, F.col("old_corpus"))
-    if run.corpus_policy == "preserve":
-        corpus = corpus.when(is_known(), F.coalesce("old_corpus", F.lit(S.UNASSIGNED)))
-
-    values = {c: now_or_old(c) for c in (
-        "root", "rel_path", "top_folder", "filename", "ext", "fmt", "category",
-        "rag_eligible", "size_bytes", "mtime", "corpus_hint",
-    )}
-    values.update({
-        "id": F.col("old_id"),
-        "path": F.col("path"),
-        "sha256": sha,
-        "corpus": corpus.otherwise(S.UNASSIGNED),
-        "run_id": F.when(seen, run.run_id).otherwise(F.col("old_run_id")),
-        "first_seen": F.when(is_known(), F.col("old_first_seen")).otherwise(run.timestamp),
-        "last_seen": F.when(seen, run.timestamp).otherwise(F.col("old_last_seen")),
-        "missing_since": F.when(~seen, F.col("old_missing_since")),
-        "error": F.when(seen, F.coalesce("error", "hash_error")).otherwise(F.col("old_error")),
-    })
-    values["missing_since"] = F.when(
-        stale, F.coalesce("old_missing_since", run.timestamp)
-    ).otherwise(values["missing_since"])
-    return rows.select(
-        *[values[c].cast(S.FILES[c].dataType).alias(c) for c in S.FILE_COLUMNS],
-        F.coalesce("visits", F.lit(0)).cast("long").alias("visits"),
-        F.coalesce((F.col("action") == "hash") & F.col("new_sha256").isNotNull(), F.lit(False))
-        .alias("hashed_now"),
+        kept_hash = (
+            f"IF(error IS NULL AND category <> '{S.METADATA_CATEGORY}' AND {SAME_SIGNATURE},"
+            " old_sha256, NULL)"
+        )
+    kept_corpus = "old_corpus" if run.corpus_policy == "preserve" else "NULL"
+    values = {c: f"IF({SEEN}, {c}, old_{c})" for c in S.FILE_COLUMNS if c not in ("id", "path")}
+    values |= {
+        "id": "old_id",
+        "path": "path",
+        "sha256": f"""
+            CASE WHEN visits IS NULL THEN old_sha256 WHEN action = 'hash' THEN new_sha256
+                 WHEN action = 'reuse' THEN old_sha256 ELSE {kept_hash} END""",
+        "corpus": f"IF({SEEN}, coalesce({kept_corpus}, '{S.UNASSIGNED}'), old_corpus)",
+        "run_id": f"IF({SEEN}, '{run.run_id}', old_run_id)",
+        "first_seen": f"IF({KNOWN}, old_first_seen, {run.timestamp})",
+        "last_seen": f"IF({SEEN}, {run.timestamp}, old_last_seen)",
+        "missing_since": f"""
+            CASE WHEN stale THEN coalesce(old_missing_since, {run.timestamp})
+                 WHEN visits IS NULL THEN old_missing_since END""",
+        "error": f"IF({SEEN}, coalesce(error, hash_error), old_error)",
+    }
+    return rows.selectExpr(
+        *[f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in S.FILES],
+        "coalesce(visits, 0L) AS visits",
+        "coalesce(action = 'hash' AND new_sha256 IS NOT NULL, false) AS hashed_now",
     )
 
 
-def missing_counts(rows: DataFrame, run: Run) -> DataFrame:
+def missing_counts(rows: DataFrame) -> DataFrame:
     """One row: stale rows, and those among them that no earlier run had flagged."""
-    return rows.agg(
-        F.count_if(is_stale(run)).alias("missing"),
-        F.count_if(is_stale(run) & F.col("old_missing_since").isNull()).alias("newly_missing"),
+    return rows.selectExpr(
+        "count_if(stale) AS missing",
+        "count_if(stale AND old_missing_since IS NULL) AS newly_missing",
     )
 
 
@@ -197,13 +165,10 @@ def run_counters(files: DataFrame, run: Run) -> DataFrame:
     A repeated visit finds the hash the first visit stored, so it hashes again
     only under ``rehash``.
     """
-    hashed = F.col("visits") if run.rehash else F.lit(1)
-    zero = F.lit(0).cast("long")
-    return files.where("visits > 0").agg(
-        F.coalesce(F.sum("visits"), zero).alias("files_seen"),
-        F.coalesce(F.sum(F.when(F.col("hashed_now"), hashed)), zero).cast("long")
-        .alias("files_hashed"),
-        F.coalesce(F.sum(F.col("size_bytes") * F.col("visits")), zero).alias("bytes_total"),
-        F.coalesce(F.sum(F.when(F.col("error").isNotNull(), F.col("visits"))), zero)
-        .alias("errors"),
+    times = "visits" if run.rehash else "1L"
+    return files.where("visits > 0").selectExpr(
+        "coalesce(sum(visits), 0L) AS files_seen",
+        f"coalesce(sum({times}) FILTER (WHERE hashed_now), 0L) AS files_hashed",
+        "coalesce(sum(size_bytes * visits), 0L) AS bytes_total",
+        "coalesce(sum(visits) FILTER (WHERE error IS NOT NULL), 0L) AS errors",
     )

@@ -19,6 +19,12 @@ def count_by(files: DataFrame, column: str) -> DataFrame:
     return files.groupBy(column).agg(F.count("*").alias("n"))
 
 
+def long_form(row: DataFrame) -> DataFrame:
+    """A row of figures as rows (metric, key, value) with an empty key."""
+    figures = ", ".join(f"'{c}', '', bigint({c})" for c in row.columns)
+    return row.selectExpr(f"stack({len(row.columns)}, {figures}) AS (metric, key, value)")
+
+
 def summary(files: DataFrame, present_only: bool = False) -> DataFrame:
     """(metric, key, value): totals, counts by category and by hint, duplicates.
 
@@ -28,37 +34,24 @@ def summary(files: DataFrame, present_only: bool = False) -> DataFrame:
     """
     if present_only:
         files = present(files)
-
-    def figure(metric, value, key=F.lit("")):
-        return F.struct(
-            F.lit(metric).alias("metric"), key.alias("key"), value.cast("long").alias("value")
-        )
-
     cells = files.groupBy("category", "corpus_hint", "rag_eligible").agg(
         F.count("*").alias("n"), F.sum("size_bytes").alias("bytes")
     )
-    n = F.col("n")
-    from_cells = cells.select(F.inline(F.array(
-        figure("total_files", n),
-        figure("rag_eligible", F.when(F.col("rag_eligible") == 1, n)),
-        figure("total_bytes", F.col("bytes")),
-        figure("by_category", n, F.col("category")),
-        figure("by_corpus_hint", n, F.col("corpus_hint")),
-    )))
-    doubles = duplicates.totals(files)
-    from_doubles = doubles.select(F.inline(F.array(
-        *[figure(name, F.col(name)) for name in doubles.columns]
-    )))
-    spark = files.sparkSession
+    from_cells = cells.selectExpr("""stack(5,
+        'total_files', '', n,
+        'rag_eligible', '', IF(rag_eligible = 1, n, 0L),
+        'total_bytes', '', bytes,
+        'by_category', category, n,
+        'by_corpus_hint', corpus_hint, n) AS (metric, key, value)""")
     # Totals of an empty catalog are zero, not absent.
-    zeros = spark.range(1).select(F.inline(F.array(
-        *[figure(m, F.lit(0)) for m in ("total_files", "rag_eligible", "total_bytes")]
-    )))
+    zeros = files.sparkSession.sql("""
+        VALUES ('total_files', '', 0L), ('rag_eligible', '', 0L), ('total_bytes', '', 0L)
+        AS t(metric, key, value)""")
     return (
         from_cells.unionByName(zeros)
         .groupBy("metric", "key")
-        .agg(F.coalesce(F.sum("value"), F.lit(0)).cast("long").alias("value"))
-        .unionByName(from_doubles)
+        .agg(F.expr("coalesce(sum(value), 0L) AS value"))
+        .unionByName(long_form(duplicates.totals(files)))
     )
 
 
@@ -67,8 +60,5 @@ def folder_callout(files: DataFrame, folders=S.CALLOUT_FOLDERS) -> DataFrame:
     return (
         files.where(F.col("top_folder").isin(*folders))
         .groupBy("top_folder")
-        .agg(
-            F.count("*").alias("files"),
-            F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("long").alias("bytes"),
-        )
+        .agg(F.count("*").alias("files"), F.expr("coalesce(sum(size_bytes), 0L) AS bytes"))
     )

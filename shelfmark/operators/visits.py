@@ -5,17 +5,17 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import names
 
+REL_PATH = names.rel_path("path", "root")
+
 
 def without_excluded(entries: DataFrame, globs) -> DataFrame:
-    rel = names.rel_path(F.col("path"), F.col("root"))
-    return entries.where(~names.excluded(rel, globs))
+    return entries.where(~names.excluded(F.expr(REL_PATH), globs))
 
 
 def first_visits(entries: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` visits over all roots, in the order a walk makes them."""
-    rel = names.rel_path(F.col("path"), F.col("root"))
     return (
-        entries.withColumn("walk_key", names.walk_key(rel))
+        entries.withColumn("walk_key", F.expr(names.walk_key(REL_PATH)))
         .orderBy("root_ordinal", "walk_key")
         .limit(max(limit, 0))
         .drop("walk_key")
@@ -35,13 +35,10 @@ def one_row_per_path(entries: DataFrame, overlapping: bool) -> DataFrame:
     row; without overlap there is nothing to group and no shuffle.
     """
     if not overlapping:
-        return entries.drop("root_ordinal").withColumn("visits", F.lit(1).cast("long"))
-    rest = [c for c in entries.columns if c not in ("path", "root_ordinal")]
+        return entries.selectExpr("* EXCEPT (root_ordinal)", "1L AS visits")
+    rest = ", ".join(c for c in entries.columns if c not in ("path", "root_ordinal"))
     return (
         entries.groupBy("path")
-        .agg(
-            F.max_by(F.struct(*rest), "root_ordinal").alias("last"),
-            F.count("*").alias("visits"),
-        )
-        .select("path", *[F.col(f"last.{c}") for c in rest], "visits")
+        .agg(F.expr(f"max_by(struct({rest}), root_ordinal)").alias("last"), F.count("*").alias("visits"))
+        .selectExpr("path", "last.*", "visits")
     )

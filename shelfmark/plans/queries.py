@@ -6,6 +6,7 @@ session's time zone.
 """
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def _described(spark, sf_dir) -> DataFrame:
 
 
 def _stamps(*columns: str):
-    return [iso_utc(F.col(c)).alias(c) for c in columns]
+    return [f"{iso_utc(c)} AS {c}" for c in columns]
 
 
 def _inner_root_listing(spark, sf_dir) -> DataFrame:
@@ -85,13 +86,13 @@ def file_attributes(spark, sf_dir):
 
 
 def content_hash_all(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+    return tables.table(spark, sf_dir, "documents").select(
         "doc_id", content_hash(F.col("text")).alias("sha256")
     )
 
 
 def content_hash_capped(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+    return tables.table(spark, sf_dir, "documents").select(
         "doc_id", content_hash(F.col("text"), HASH_CAP).alias("sha256")
     )
 
@@ -116,14 +117,14 @@ def overlapping_roots_counters(spark, sf_dir):
 
 def prior_signatures(spark, sf_dir):
     rows = merge.matched(_listing(spark, sf_dir), tables.prior_catalog(spark, sf_dir))
-    return rows.where(merge.is_seen()).select(
-        "path", F.col("old_size_bytes").alias("size_bytes"), F.col("old_mtime").alias("mtime"),
-        F.col("old_sha256").alias("sha256"), iso_utc(F.col("old_first_seen")).alias("first_seen"),
+    return rows.where(merge.SEEN).selectExpr(
+        "path", "old_size_bytes AS size_bytes", "old_mtime AS mtime", "old_sha256 AS sha256",
+        f"{iso_utc('old_first_seen')} AS first_seen",
     )
 
 
 def _actions(spark, sf_dir, run):
-    return _plan(spark, sf_dir, run).where(merge.is_seen()).select("path", "action")
+    return _plan(spark, sf_dir, run).where(merge.SEEN).select("path", "action")
 
 
 def hash_plan(spark, sf_dir):
@@ -139,7 +140,7 @@ def hash_plan_capped(spark, sf_dir):
 
 
 def lineage(spark, sf_dir):
-    return _catalog(spark, sf_dir).select(
+    return _catalog(spark, sf_dir).selectExpr(
         "path", "run_id", "corpus", *_stamps("first_seen", "last_seen", "missing_since")
     )
 
@@ -189,18 +190,12 @@ def scan_result(spark, sf_dir):
     plan = _plan(spark, sf_dir)
     files = merge.merged(plan, RUN)
     counters = merge.run_counters(files, RUN)
-    missing = merge.missing_counts(plan, RUN)
+    missing = merge.missing_counts(plan)
 
-    def long_form(row):
-        return row.select(F.inline(F.array(*[
-            F.struct(
-                F.lit(c).alias("metric"), F.lit("").alias("key"),
-                F.col(c).cast("long").alias("value"),
-            )
-            for c in row.columns
-        ])))
-
-    return reports.summary(files).unionByName(long_form(counters)).unionByName(long_form(missing))
+    return reduce(
+        DataFrame.unionByName,
+        [reports.summary(files), reports.long_form(counters), reports.long_form(missing)],
+    )
 
 
 def change_report(spark, sf_dir):
@@ -214,7 +209,7 @@ def change_counts(spark, sf_dir):
 def catalog_merge(spark, sf_dir):
     files = _numbered_catalog(spark, sf_dir)
     stamps = ("first_seen", "last_seen", "missing_since")
-    return files.select(*[c for c in S.FILE_COLUMNS if c not in stamps], *_stamps(*stamps))
+    return files.selectExpr(*[c for c in S.FILE_COLUMNS if c not in stamps], *_stamps(*stamps))
 
 
 def catalog_merge_reset_corpus(spark, sf_dir):
@@ -236,16 +231,16 @@ def partial_scan(spark, sf_dir):
     run = replace(RUN, partial=True, prune=True)
     reached = visits.first_visits(tables.entries(spark, sf_dir), LIMIT)
     files = _catalog(spark, sf_dir, run, visits.one_row_per_path(reached, overlapping=False))
-    return files.select("path", "run_id", *_stamps("missing_since"))
+    return files.selectExpr("path", "run_id", *_stamps("missing_since"))
 
 
 def missing_count(spark, sf_dir):
-    return merge.missing_counts(_plan(spark, sf_dir), RUN)
+    return merge.missing_counts(_plan(spark, sf_dir))
 
 
 def mark_missing(spark, sf_dir):
     files = _catalog(spark, sf_dir).where("missing_since IS NOT NULL")
-    return files.select("path", *_stamps("missing_since"))
+    return files.selectExpr("path", *_stamps("missing_since"))
 
 
 def prune_missing(spark, sf_dir):
@@ -253,22 +248,22 @@ def prune_missing(spark, sf_dir):
 
 
 def reappeared(spark, sf_dir):
-    back = _plan(spark, sf_dir).where(merge.is_seen() & F.col("old_missing_since").isNotNull())
-    return merge.merged(back, RUN).select("path", *_stamps("first_seen", "missing_since"))
+    back = _plan(spark, sf_dir).where(f"{merge.SEEN} AND old_missing_since IS NOT NULL")
+    return merge.merged(back, RUN).selectExpr("path", *_stamps("first_seen", "missing_since"))
 
 
 def run_ledger(spark, sf_dir):
     counters = merge.run_counters(_catalog(spark, sf_dir), RUN)
-    return counters.select(
-        F.lit(RUN.run_id).alias("run_id"), iso_utc(RUN.timestamp).alias("started_at"),
-        F.array_join(F.array(*[F.lit(r) for r in RUN.roots]), ",").alias("roots"), "*",
+    return counters.selectExpr(
+        f"'{RUN.run_id}' AS run_id", f"{iso_utc(RUN.timestamp)} AS started_at",
+        f"'{','.join(RUN.roots)}' AS roots", "*",
     )
 
 
 def schema_upgrade(spark, sf_dir):
     """A snapshot written before ``missing_since`` existed, read with today's schema."""
     old = tables.prior_catalog(spark, sf_dir).drop("missing_since")
-    return with_files_schema(old).select(
+    return with_files_schema(old).selectExpr(
         "id", "path", "sha256", *_stamps("first_seen", "missing_since")
     )
 

@@ -30,11 +30,11 @@ def summary_record(files: DataFrame) -> dict:
 
 def _with_hashes(planned: DataFrame, task_bytes: int) -> DataFrame:
     """Only rows that need it go through the file readers."""
-    needs = F.coalesce(F.col("action") == "hash", F.lit(False))
-    idle = planned.where(~needs)
-    for column in ("new_sha256", "hash_error"):
-        idle = idle.withColumn(column, F.lit(None).cast("string"))
-    return idle.unionByName(content.with_file_hashes(planned.where(needs), task_bytes))
+    idle = planned.where("action IS DISTINCT FROM 'hash'").selectExpr(
+        "*", "string(NULL) AS new_sha256", "string(NULL) AS hash_error"
+    )
+    reading = content.with_file_hashes(planned.where("action = 'hash'"), task_bytes)
+    return idle.unionByName(reading)
 
 
 def rescan(
@@ -98,7 +98,7 @@ def rescan(
     plan_path = f"{staging}/plan"
     merge.planned(merge.matched(listing, prior), run).write.mode("overwrite").parquet(plan_path)
     plan = spark.read.parquet(plan_path)
-    missing, newly_missing = merge.missing_counts(plan, run).first()
+    missing, newly_missing = merge.missing_counts(plan).first()
 
     new = plan.where("old_id IS NULL")
     ids.numbered(new, "old_id", F.lit(last["last_id"] if last else 0)).write.mode(

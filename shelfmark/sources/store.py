@@ -8,7 +8,7 @@ last, so a run that dies earlier leaves the catalog as it was.
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,9 +18,9 @@ from shelfmark.operators import duplicates
 
 def with_files_schema(stored: DataFrame) -> DataFrame:
     """Catalog columns of a stored snapshot; columns an older version lacks are NULL."""
-    return stored.select(*[
-        (F.col(f.name) if f.name in stored.columns else F.lit(None))
-        .cast(f.dataType).alias(f.name)
+    return stored.selectExpr(*[
+        f"CAST({f.name if f.name in stored.columns else 'NULL'} AS {f.dataType.simpleString()})"
+        f" AS {f.name}"
         for f in S.FILES
     ])
 
@@ -105,26 +105,23 @@ class Catalog:
         duplicates.groups(files).createOrReplaceTempView("duplicate_groups")
 
 
-def iso_utc(ts) -> Column:
+def iso_utc(ts: str) -> str:
     """ISO-8601 text in UTC at second precision, whatever the session's time zone."""
-    utc = F.to_utc_timestamp(ts, F.current_timezone())
-    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    utc = f"to_utc_timestamp({ts}, current_timezone())"
+    return f"concat(date_format({utc}, \"yyyy-MM-dd'T'HH:mm:ss\"), '+00:00')"
 
 
-def decimal_text(number) -> Column:
+def decimal_text(number: str) -> str:
     """A double as shortest plain decimal text (1733000000.5), never with an exponent."""
-    exact = F.col(number).cast("string").cast("decimal(38,12)").cast("string")
-    trimmed = F.regexp_replace(exact, "0+$", "")
-    return F.when(trimmed.endswith("."), F.concat(trimmed, F.lit("0"))).otherwise(trimmed)
+    exact = f"string(CAST(string({number}) AS decimal(38, 12)))"
+    return f"regexp_replace(regexp_replace({exact}, '0+$', ''), '[.]$', '.0')"
 
 
 def csv_fields(files: DataFrame) -> DataFrame:
     """Catalog columns as the text a CSV export holds."""
     shown = {"mtime": decimal_text("mtime")}
-    shown |= {c: iso_utc(F.col(c)) for c in ("first_seen", "last_seen", "missing_since")}
-    return files.select(*[
-        shown.get(c, F.col(c).cast("string")).alias(c) for c in S.FILE_COLUMNS
-    ])
+    shown |= {c: iso_utc(c) for c in ("first_seen", "last_seen", "missing_since")}
+    return files.selectExpr(*[f"{shown.get(c, f'string({c})')} AS {c}" for c in S.FILE_COLUMNS])
 
 
 def export_csv(files: DataFrame, target: str) -> int:

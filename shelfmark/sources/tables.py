@@ -18,22 +18,12 @@ ever passes through a shuffle.
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark import schema as S
 from shelfmark.functions import names
 from shelfmark.operators.merge import Run
-from shelfmark.sources.content import content_hash
 
-FOLDERS = (
-    "Nonfiction/", "Fiction/", "15000KindleBooks/", "AudioBooks/", "ComicBookPDFs/",
-    "Ghostwriting/", "Apologetics/", "",
-)
-SUFFIXES = (
-    ".mobi", ".EPUB", ".pdf", ".mp3", ".cbz", ".jpg", ".zip", ".azw.res", ".xyz", "",
-    ".azw3", ".txt",
-)
 ROOTS = ("/lib", "/web")
 PRIOR_RUN = "inv-20240101T030000-000000Z"
 PRIOR_SCAN_AT = 1704078000  # 2024-01-01 03:00:00 UTC
@@ -44,137 +34,121 @@ RUN = Run(
     roots=ROOTS,
 )
 
+# Known column types spare a look into the files before each query.
+COLUMNS = {
+    "documents": "doc_id long, text string, lang string, source string",
+    "pages": "page_id long, url string, html string",
+    "conversations": "conv_id long, turn long, role string, text string",
+    "benchmark": "item_id long, text string",
+    "labels": "doc_id long, quality int, toxic int",
+}
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+FOLDER = """get(array('Nonfiction/', 'Fiction/', '15000KindleBooks/', 'AudioBooks/',
+    'ComicBookPDFs/', 'Ghostwriting/', 'Apologetics/', ''), int(doc_id % 8))"""
+SUFFIX = """get(array('.mobi', '.EPUB', '.pdf', '.mp3', '.cbz', '.jpg', '.zip', '.azw.res',
+    '.xyz', '', '.azw3', '.txt'), int(doc_id % 12))"""
 
 
-def _pick(values, key: str) -> Column:
-    options = F.array(*[F.lit(v) for v in values])
-    return F.get(options, F.pmod(F.col(key), F.lit(len(values))).cast("int"))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _file(path: Column, content: str, mtime: Column) -> dict[str, Column]:
-    return {
-        "path": path,
-        "size_bytes": F.octet_length(content).cast("long"),
-        "mtime": mtime.cast("double"),
-        "new_sha256": content_hash(F.col(content)),
-    }
+def _as_files(df: DataFrame, path: str, content: str, mtime: str, *extra: str) -> DataFrame:
+    return df.selectExpr(
+        *extra, f"{path} AS path", f"bigint(octet_length({content})) AS size_bytes",
+        f"double({mtime}) AS mtime", f"sha2({content}, 256) AS new_sha256",
+    )
 
 
-def _document_path(folder: Column) -> Column:
-    return F.concat(
-        F.lit("/lib/"), folder, "source", F.lit("_"), "doc_id", _pick(SUFFIXES, "doc_id")
-    )
+def _document_path(folder: str) -> str:
+    return f"concat('/lib/', {folder}, source, '_', doc_id, {SUFFIX})"
 
 
 def _documents(spark, sf_dir, *extra: str) -> DataFrame:
-    cols = _file(_document_path(_pick(FOLDERS, "doc_id")), "text", F.col("doc_id") + 1700000000.25)
-    return _table(spark, sf_dir, "documents").select(
-        *extra, *[c.alias(n) for n, c in cols.items()]
+    return _as_files(
+        table(spark, sf_dir, "documents"), _document_path(FOLDER), "text",
+        "doc_id + 1700000000.25D", *extra,
     )
 
 
 def _pages(spark, sf_dir, *extra: str) -> DataFrame:
     # A URL that ends in a slash names a folder; its file is the index page.
-    rel = F.concat(
-        F.replace("url", F.lit("://"), F.lit("/")),
-        F.when(F.endswith("url", F.lit("/")), "index.html").otherwise(""),
+    path = "concat('/web/', replace(url, '://', '/'), if(endswith(url, '/'), 'index.html', ''))"
+    return _as_files(
+        table(spark, sf_dir, "pages"), path, "html", "page_id + 1690000000.5D", *extra
     )
-    cols = _file(F.concat(F.lit("/web/"), rel), "html", F.col("page_id") + 1690000000.5)
-    return _table(spark, sf_dir, "pages").select(*extra, *[c.alias(n) for n, c in cols.items()])
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a scan of /lib and /web meets: one row per file, with its content hash."""
-    talk = F.concat(
-        F.lit("/lib/Client Notes/conv_"), "conv_id", F.lit("/"), "turn", F.lit("_"), "role",
-        F.lit(".txt"),
+    notes = _as_files(
+        table(spark, sf_dir, "conversations"),
+        "concat('/lib/Client Notes/conv_', conv_id, '/', turn, '_', role, '.txt')", "text",
+        "turn + 1705000000", "0 AS root_ordinal",
+    )
+    everything = _documents(spark, sf_dir, "0 AS root_ordinal").union(notes).union(
+        _pages(spark, sf_dir, "1 AS root_ordinal")
+    )
+    return everything.selectExpr(
+        "*", "if(root_ordinal = 0, '/lib', '/web') AS root", "string(NULL) AS error",
+        "string(NULL) AS hash_error",
     )
-    cols = _file(talk, "text", F.col("turn") + F.lit(1705000000))
-    notes = _table(spark, sf_dir, "conversations").select(*[c.alias(n) for n, c in cols.items()])
-    parts = [
-        (_documents(spark, sf_dir), 0), (notes, 0), (_pages(spark, sf_dir), 1),
-    ]
-    return reduce(DataFrame.unionByName, [
-        df.select(
-            F.lit(ordinal).alias("root_ordinal"), F.lit(ROOTS[ordinal]).alias("root"),
-            "*", F.lit(None).cast("string").alias("error"),
-            F.lit(None).cast("string").alias("hash_error"),
-        )
-        for df, ordinal in parts
-    ])
 
 
 def entries_with_inner_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scan with /lib/Fiction as a third root, whose files it meets twice."""
     once = entries(spark, sf_dir)
-    inner = once.where(F.startswith("path", F.lit("/lib/Fiction/")))
-    return once.unionByName(inner.withColumns({
-        "root_ordinal": F.lit(2), "root": F.lit("/lib/Fiction"),
-    }))
+    inner = once.where("startswith(path, '/lib/Fiction/')").selectExpr(
+        "* EXCEPT (root_ordinal, root)", "2 AS root_ordinal", "'/lib/Fiction' AS root"
+    )
+    return once.unionByName(inner)
 
 
 def prior_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored snapshot of the scan before, in the catalog's schema."""
-    labels = _table(spark, sf_dir, "labels")
-    known = _documents(spark, sf_dir, "doc_id", "lang", "source").join(
-        labels.select("doc_id", "quality", "toxic"), "doc_id", "left"
-    )
-    folder = F.when(F.col("quality") == 0, "Incoming/").otherwise(_pick(FOLDERS, "doc_id"))
-    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
-    documents = known.select(
-        (F.col("doc_id") * 4 + 1).alias("id"),
-        F.lit("/lib").alias("root"),
-        _document_path(folder).alias("path"),
-        (F.col("size_bytes") + (F.col("lang") == "fr").cast("long")).alias("size_bytes"),
+    labels = table(spark, sf_dir, "labels")
+    documents = _documents(spark, sf_dir, "doc_id", "lang", "source").join(
+        labels, "doc_id", "left"
+    ).selectExpr(
+        "doc_id * 4 + 1 AS id",
+        "'/lib' AS root",
+        f"if(quality = 0, {_document_path(repr('Incoming/'))}, path) AS path",
+        "size_bytes + if(lang = 'fr', 1L, 0L) AS size_bytes",
         "mtime",
-        F.when(F.col("lang") == "fr", F.concat(F.lit("stale"), "doc_id"))
-        .when(F.col("lang") == "es", None).otherwise(F.col("new_sha256")).alias("sha256"),
-        F.when(good, "trusted-nonfiction").otherwise(S.UNASSIGNED).alias("corpus"),
-        F.when(F.col("toxic") == 1, FLAGGED_AT).alias("missing_since"),
+        "CASE lang WHEN 'fr' THEN concat('stale', doc_id) WHEN 'es' THEN NULL ELSE new_sha256 END"
+        " AS sha256",
+        f"if(quality = 1 AND toxic = 0, 'trusted-nonfiction', '{S.UNASSIGNED}') AS corpus",
+        f"if(toxic = 1, timestamp_seconds({FLAGGED_AT}), NULL) AS missing_since",
     )
 
-    def plain(df, id_column, root):
-        return df.select(
-            id_column.alias("id"), F.lit(root).alias("root"), "path", "size_bytes", "mtime",
-            F.col("new_sha256").alias("sha256"), F.lit(S.UNASSIGNED).alias("corpus"),
-            F.lit(None).cast("long").alias("missing_since"),
+    def plain(df, number, root, path, content, mtime):
+        return _as_files(df, path, content, mtime, f"{number} AS id", f"'{root}' AS root").selectExpr(
+            "id", "root", "path", "size_bytes", "mtime", "new_sha256 AS sha256",
+            f"'{S.UNASSIGNED}' AS corpus", "timestamp(NULL) AS missing_since",
         )
 
-    gone = _file(
-        F.concat(F.lit("/lib/Reference/item_"), "item_id", F.lit(".pdf")), "text",
-        F.col("item_id") + F.lit(1680000000),
-    )
-    elsewhere = _file(
-        F.concat(F.lit("/other/labels/"), "doc_id", F.lit(".txt")), "score",
-        F.col("doc_id") + F.lit(1670000000),
-    )
-    scored = labels.withColumn("score", F.concat("quality", F.lit("/"), "toxic"))
-    rows = reduce(DataFrame.unionByName, [
+    rows = reduce(DataFrame.union, [
         documents,
-        plain(_pages(spark, sf_dir, "page_id"), F.col("page_id") * 4 + 2, "/web"),
+        _pages(spark, sf_dir, "page_id").selectExpr(
+            "page_id * 4 + 2 AS id", "'/web' AS root", "path", "size_bytes", "mtime",
+            "new_sha256 AS sha256", f"'{S.UNASSIGNED}' AS corpus",
+            "timestamp(NULL) AS missing_since",
+        ),
         plain(
-            _table(spark, sf_dir, "benchmark")
-            .select("item_id", *[c.alias(n) for n, c in gone.items()]),
-            F.col("item_id") * 4 + 3, "/lib",
+            table(spark, sf_dir, "benchmark"), "item_id * 4 + 3", "/lib",
+            "concat('/lib/Reference/item_', item_id, '.pdf')", "text", "item_id + 1680000000",
         ),
         plain(
-            scored.select("doc_id", *[c.alias(n) for n, c in elsewhere.items()]),
-            F.col("doc_id") * 4 + 4, "/other",
+            labels, "doc_id * 4 + 4", "/other", "concat('/other/labels/', doc_id, '.txt')",
+            "concat(quality, '/', toxic)", "doc_id + 1670000000",
         ),
     ])
-    first = F.timestamp_seconds(F.lit(PRIOR_SCAN_AT))
-    return (
-        names.described(rows)
-        .withColumns({
-            "sha256": F.when(F.col("category") != S.METADATA_CATEGORY, F.col("sha256")),
-            "run_id": F.lit(PRIOR_RUN),
-            "first_seen": first,
-            "last_seen": first,
-            "missing_since": F.timestamp_seconds("missing_since"),
-            "error": F.lit(None).cast("string"),
-        })
-        .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.FILES])
+    first = f"timestamp_seconds({PRIOR_SCAN_AT})"
+    values = {
+        "sha256": f"if(category <> '{S.METADATA_CATEGORY}', sha256, NULL)",
+        "run_id": f"'{PRIOR_RUN}'", "first_seen": first, "last_seen": first,
+        "error": "string(NULL)",
+    }
+    return names.described(rows).selectExpr(
+        *[f"{values.get(c, c)} AS {c}" for c in S.FILE_COLUMNS]
     )
