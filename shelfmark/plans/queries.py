@@ -16,6 +16,7 @@ from shelfmark.functions import names
 from shelfmark.operators import duplicates, ids, merge, reports, visits
 from shelfmark.sources import tables
 from shelfmark.sources.content import content_hash
+from shelfmark.sources.staging import staging_dir, written
 from shelfmark.sources.store import csv_fields, iso_utc, with_files_schema
 from shelfmark.sources.tables import RUN
 
@@ -25,29 +26,72 @@ HASH_CAP = 4000
 INNER_ROOTS = tables.ROOTS + ("/lib/Fiction",)
 
 
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _stored(spark, sf_dir, name, build) -> DataFrame:
+    """A table that later queries of the same application read instead of deriving it.
+
+    The catalog exists so that contents are read once: what is stored here holds
+    their sizes and hashes, a few hundred bytes per file. Queries that need those
+    start from here; queries on names alone never read a content.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        folder = f"{key[0]}/{sf_dir.strip('/').replace('/', '_')}/{name}"
+        _STORED[key] = written(build(spark, sf_dir), staging_dir(spark, folder))
+    return _STORED[key]
+
+
+def _contents(spark, sf_dir) -> DataFrame:
+    return _stored(spark, sf_dir, "contents", tables.contents)
+
+
+def _entries(spark, sf_dir) -> DataFrame:
+    return tables.entries(_contents(spark, sf_dir))
+
+
+def _names_only(spark, sf_dir) -> DataFrame:
+    """Entries not stored: columns pruned by the query, contents never read."""
+    return tables.entries(tables.contents(spark, sf_dir))
+
+
+def _build_prior(spark, sf_dir) -> DataFrame:
+    return tables.prior_catalog(_contents(spark, sf_dir), tables.table(spark, sf_dir, "labels"))
+
+
+def _prior(spark, sf_dir) -> DataFrame:
+    return _stored(spark, sf_dir, "prior", _build_prior)
+
+
+def _files(spark, sf_dir) -> DataFrame:
+    """The stored snapshot after the scan, which all reports read."""
+    return _stored(spark, sf_dir, "files", _numbered_catalog)
+
+
 def _listing(spark, sf_dir) -> DataFrame:
-    return visits.one_row_per_path(tables.entries(spark, sf_dir), overlapping=False)
+    return visits.one_row_per_path(_entries(spark, sf_dir), overlapping=False)
 
 
 def _plan(spark, sf_dir, run=RUN, listing=None) -> DataFrame:
     listing = _listing(spark, sf_dir) if listing is None else listing
-    return merge.planned(merge.matched(listing, tables.prior_catalog(spark, sf_dir)), run)
+    return merge.planned(merge.matched(listing, _prior(spark, sf_dir)), run)
 
 
 def _catalog(spark, sf_dir, run=RUN, listing=None) -> DataFrame:
-    """The snapshot after the scan; rows new in it have no id here."""
+    """The snapshot after a scan; rows new in it have no id here."""
     return merge.merged(_plan(spark, sf_dir, run, listing), run)
 
 
-def _numbered_catalog(spark, sf_dir, run=RUN) -> DataFrame:
-    plan = _plan(spark, sf_dir, run)
-    last_id = tables.prior_catalog(spark, sf_dir).agg(F.max("id")).scalar()
+def _numbered_catalog(spark, sf_dir) -> DataFrame:
+    plan = _stored(spark, sf_dir, "plan", _plan)
+    last_id = _prior(spark, sf_dir).agg(F.max("id")).scalar()
     new = ids.numbered(plan.where("old_id IS NULL"), "old_id", last_id)
-    return merge.merged(plan.where("old_id IS NOT NULL").unionByName(new), run)
+    return merge.merged(plan.where("old_id IS NOT NULL").unionByName(new), RUN)
 
 
 def _described(spark, sf_dir) -> DataFrame:
-    return names.described(tables.entries(spark, sf_dir))
+    return names.described(_names_only(spark, sf_dir))
 
 
 def _stamps(*columns: str):
@@ -55,9 +99,8 @@ def _stamps(*columns: str):
 
 
 def _inner_root_listing(spark, sf_dir) -> DataFrame:
-    return visits.one_row_per_path(
-        tables.entries_with_inner_root(spark, sf_dir), visits.roots_overlap(INNER_ROOTS)
-    )
+    entries = tables.with_inner_root(_entries(spark, sf_dir))
+    return visits.one_row_per_path(entries, visits.roots_overlap(INNER_ROOTS))
 
 
 def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,12 +120,12 @@ def corpus_hint(spark, sf_dir):
 
 
 def corpus_hint_top_folder(spark, sf_dir):
-    scoped = names.described(tables.entries(spark, sf_dir), hint_scope="top_folder")
+    scoped = names.described(_names_only(spark, sf_dir), hint_scope="top_folder")
     return scoped.select("path", "corpus_hint")
 
 
 def file_attributes(spark, sf_dir):
-    return tables.entries(spark, sf_dir).select("path", "root", "size_bytes", "mtime", "error")
+    return _entries(spark, sf_dir).select("path", "root", "size_bytes", "mtime", "error")
 
 
 def content_hash_all(spark, sf_dir):
@@ -98,11 +141,11 @@ def content_hash_capped(spark, sf_dir):
 
 
 def census_excluded(spark, sf_dir):
-    return visits.without_excluded(tables.entries(spark, sf_dir), EXCLUDES).select("path")
+    return visits.without_excluded(_names_only(spark, sf_dir), EXCLUDES).select("path")
 
 
 def census_limit(spark, sf_dir):
-    return visits.first_visits(tables.entries(spark, sf_dir), LIMIT).select("path")
+    return visits.first_visits(_names_only(spark, sf_dir), LIMIT).select("path")
 
 
 def overlapping_roots(spark, sf_dir):
@@ -116,7 +159,7 @@ def overlapping_roots_counters(spark, sf_dir):
 
 
 def prior_signatures(spark, sf_dir):
-    rows = merge.matched(_listing(spark, sf_dir), tables.prior_catalog(spark, sf_dir))
+    rows = merge.matched(_listing(spark, sf_dir), _prior(spark, sf_dir))
     return rows.where(merge.SEEN).selectExpr(
         "path", "old_size_bytes AS size_bytes", "old_mtime AS mtime", "old_sha256 AS sha256",
         f"{iso_utc('old_first_seen')} AS first_seen",
@@ -140,55 +183,54 @@ def hash_plan_capped(spark, sf_dir):
 
 
 def lineage(spark, sf_dir):
-    return _catalog(spark, sf_dir).selectExpr(
+    return _files(spark, sf_dir).selectExpr(
         "path", "run_id", "corpus", *_stamps("first_seen", "last_seen", "missing_since")
     )
 
 
 def rag_eligible_files(spark, sf_dir):
-    return reports.eligible_files(_catalog(spark, sf_dir)).select("path", "fmt", "size_bytes")
+    return reports.eligible_files(_files(spark, sf_dir)).select("path", "fmt", "size_bytes")
 
 
 def files_by_category(spark, sf_dir):
-    return reports.count_by(_catalog(spark, sf_dir), "category")
+    return reports.count_by(_files(spark, sf_dir), "category")
 
 
 def files_by_corpus_hint(spark, sf_dir):
-    return reports.count_by(_catalog(spark, sf_dir), "corpus_hint")
+    return reports.count_by(_files(spark, sf_dir), "corpus_hint")
 
 
 def duplicate_groups(spark, sf_dir):
-    return duplicates.groups(_catalog(spark, sf_dir))
+    return duplicates.groups(_files(spark, sf_dir))
 
 
 def duplicate_groups_top(spark, sf_dir):
-    return duplicates.largest_first(duplicates.group_sizes(_catalog(spark, sf_dir)))
+    return duplicates.largest_first(duplicates.group_sizes(_files(spark, sf_dir)))
 
 
 def duplicate_members(spark, sf_dir):
-    return duplicates.members(_catalog(spark, sf_dir))
+    return duplicates.members(_files(spark, sf_dir))
 
 
 def duplicate_totals(spark, sf_dir):
-    return duplicates.totals(_catalog(spark, sf_dir))
+    return duplicates.totals(_files(spark, sf_dir))
 
 
 def catalog_summary(spark, sf_dir):
-    return reports.summary(_catalog(spark, sf_dir))
+    return reports.summary(_files(spark, sf_dir))
 
 
 def catalog_summary_present(spark, sf_dir):
-    return reports.summary(_catalog(spark, sf_dir), present_only=True)
+    return reports.summary(_files(spark, sf_dir), present_only=True)
 
 
 def run_counters(spark, sf_dir):
-    return merge.run_counters(_catalog(spark, sf_dir), RUN)
+    return merge.run_counters(_files(spark, sf_dir), RUN)
 
 
 def scan_result(spark, sf_dir):
     """Summary, run counters and missing counts as (metric, key, value)."""
-    plan = _plan(spark, sf_dir)
-    files = merge.merged(plan, RUN)
+    plan, files = _stored(spark, sf_dir, "plan", _plan), _files(spark, sf_dir)
     counters = merge.run_counters(files, RUN)
     missing = merge.missing_counts(plan)
 
@@ -229,7 +271,7 @@ def catalog_merge_no_hash_erase(spark, sf_dir):
 def partial_scan(spark, sf_dir):
     """A scan cut off by a limit neither flags nor prunes what it did not reach."""
     run = replace(RUN, partial=True, prune=True)
-    reached = visits.first_visits(tables.entries(spark, sf_dir), LIMIT)
+    reached = visits.first_visits(_entries(spark, sf_dir), LIMIT)
     files = _catalog(spark, sf_dir, run, visits.one_row_per_path(reached, overlapping=False))
     return files.selectExpr("path", "run_id", *_stamps("missing_since"))
 
@@ -239,7 +281,7 @@ def missing_count(spark, sf_dir):
 
 
 def mark_missing(spark, sf_dir):
-    files = _catalog(spark, sf_dir).where("missing_since IS NOT NULL")
+    files = _files(spark, sf_dir).where("missing_since IS NOT NULL")
     return files.selectExpr("path", *_stamps("missing_since"))
 
 
@@ -253,7 +295,7 @@ def reappeared(spark, sf_dir):
 
 
 def run_ledger(spark, sf_dir):
-    counters = merge.run_counters(_catalog(spark, sf_dir), RUN)
+    counters = merge.run_counters(_files(spark, sf_dir), RUN)
     return counters.selectExpr(
         f"'{RUN.run_id}' AS run_id", f"{iso_utc(RUN.timestamp)} AS started_at",
         f"'{','.join(RUN.roots)}' AS roots", "*",
@@ -262,26 +304,26 @@ def run_ledger(spark, sf_dir):
 
 def schema_upgrade(spark, sf_dir):
     """A snapshot written before ``missing_since`` existed, read with today's schema."""
-    old = tables.prior_catalog(spark, sf_dir).drop("missing_since")
+    old = _prior(spark, sf_dir).drop("missing_since")
     return with_files_schema(old).selectExpr(
         "id", "path", "sha256", *_stamps("first_seen", "missing_since")
     )
 
 
 def catalog_rows(spark, sf_dir):
-    return _catalog(spark, sf_dir).select("path", "size_bytes", "sha256").orderBy("path")
+    return _files(spark, sf_dir).select("path", "size_bytes", "sha256").orderBy("path")
 
 
 def csv_rows(spark, sf_dir):
-    return csv_fields(_catalog(spark, sf_dir)).drop("id").orderBy("path")
+    return csv_fields(_files(spark, sf_dir)).drop("id").orderBy("path")
 
 
 def moved_files(spark, sf_dir):
-    return duplicates.moved(_catalog(spark, sf_dir), RUN.run_id)
+    return duplicates.moved(_files(spark, sf_dir), RUN.run_id)
 
 
 def folder_callout(spark, sf_dir):
-    return reports.folder_callout(_catalog(spark, sf_dir))
+    return reports.folder_callout(_files(spark, sf_dir))
 
 
 QUERIES = {

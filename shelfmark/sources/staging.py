@@ -1,15 +1,26 @@
 """Where jobs write the tables that cut their lineage."""
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_dir(spark: SparkSession, name: str, fallback: str | None = None) -> str:
-    """A folder for one run, below the shared folder in ``spark.checkpoint.dir``.
+    """A folder for one job, below the shared folder in ``spark.checkpoint.dir``.
 
     ``fallback`` serves where the session names none; it must be on storage that
-    every executor reaches, such as the catalog's own folder.
+    every executor reaches, such as the catalog's own folder. Only a session in
+    local mode, as in tests, may go on without either.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if not shared and spark.sparkContext.master.startswith("local"):
+        shared = tempfile.gettempdir() + "/shelfmark"
     if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/{name}"
+
+
+def written(df: DataFrame, target: str) -> DataFrame:
+    """Write ``df`` as a table and go on from there; survives lost executors."""
+    df.write.mode("overwrite").parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)

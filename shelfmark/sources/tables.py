@@ -53,102 +53,96 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _as_files(df: DataFrame, path: str, content: str, mtime: str, *extra: str) -> DataFrame:
-    return df.selectExpr(
-        *extra, f"{path} AS path", f"bigint(octet_length({content})) AS size_bytes",
-        f"double({mtime}) AS mtime", f"sha2({content}, 256) AS new_sha256",
-    )
-
-
 def _document_path(folder: str) -> str:
     return f"concat('/lib/', {folder}, source, '_', doc_id, {SUFFIX})"
 
 
-def _documents(spark, sf_dir, *extra: str) -> DataFrame:
-    return _as_files(
-        table(spark, sf_dir, "documents"), _document_path(FOLDER), "text",
-        "doc_id + 1700000000.25D", *extra,
-    )
+# What each table's rows are as files: number, path, content, mtime.
+FILES_OF = {
+    "documents": ("doc_id", _document_path(FOLDER), "text", "doc_id + 1700000000.25D"),
+    "pages": (
+        # A URL that ends in a slash names a folder; its file is the index page.
+        "page_id",
+        "concat('/web/', replace(url, '://', '/'), if(endswith(url, '/'), 'index.html', ''))",
+        "html", "page_id + 1690000000.5D",
+    ),
+    "conversations": (
+        "turn", "concat('/lib/Client Notes/conv_', conv_id, '/', turn, '_', role, '.txt')",
+        "text", "turn + 1705000000",
+    ),
+    "benchmark": (
+        "item_id", "concat('/lib/Reference/item_', item_id, '.pdf')", "text",
+        "item_id + 1680000000",
+    ),
+    "labels": (
+        "doc_id", "concat('/other/labels/', doc_id, '.txt')", "concat(quality, '/', toxic)",
+        "doc_id + 1670000000",
+    ),
+}
 
 
-def _pages(spark, sf_dir, *extra: str) -> DataFrame:
-    # A URL that ends in a slash names a folder; its file is the index page.
-    path = "concat('/web/', replace(url, '://', '/'), if(endswith(url, '/'), 'index.html', ''))"
-    return _as_files(
-        table(spark, sf_dir, "pages"), path, "html", "page_id + 1690000000.5D", *extra
-    )
+def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per file of any table, with size and hash of its content.
 
+    The only step that reads texts. ``lang`` and ``moved_path`` are set for documents.
+    """
+    parts = []
+    for name, (number, path, content, mtime) in FILES_OF.items():
+        is_document = name == "documents"
+        parts.append(table(spark, sf_dir, name).selectExpr(
+            f"'{name}' AS kind", f"{number} AS number", f"{path} AS path",
+            f"bigint(octet_length({content})) AS size_bytes", f"double({mtime}) AS mtime",
+            f"sha2({content}, 256) AS new_sha256",
+            f"{'lang' if is_document else 'string(NULL)'} AS lang",
+            (_document_path("'Incoming/'") if is_document else "string(NULL)") + " AS moved_path",
+        ))
+    return reduce(DataFrame.union, parts)
 
-def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def entries(files: DataFrame) -> DataFrame:
     """What a scan of /lib and /web meets: one row per file, with its content hash."""
-    notes = _as_files(
-        table(spark, sf_dir, "conversations"),
-        "concat('/lib/Client Notes/conv_', conv_id, '/', turn, '_', role, '.txt')", "text",
-        "turn + 1705000000", "0 AS root_ordinal",
-    )
-    everything = _documents(spark, sf_dir, "0 AS root_ordinal").union(notes).union(
-        _pages(spark, sf_dir, "1 AS root_ordinal")
-    )
-    return everything.selectExpr(
-        "*", "if(root_ordinal = 0, '/lib', '/web') AS root", "string(NULL) AS error",
+    return files.where("kind IN ('documents', 'conversations', 'pages')").selectExpr(
+        "if(kind = 'pages', 1, 0) AS root_ordinal", "if(kind = 'pages', '/web', '/lib') AS root",
+        "path", "size_bytes", "mtime", "string(NULL) AS error", "new_sha256",
         "string(NULL) AS hash_error",
     )
 
 
-def entries_with_inner_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_inner_root(entries: DataFrame) -> DataFrame:
     """The same scan with /lib/Fiction as a third root, whose files it meets twice."""
-    once = entries(spark, sf_dir)
-    inner = once.where("startswith(path, '/lib/Fiction/')").selectExpr(
+    inner = entries.where("startswith(path, '/lib/Fiction/')").selectExpr(
         "* EXCEPT (root_ordinal, root)", "2 AS root_ordinal", "'/lib/Fiction' AS root"
     )
-    return once.unionByName(inner)
+    return entries.unionByName(inner)
 
 
-def prior_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prior_catalog(files: DataFrame, labels: DataFrame) -> DataFrame:
     """The stored snapshot of the scan before, in the catalog's schema."""
-    labels = table(spark, sf_dir, "labels")
-    documents = _documents(spark, sf_dir, "doc_id", "lang", "source").join(
-        labels, "doc_id", "left"
+    documents = files.where("kind = 'documents'").join(
+        labels.withColumnRenamed("doc_id", "number"), "number", "left"
     ).selectExpr(
-        "doc_id * 4 + 1 AS id",
+        "number * 4 + 1 AS id",
         "'/lib' AS root",
-        f"if(quality = 0, {_document_path(repr('Incoming/'))}, path) AS path",
+        "if(quality = 0, moved_path, path) AS path",
         "size_bytes + if(lang = 'fr', 1L, 0L) AS size_bytes",
         "mtime",
-        "CASE lang WHEN 'fr' THEN concat('stale', doc_id) WHEN 'es' THEN NULL ELSE new_sha256 END"
+        "CASE lang WHEN 'fr' THEN concat('stale', number) WHEN 'es' THEN NULL ELSE new_sha256 END"
         " AS sha256",
         f"if(quality = 1 AND toxic = 0, 'trusted-nonfiction', '{S.UNASSIGNED}') AS corpus",
         f"if(toxic = 1, timestamp_seconds({FLAGGED_AT}), NULL) AS missing_since",
     )
-
-    def plain(df, number, root, path, content, mtime):
-        return _as_files(df, path, content, mtime, f"{number} AS id", f"'{root}' AS root").selectExpr(
-            "id", "root", "path", "size_bytes", "mtime", "new_sha256 AS sha256",
-            f"'{S.UNASSIGNED}' AS corpus", "timestamp(NULL) AS missing_since",
-        )
-
-    rows = reduce(DataFrame.union, [
-        documents,
-        _pages(spark, sf_dir, "page_id").selectExpr(
-            "page_id * 4 + 2 AS id", "'/web' AS root", "path", "size_bytes", "mtime",
-            "new_sha256 AS sha256", f"'{S.UNASSIGNED}' AS corpus",
-            "timestamp(NULL) AS missing_since",
-        ),
-        plain(
-            table(spark, sf_dir, "benchmark"), "item_id * 4 + 3", "/lib",
-            "concat('/lib/Reference/item_', item_id, '.pdf')", "text", "item_id + 1680000000",
-        ),
-        plain(
-            labels, "doc_id * 4 + 4", "/other", "concat('/other/labels/', doc_id, '.txt')",
-            "concat(quality, '/', toxic)", "doc_id + 1670000000",
-        ),
-    ])
+    others = files.where("kind IN ('pages', 'benchmark', 'labels')").selectExpr(
+        "number * 4 + CASE kind WHEN 'pages' THEN 2 WHEN 'benchmark' THEN 3 ELSE 4 END AS id",
+        "CASE kind WHEN 'pages' THEN '/web' WHEN 'benchmark' THEN '/lib' ELSE '/other' END AS root",
+        "path", "size_bytes", "mtime", "new_sha256 AS sha256", f"'{S.UNASSIGNED}' AS corpus",
+        "timestamp(NULL) AS missing_since",
+    )
     first = f"timestamp_seconds({PRIOR_SCAN_AT})"
     values = {
         "sha256": f"if(category <> '{S.METADATA_CATEGORY}', sha256, NULL)",
         "run_id": f"'{PRIOR_RUN}'", "first_seen": first, "last_seen": first,
         "error": "string(NULL)",
     }
-    return names.described(rows).selectExpr(
+    return names.described(documents.union(others)).selectExpr(
         *[f"{values.get(c, c)} AS {c}" for c in S.FILE_COLUMNS]
     )
