@@ -153,9 +153,16 @@ def merged(rows: DataFrame, run: Run) -> DataFrame:
 
 def missing_counts(rows: DataFrame) -> DataFrame:
     """One row: stale rows, and those among them that no earlier run had flagged."""
+    return work_counts(rows).select("missing", "newly_missing")
+
+
+def work_counts(rows: DataFrame) -> DataFrame:
+    """One row: missing counts, rows without id, and files whose content must be read."""
     return rows.selectExpr(
         "count_if(stale) AS missing",
         "count_if(stale AND old_missing_since IS NULL) AS newly_missing",
+        "count_if(old_id IS NULL) AS without_id",
+        "count_if(action = 'hash') AS to_hash",
     )
 
 

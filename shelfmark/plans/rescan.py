@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfmark import schema as S
 from shelfmark.operators import ids, merge, reports, visits
 from shelfmark.sources import content, tree
-from shelfmark.sources.staging import staging_dir
+from shelfmark.sources.staging import staging_dir, written
 from shelfmark.sources.store import Catalog, export_csv
 
 
@@ -28,12 +28,14 @@ def summary_record(files: DataFrame) -> dict:
     return record
 
 
-def _with_hashes(planned: DataFrame, task_bytes: int) -> DataFrame:
+def _with_hashes(plan: DataFrame, to_hash: int, task_bytes: int) -> DataFrame:
     """Only rows that need it go through the file readers."""
-    idle = planned.where("action IS DISTINCT FROM 'hash'").selectExpr(
+    idle = plan.where("action IS DISTINCT FROM 'hash'").selectExpr(
         "*", "string(NULL) AS new_sha256", "string(NULL) AS hash_error"
     )
-    reading = content.with_file_hashes(planned.where("action = 'hash'"), task_bytes)
+    if not to_hash:
+        return idle
+    reading = content.with_file_hashes(plan.where("action = 'hash'"), task_bytes)
     return idle.unionByName(reading)
 
 
@@ -75,7 +77,7 @@ def rescan(
     found = tree.census(
         spark, scanned, f"{staging}/census", exclude, follow_links, listing_budget
     )
-    unlisted = found.unlisted.count()
+    unlisted = found.unlisted_count
     if unlisted:
         log(f"{unlisted} folders could not be listed; see {staging}/census")
     if prune and unlisted:
@@ -94,34 +96,29 @@ def rescan(
         entries = visits.first_visits(entries, limit)
     listing = visits.one_row_per_path(entries, visits.roots_overlap(scanned))
     last = store.latest()
-    prior = store.files()
-    plan_path = f"{staging}/plan"
-    merge.planned(merge.matched(listing, prior), run).write.mode("overwrite").parquet(plan_path)
-    plan = spark.read.parquet(plan_path)
-    missing, newly_missing = merge.missing_counts(plan).first()
-
-    new = plan.where("old_id IS NULL")
-    ids.numbered(new, "old_id", F.lit(last["last_id"] if last else 0)).write.mode(
-        "overwrite"
-    ).parquet(f"{staging}/new")
-    plan = plan.where("old_id IS NOT NULL").unionByName(spark.read.parquet(f"{staging}/new"))
-    store.write_snapshot(merge.merged(_with_hashes(plan, task_bytes), run), run_id)
-
-    written = store.scanned(run_id)
-    counters = merge.run_counters(written, run).first().asDict()
-    top_id = written.agg(F.max("id")).first()[0] or 0
+    last_id = last["last_id"] if last else 0
+    prior = store.snapshot(last["run_id"] if last else None)
+    plan = written(merge.planned(merge.matched(listing, prior), run), f"{staging}/plan")
+    todo = merge.work_counts(plan).first()
+    if todo["without_id"]:
+        new = ids.numbered(plan.where("old_id IS NULL"), "old_id", F.lit(last_id))
+        plan = plan.where("old_id IS NOT NULL").unionByName(written(new, f"{staging}/new"))
+    files = merge.merged(_with_hashes(plan, todo["to_hash"], task_bytes), run)
+    store.write_snapshot(files, run_id)
+
+    counters = merge.run_counters(store.snapshot(run_id, marks=True), run).first().asDict()
     store.commit({
         "run_id": run_id, "started_at": now, "finished_at": datetime.now(timezone.utc),
         "roots": scanned, **counters, "seq": (last["seq"] if last else 0) + 1,
-        "last_id": max(top_id, last["last_id"] if last else 0),
+        "last_id": last_id + todo["without_id"],
     })
 
-    current = store.files()
+    current = store.snapshot(run_id)
     record = summary_record(current) | {
         "run_id": run_id,
-        "missing": missing,
-        "newly_missing": newly_missing,
-        "pruned": missing if run.prune else 0,
+        "missing": todo["missing"],
+        "newly_missing": todo["newly_missing"],
+        "pruned": todo["missing"] if run.prune else 0,
         "files_hashed_this_run": counters["files_hashed"],
         "files_seen": counters["files_seen"],
         "errors": counters["errors"],

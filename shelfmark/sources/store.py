@@ -55,25 +55,26 @@ class Catalog:
     def snapshot_path(self, run_id: str) -> str:
         return f"{self.folder}/files/{run_id}"
 
-    def _snapshot(self, run, extra=()) -> DataFrame:
-        if run is None:
+    def snapshot(self, run_id: str | None, marks: bool = False) -> DataFrame:
+        """A run's snapshot, committed or not; without run, an empty one.
+
+        ``marks`` adds what the scan noted about each row.
+        """
+        if run_id is None:
             return self.spark.createDataFrame([], S.FILES)
         # A given schema reads columns that an older snapshot lacks as NULL.
-        wanted = T.StructType(S.FILES.fields + list(extra))
-        return self.spark.read.schema(wanted).parquet(self.snapshot_path(run["run_id"]))
+        wanted = S.FILES.fields + (S.SCAN_MARKS.fields if marks else [])
+        return self.spark.read.schema(T.StructType(wanted)).parquet(self.snapshot_path(run_id))
 
     def files(self) -> DataFrame:
         """The current snapshot."""
-        return self._snapshot(self.latest())
+        last = self.latest()
+        return self.snapshot(last["run_id"] if last else None)
 
     def rows(self) -> DataFrame:
         """The current snapshot in path order."""
         return self.files().orderBy("path")
 
-    def scanned(self, run_id: str) -> DataFrame:
-        """A run's snapshot, committed or not, with the marks its scan left."""
-        return self._snapshot({"run_id": run_id}, S.SCAN_MARKS.fields)
-
     def write_snapshot(self, files: DataFrame, run_id: str) -> None:
         """Write once; rows are spread by path so that AQE sizes the output files."""
         files.hint("rebalance", "path").write.mode("errorifexists").parquet(
@@ -81,16 +82,18 @@ class Catalog:
         )
 
     def commit(self, run: dict) -> None:
-        row = {c: run.get(c) for c in S.RUNS.fieldNames()} | {"schema_version": S.SCHEMA_VERSION}
-        self.spark.createDataFrame([row], S.RUNS).coalesce(1).write.mode("append").parquet(
-            f"{self.folder}/runs"
-        )
+        """Append one ledger row; the run is the current one from then on."""
+        values = run | {"schema_version": S.SCHEMA_VERSION}
+        row = self.spark.range(1).coalesce(1).select(*[
+            F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in S.RUNS
+        ])
+        row.write.mode("append").parquet(f"{self.folder}/runs")
 
     def adopt(self, stored: DataFrame, run_id: str) -> None:
         """Take over an existing files table, of this or an older schema, as a snapshot."""
         last = self.latest()
         self.write_snapshot(with_files_schema(stored), run_id)
-        top = self.scanned(run_id).agg(F.max("id")).first()[0] or 0
+        top = self.snapshot(run_id).agg(F.max("id")).first()[0] or 0
         now = datetime.now(timezone.utc)
         self.commit({
             "run_id": run_id, "started_at": now, "finished_at": now, "note": "adopted",

@@ -41,6 +41,7 @@ class Census:
 
     entries: DataFrame
     unlisted: DataFrame
+    unlisted_count: int
     rounds: int
 
 
@@ -161,7 +162,7 @@ def census(
     width = 4 * spark.sparkContext.defaultParallelism
     first = [(FOLDER, bytearray(os.fsencode(r)), i, r) for i, r in enumerate(roots)]
     work = spark.createDataFrame(first, T.StructType([ROUND[c] for c in WORK]))
-    waiting, done = len(first), 0
+    waiting, unlisted, done = len(first), 0, 0
     while waiting:
         tasks = min(width, -(-waiting // items_per_task)) if done else waiting
         target = f"{staging}/round={done}"
@@ -172,11 +173,14 @@ def census(
         )
         done += 1
         written = spark.read.schema(ROUND).parquet(target)
+        counts = dict(written.groupBy("kind").count().collect())
+        waiting = counts.get(FOLDER, 0) + counts.get(FILE, 0)
+        unlisted += counts.get(UNLISTED, 0)
         work = written.where(F.col("kind").isin(FOLDER, FILE)).select(*WORK)
-        waiting = work.count()
     everything = spark.read.schema(ROUND).parquet(*[f"{staging}/round={i}" for i in range(done)])
     return Census(
         everything.where(F.col("kind") == ENTRY).select(*S.ENTRIES.fieldNames()),
         everything.where(F.col("kind") == UNLISTED).select("root", "path", "error"),
+        unlisted,
         done,
     )
