@@ -177,7 +177,9 @@ def census(
         waiting = counts.get(FOLDER, 0) + counts.get(FILE, 0)
         unlisted += counts.get(UNLISTED, 0)
         work = written.where(F.col("kind").isin(FOLDER, FILE)).select(*WORK)
-    everything = spark.read.schema(ROUND).parquet(*[f"{staging}/round={i}" for i in range(done)])
+    everything = spark.read.schema(ROUND).option("basePath", staging).parquet(
+        *[f"{staging}/round={i}" for i in range(done)]
+    )
     return Census(
         everything.where(F.col("kind") == ENTRY).select(*S.ENTRIES.fieldNames()),
         everything.where(F.col("kind") == UNLISTED).select("root", "path", "error"),
