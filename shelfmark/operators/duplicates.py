@@ -3,6 +3,10 @@
 All empty files share one hash, so a group can be as large as the catalog. Group
 sizes come from partially aggregated counts; members are joined to them, where
 AQE splits a hot hash; and the text form cuts a group into parts of bounded size.
+
+AQE splits a hot key only where both inputs of a join come straight from the
+join's own shuffles. The aggregated side is already partitioned by the key, so it
+would get none; ``rebalance`` on that side, which is small, makes Spark add it.
 """
 
 from pyspark.sql import DataFrame
@@ -24,7 +28,7 @@ def group_sizes(files: DataFrame) -> DataFrame:
 def members(files: DataFrame) -> DataFrame:
     """(sha256, size_bytes, copies, path), one row per file in a group."""
     paths = files.where("sha256 IS NOT NULL").select("sha256", "path")
-    return paths.join(group_sizes(files), "sha256").select(
+    return paths.join(group_sizes(files).hint("rebalance"), "sha256").select(
         "sha256", "size_bytes", "copies", "path"
     )
 
@@ -82,4 +86,4 @@ def moved(files: DataFrame, run_id: str) -> DataFrame:
     gone = files.where("missing_since IS NOT NULL AND sha256 IS NOT NULL").select(
         "sha256", F.col("path").alias("old_path")
     )
-    return gone.join(arrived, "sha256").select("sha256", "old_path", "new_copies", "new_path")
+    return gone.join(arrived.hint("rebalance"), "sha256").select("sha256", "old_path", "new_copies", "new_path")
