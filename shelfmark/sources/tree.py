@@ -158,13 +158,14 @@ def census(
     Links to files are files. Links to folders are neither rows nor entered
     unless ``follow_links``. Excluded folders are not entered.
     """
-    run = _lister(list(exclude), follow_links, budget)
     width = 4 * spark.sparkContext.defaultParallelism
     first = [(FOLDER, bytearray(os.fsencode(r)), i, r) for i, r in enumerate(roots)]
     work = spark.createDataFrame(first, T.StructType([ROUND[c] for c in WORK]))
     waiting, unlisted, done = len(first), 0, 0
     while waiting:
         tasks = min(width, -(-waiting // items_per_task)) if done else waiting
+        # The first round has few tasks, so it stops early to let others share the work.
+        run = _lister(list(exclude), follow_links, budget if done else max(budget // 4, 1))
         target = f"{staging}/round={done}"
         (
             work.repartition(tasks, "place")

@@ -8,6 +8,10 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
 
 
 def connect(sf_dir):
@@ -23,10 +27,14 @@ def mismatch(df, con, sql):
     ours = df.collect()
     cursor = con.execute(sql)
     columns = [d[0] for d in cursor.description]
+    theirs = [dict(zip(columns, r)) for r in cursor.fetchall()]
     if sorted(df.columns) != sorted(columns):
         return f"columns {sorted(df.columns)} vs {sorted(columns)}"
+    declared = {r[0]: str(r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    wanted = {c: TYPES[t] for c, t in df.dtypes}
+    if declared != wanted:
+        return f"types {wanted} vs {declared}"
     order = sorted(columns)
-    theirs = [dict(zip(columns, r)) for r in cursor.fetchall()]
     a = Counter(tuple(r[c] for c in order) for r in ours)
     b = Counter(tuple(r[c] for c in order) for r in theirs)
     if a == b:
