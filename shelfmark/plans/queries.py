@@ -46,7 +46,10 @@ def _stored(spark, sf_dir, name, build) -> DataFrame:
 
 
 def _contents(spark, sf_dir) -> DataFrame:
-    return _stored(spark, sf_dir, "contents", tables.contents)
+    def build(spark, sf_dir):
+        return tables.contents(spark, sf_dir).hint("rebalance", "path")
+
+    return _stored(spark, sf_dir, "contents", build)
 
 
 def _entries(spark, sf_dir) -> DataFrame:

@@ -85,6 +85,8 @@ def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per file of any table, with size and hash of its content.
 
     The only step that reads texts. ``lang`` and ``moved_path`` are set for documents.
+    Where it is stored, ``rebalance`` it: rows are far smaller than the texts, so
+    one output file per scan task would be tiny.
     """
     parts = []
     for name, (number, path, content, mtime) in FILES_OF.items():
