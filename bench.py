@@ -64,7 +64,6 @@ def main():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", str(scratch / "staging"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,6 +1,7 @@
 """A whole scan: list storage, join the prior snapshot, hash, write, report."""
 
 import time
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +73,9 @@ def rescan(
     run_id = run_id or new_run_id(now)
     scanned = tree.resolve_roots(roots, warn=log)
     store = Catalog(spark, catalog)
-    staging = staging_dir(spark, f"scan-{run_id}", fallback=f"{store.folder}/staging")
+    # Unique, since catalogs that share the staging folder may run at the same time.
+    name = f"scan-{run_id}-{uuid.uuid4().hex[:8]}"
+    staging = staging_dir(spark, name, fallback=f"{store.folder}/staging")
 
     found = tree.census(
         spark, scanned, f"{staging}/census", exclude, follow_links, listing_budget

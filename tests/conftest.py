@@ -21,7 +21,6 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("staging")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

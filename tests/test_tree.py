@@ -75,6 +75,20 @@ def test_following_links(spark, tmp_path_factory, odd):
     assert rels(found, odd) == sorted(ALWAYS + JUNK + ["folder-link/elsewhere.txt"])
 
 
+def test_link_cycles_end_where_a_walk_ends(spark, tmp_path_factory, tmp_path):
+    base = tmp_path / "cycle"
+    (base / "a").mkdir(parents=True)
+    (base / "a/x.txt").touch()
+    (base / "a/again").symlink_to(base / "a")
+    walked = sorted(
+        os.path.relpath(os.path.join(folder, f), base)
+        for folder, _, files in os.walk(base, followlinks=True) for f in files
+    )
+    assert len(walked) > 30
+    found = scan(spark, tmp_path_factory, [base], follow_links=True, budget=10)
+    assert rels(found, base) == walked
+
+
 @pytest.mark.parametrize("budget", [1, 3, 7])
 def test_small_budgets_take_rounds_but_lose_nothing(spark, tmp_path_factory, odd, budget):
     found = scan(spark, tmp_path_factory, [odd], budget=budget)
