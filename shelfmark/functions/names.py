@@ -28,7 +28,8 @@ def top_folder(rel: str) -> str:
 
 
 def extension(name: str) -> str:
-    return rf"lower(regexp_extract({name}, r'(?s)^.+[.]([^.]+)\z', 1))"
+    """What follows the last dot, in lower case; a dot that starts the name does not count."""
+    return f"if(contains(substring({name}, 2), '.'), lower(substring_index({name}, '.', -1)), '')"
 
 
 def category(ext: str) -> str:

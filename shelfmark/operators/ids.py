@@ -5,13 +5,12 @@ from pyspark.sql import functions as F
 
 BUCKETS = 4096
 
-
 # The first three hex digits of a path's MD5 give BUCKETS even shares of any paths.
 BUCKET = "int(conv(substring(md5(path), 1, 3), 16, 10))"
 
 
-def numbered(new: DataFrame, id_column: str, last_id: Column) -> DataFrame:
-    """Give rows ids from ``last_id`` + 1 on, in (bucket, path) order.
+def numbered(new: DataFrame, last_id: Column) -> DataFrame:
+    """Give rows an ``id`` from ``last_id`` + 1 on, in (bucket, path) order.
 
     A global row_number would run in one task. Here every bucket numbers its own
     rows and starts where the buckets before it end; the table of starts has at
@@ -27,6 +26,6 @@ def numbered(new: DataFrame, id_column: str, last_id: Column) -> DataFrame:
     return (
         placed.withColumn("rank", rank)
         .join(F.broadcast(starts), "bucket")
-        .withColumn(id_column, (F.col("start") + F.col("rank")).cast("long"))
+        .withColumn("id", (F.col("start") + F.col("rank")).cast("long"))
         .select(*new.columns)
     )

@@ -1,9 +1,10 @@
 """One rescan of a catalog as one full outer join of listing and prior snapshot.
 
-``matched`` joins, ``planned`` decides per row what happens to its hash, and
-``merged`` projects the next snapshot. Everything a rescan reports (changes,
-missing rows, counters) reads the same matched rows, so a run joins once. Paths
-are unique on both sides, so the join key has no hot values.
+``matched`` joins. ``planned`` projects each pair to its next catalog row, with all
+that is known before contents are read, and says whether its content must be.
+``merged`` adds the hashes. Everything a rescan reports (changes, missing rows,
+counters) follows from the planned rows, so a run joins once and stores no column
+twice. Paths are unique on both sides, so the join key has no hot values.
 """
 
 from dataclasses import dataclass
@@ -19,6 +20,8 @@ SEEN = "visits IS NOT NULL"
 KNOWN = "old_known IS NOT NULL"
 # NULL on either side is never the same signature.
 SAME_SIGNATURE = "coalesce(size_bytes = old_size_bytes AND mtime = old_mtime, false)"
+# What reading a content yields: its hash, or an error text.
+HASH_COLUMNS = ("new_sha256", "hash_error")
 
 
 @dataclass(frozen=True)
@@ -59,12 +62,17 @@ def matched(listing: DataFrame, prior: DataFrame) -> DataFrame:
     """Full outer join on path; prior columns carry the prefix ``old_``.
 
     Columns that follow from the path are derived after the join, so the
-    listing side shuffles only path, root, size, mtime and error.
+    listing side shuffles only path, root, size, mtime and error. Paths share long
+    beginnings, which makes them slow to sort; sorting by a hash first decides nearly
+    every comparison on one number.
     """
+    path_hash = "xxhash64(path) AS path_hash"
     old = prior.selectExpr(
-        "path", "true AS old_known", *[f"{c} AS old_{c}" for c in S.FILE_COLUMNS if c != "path"]
+        path_hash, "path", "true AS old_known",
+        *[f"{c} AS old_{c}" for c in S.FILE_COLUMNS if c != "path"],
     )
-    return listing.join(old, "path", "full_outer")
+    both = listing.selectExpr("*", path_hash).join(old, ["path_hash", "path"], "full_outer")
+    return both.drop("path_hash")
 
 
 def is_stale(run: Run) -> Column:
@@ -106,21 +114,13 @@ CHANGE = f"""
 
 
 def planned(rows: DataFrame, run: Run) -> DataFrame:
-    """Matched rows with path-derived columns, ``stale``, ``action`` and ``change``."""
-    return names.described(rows.withColumn("stale", is_stale(run)), run.hint_scope).selectExpr(
-        "*", f"{hash_action(run)} AS action", f"{CHANGE} AS change"
-    )
-
-
-def merged(rows: DataFrame, run: Run) -> DataFrame:
-    """The next snapshot from planned rows that carry ``new_sha256`` and ``hash_error``.
+    """Next catalog rows as far as known without reading contents.
 
-    Rows not known before take their id from ``old_id`` as well, where the caller
-    has put a new one (see ``ids.numbered``), or have none.
+    Beside the catalog columns: ``visits`` (NULL for rows not seen), ``action``,
+    ``change``, ``stale``, ``was_missing``, and the columns ``new_sha256`` and
+    ``hash_error`` where the listing came with them. Stale rows are still there,
+    and rows not known before have no id yet (see ``ids.numbered``).
     """
-    if run.prune:
-        rows = rows.where("NOT stale")
-
     kept_hash = "NULL"
     if not run.hashing and run.no_hash_policy == "keep":
         kept_hash = (
@@ -133,8 +133,8 @@ def merged(rows: DataFrame, run: Run) -> DataFrame:
         "id": "old_id",
         "path": "path",
         "sha256": f"""
-            CASE WHEN visits IS NULL THEN old_sha256 WHEN action = 'hash' THEN new_sha256
-                 WHEN action = 'reuse' THEN old_sha256 ELSE {kept_hash} END""",
+            CASE WHEN visits IS NULL OR action = 'reuse' THEN old_sha256
+                 WHEN action = 'skip' THEN {kept_hash} END""",
         "corpus": f"IF({SEEN}, coalesce({kept_corpus}, '{S.UNASSIGNED}'), old_corpus)",
         "run_id": f"IF({SEEN}, '{run.run_id}', old_run_id)",
         "first_seen": f"IF({KNOWN}, old_first_seen, {run.timestamp})",
@@ -142,26 +142,43 @@ def merged(rows: DataFrame, run: Run) -> DataFrame:
         "missing_since": f"""
             CASE WHEN stale THEN coalesce(old_missing_since, {run.timestamp})
                  WHEN visits IS NULL THEN old_missing_since END""",
-        "error": f"IF({SEEN}, coalesce(error, hash_error), old_error)",
     }
-    return rows.selectExpr(
+    decided = names.described(rows.withColumn("stale", is_stale(run)), run.hint_scope).selectExpr(
+        "*", f"{hash_action(run)} AS action", f"{CHANGE} AS change"
+    )
+    return decided.selectExpr(
         *[f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in S.FILES],
+        "visits", "action", "change", "stale", "old_missing_since IS NOT NULL AS was_missing",
+        *[c for c in HASH_COLUMNS if c in rows.columns],
+    )
+
+
+def merged(plan: DataFrame, run: Run) -> DataFrame:
+    """The next snapshot with scan marks, from a plan with ``HASH_COLUMNS``."""
+    if run.prune:
+        plan = plan.where("NOT stale")
+    values = {
+        "sha256": "IF(action = 'hash', new_sha256, sha256)",
+        "error": "IF(action = 'hash', hash_error, error)",
+    }
+    return plan.selectExpr(
+        *[f"{values.get(c, c)} AS {c}" for c in S.FILE_COLUMNS],
         "coalesce(visits, 0L) AS visits",
         "coalesce(action = 'hash' AND new_sha256 IS NOT NULL, false) AS hashed_now",
     )
 
 
-def missing_counts(rows: DataFrame) -> DataFrame:
+def missing_counts(plan: DataFrame) -> DataFrame:
     """One row: stale rows, and those among them that no earlier run had flagged."""
-    return work_counts(rows).select("missing", "newly_missing")
+    return work_counts(plan).select("missing", "newly_missing")
 
 
-def work_counts(rows: DataFrame) -> DataFrame:
+def work_counts(plan: DataFrame) -> DataFrame:
     """One row: missing counts, rows without id, and files whose content must be read."""
-    return rows.selectExpr(
+    return plan.selectExpr(
         "count_if(stale) AS missing",
-        "count_if(stale AND old_missing_since IS NULL) AS newly_missing",
-        "count_if(old_id IS NULL) AS without_id",
+        "count_if(stale AND NOT was_missing) AS newly_missing",
+        "count_if(id IS NULL) AS without_id",
         "count_if(action = 'hash') AS to_hash",
     )
 

@@ -91,8 +91,8 @@ def _catalog(spark, sf_dir, run=RUN, listing=None) -> DataFrame:
 def _numbered_catalog(spark, sf_dir) -> DataFrame:
     plan = _stored(spark, sf_dir, "plan", _plan)
     last_id = _prior(spark, sf_dir).agg(F.max("id")).scalar()
-    new = ids.numbered(plan.where("old_id IS NULL"), "old_id", last_id)
-    return merge.merged(plan.where("old_id IS NOT NULL").unionByName(new), RUN)
+    new = ids.numbered(plan.where("id IS NULL"), last_id)
+    return merge.merged(plan.where("id IS NOT NULL").unionByName(new), RUN)
 
 
 def _described(spark, sf_dir) -> DataFrame:
@@ -295,7 +295,7 @@ def prune_missing(spark, sf_dir):
 
 
 def reappeared(spark, sf_dir):
-    back = _plan(spark, sf_dir).where(f"{merge.SEEN} AND old_missing_since IS NOT NULL")
+    back = _plan(spark, sf_dir).where(f"{merge.SEEN} AND was_missing")
     return merge.merged(back, RUN).selectExpr("path", *_stamps("first_seen", "missing_since"))
 
 

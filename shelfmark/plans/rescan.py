@@ -104,8 +104,8 @@ def rescan(
     plan = written(merge.planned(merge.matched(listing, prior), run), f"{staging}/plan")
     todo = merge.work_counts(plan).first()
     if todo["without_id"]:
-        new = ids.numbered(plan.where("old_id IS NULL"), "old_id", F.lit(last_id))
-        plan = plan.where("old_id IS NOT NULL").unionByName(written(new, f"{staging}/new"))
+        new = ids.numbered(plan.where("id IS NULL"), F.lit(last_id))
+        plan = plan.where("id IS NOT NULL").unionByName(written(new, f"{staging}/new"))
     files = merge.merged(_with_hashes(plan, todo["to_hash"], task_bytes), run)
     store.write_snapshot(files, run_id)
 

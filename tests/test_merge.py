@@ -196,10 +196,10 @@ def test_overlapping_roots_count_visits(spark):
 
 def test_ids_are_dense_and_repeatable(spark):
     new = spark.range(20_000).selectExpr("concat('/p/', id) AS path", "bigint(NULL) AS id", "id % 7 AS x")
-    ones = ids.numbered(new, "id", F.lit(100))
+    ones = ids.numbered(new, F.lit(100))
     got = {r["path"]: r["id"] for r in ones.collect()}
     assert sorted(got.values()) == list(range(101, 20_101))
-    assert got == {r["path"]: r["id"] for r in ids.numbered(new.repartition(5), "id", F.lit(100)).collect()}
+    assert got == {r["path"]: r["id"] for r in ids.numbered(new.repartition(5), F.lit(100)).collect()}
     assert ones.columns == new.columns
 
 

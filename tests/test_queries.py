@@ -65,7 +65,7 @@ def test_reports_read_only_their_columns(spark, sf_dir):
 def test_a_rescan_is_one_join(spark, sf_dir):
     plan = plan_of(QUERIES["change_report"](spark, sf_dir))
     assert plan.count("SortMergeJoin") == 1 and "FullOuter" in plan
-    assert plan.count("Exchange hashpartitioning(path") == 2
+    assert plan.count("Exchange hashpartitioning(path_hash") == 2
 
 
 def test_tree_census_hashes_the_files_given(spark, sf_dir):

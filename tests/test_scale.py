@@ -103,7 +103,7 @@ def test_id_buckets_are_even(catalog):
 def test_new_ids_broadcast_only_the_bucket_table(spark, catalog):
     from pyspark.sql import functions as F
 
-    df = ids.numbered(catalog.selectExpr("path", "bigint(NULL) AS id"), "id", F.lit(0))
+    df = ids.numbered(catalog.selectExpr("path", "bigint(NULL) AS id"), F.lit(0))
     plan = final_plan(df)
     assert plan.count("BroadcastExchange") == 1
     below = plan[plan.index("BroadcastExchange"):]
