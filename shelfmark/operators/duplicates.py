@@ -86,4 +86,5 @@ def moved(files: DataFrame, run_id: str) -> DataFrame:
     gone = files.where("missing_since IS NOT NULL AND sha256 IS NOT NULL").select(
         "sha256", F.col("path").alias("old_path")
     )
-    return gone.join(arrived.hint("rebalance"), "sha256").select("sha256", "old_path", "new_copies", "new_path")
+    found = gone.join(arrived.hint("rebalance"), "sha256")
+    return found.select("sha256", "old_path", "new_copies", "new_path")

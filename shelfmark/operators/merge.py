@@ -7,6 +7,7 @@ counters) follows from the planned rows, so a run joins once and stores no colum
 twice. Paths are unique on both sides, so the join key has no hot values.
 """
 
+import re
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -47,6 +48,9 @@ class Run:
     hint_scope: str = "path"
 
     def __post_init__(self):
+        # It names a folder, and stands in SQL texts.
+        if not re.fullmatch(r"[A-Za-z0-9._-]+", self.run_id):
+            raise ValueError(f"run_id: {self.run_id!r}")
         if self.corpus_policy not in ("preserve", "reset"):
             raise ValueError(f"corpus_policy: {self.corpus_policy!r}")
         if self.no_hash_policy not in ("keep", "erase"):

@@ -37,8 +37,6 @@ def one_row_per_path(entries: DataFrame, overlapping: bool) -> DataFrame:
     if not overlapping:
         return entries.selectExpr("* EXCEPT (root_ordinal)", "1L AS visits")
     rest = ", ".join(c for c in entries.columns if c not in ("path", "root_ordinal"))
-    return (
-        entries.groupBy("path")
-        .agg(F.expr(f"max_by(struct({rest}), root_ordinal)").alias("last"), F.count("*").alias("visits"))
-        .selectExpr("path", "last.*", "visits")
-    )
+    last = F.expr(f"max_by(struct({rest}), root_ordinal)")
+    grouped = entries.groupBy("path").agg(last.alias("last"), F.count("*").alias("visits"))
+    return grouped.selectExpr("path", "last.*", "visits")

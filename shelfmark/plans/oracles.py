@@ -20,7 +20,10 @@ SUFFIX = (
     "(['.mobi', '.EPUB', '.pdf', '.mp3', '.cbz', '.jpg', '.zip', '.azw.res', '.xyz', '',"
     " '.azw3', '.txt'])[(doc_id % 12 + 1)::INT]"
 )
-PAGE = "'/web/' || replace(url, '://', '/') || CASE WHEN url LIKE '%/' THEN 'index.html' ELSE '' END"
+PAGE = (
+    "'/web/' || replace(url, '://', '/')"
+    " || CASE WHEN url LIKE '%/' THEN 'index.html' ELSE '' END"
+)
 
 
 def _formats() -> str:
@@ -42,7 +45,8 @@ def _hint(text: str) -> str:
 
 def _described(name: str, source: str) -> str:
     return f"""{name} AS (
-      SELECT * EXCLUDE (e, f, c, r), coalesce(f, 'unknown') AS fmt, coalesce(c, 'other') AS category,
+      SELECT * EXCLUDE (e, f, c, r), coalesce(f, 'unknown') AS fmt,
+             coalesce(c, 'other') AS category,
              coalesce(r, 0) AS rag_eligible, {_hint('path')} AS corpus_hint
       FROM (SELECT *, CASE WHEN rel_path LIKE '%/%' THEN split_part(rel_path, '/', 1) ELSE '' END
                      AS top_folder,

@@ -115,8 +115,9 @@ def test_corpus_policies(spark):
     assert reset["/r/x.epub"]["corpus"] == "unassigned"
     with pytest.raises(ValueError):
         replace(RUN, corpus_policy="drop")
-    with pytest.raises(ValueError):
-        replace(RUN, no_hash_policy="drop")
+    for wrong in ({"no_hash_policy": "drop"}, {"run_id": "it's"}, {"run_id": ""}):
+        with pytest.raises(ValueError):
+            replace(RUN, **wrong)
 
 
 def missing_case(spark):
