@@ -308,7 +308,7 @@ ORACLES = {
     "change_counts": _sides("SELECT change, count(*) AS n FROM both_sides GROUP BY change"),
     "catalog_merge": _after(
         "SELECT coalesce(old_id, (SELECT max(id) FROM prior) + row_number() OVER"
-        " (PARTITION BY old_id IS NULL ORDER BY substr(md5(path), 1, 3), path))::BIGINT AS id,"
+        " (PARTITION BY old_id IS NULL ORDER BY substr(md5(path), 1, 4), path))::BIGINT AS id,"
         " path, root, rel_path, top_folder, filename, ext, fmt, category,"
         " rag_eligible::INT AS rag_eligible, size_bytes::BIGINT AS size_bytes, mtime, sha256,"
         " corpus, corpus_hint, run_id, first_seen, last_seen, missing_since, error FROM files"

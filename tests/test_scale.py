@@ -96,8 +96,10 @@ def test_moved_files_stay_linear(catalog, small_partitions):
 
 
 def test_id_buckets_are_even(catalog):
-    sizes = [r["count"] for r in catalog.selectExpr(f"{ids.BUCKET} AS b").groupBy("b").count().collect()]
-    assert len(sizes) == ids.BUCKETS and max(sizes) < 5 * N / ids.BUCKETS
+    buckets = catalog.selectExpr(f"{ids.BUCKET} AS b").groupBy("b").count()
+    low, high, used, most = buckets.selectExpr("min(b)", "max(b)", "count(*)", "max(count)").first()
+    assert 0 <= low and high < ids.BUCKETS
+    assert used > N / 2 and most < 15
 
 
 def test_new_ids_broadcast_only_the_bucket_table(spark, catalog):
