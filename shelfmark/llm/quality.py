@@ -25,11 +25,11 @@ STEPS = 3
 FINE = 16
 LAST_BIN = 4000
 #: Least standard deviation of each coordinate, which keeps covariances regular.
-FLOORS = (0.25, 0.06, 0.06, 0.08, 0.4)
+FLOORS = (0.25, 0.06, 0.06, 0.15, 0.6)
 #: The median of a chi-square variable with five degrees of freedom.
 MEDIAN_SQUARE = 4.351460191095526
 #: Squared distance, scaled to that median, beyond which a document is rejected.
-CUTOFF = 150.0
+CUTOFF = 250.0
 #: Groups with fewer documents to estimate from reject none.
 LEAST_GROUP = 30
 P = len(FLOORS)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
-    bpe, fm_index, id_store, near_dedup, quality, unigram, url_rules, warc
+    bpe, class_lm, fm_index, id_store, near_dedup, quality, substrings, unigram, url_rules, warc,
 )
 from shelfmark.llm.tables import table
 
@@ -18,6 +18,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(
         table(spark, sf_dir, "documents"),
@@ -36,6 +40,12 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.verdicts(table(spark, sf_dir, "pages"))
 
 
+def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.scores(
+        table(spark, sf_dir, "documents"), "crc32(encode(cast(doc_id AS string), 'UTF-8')) % 7 = 2"
+    )
+
+
 def op7_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces, byte_pieces = unigram.pieces_of(public_tokenizers.path("piece_bpe_32k.model"))
     return unigram.token_counts(table(spark, sf_dir, "documents"), pieces, byte_pieces)
@@ -65,7 +75,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_near_dedup, op3_byte_bpe, op4_id_store, op5_url_rules, op7_unigram_counts,
-        op8_outliers, op9_warc, op10_decontamination,
+        op1_near_dedup, op2_substrings, op3_byte_bpe, op4_id_store, op5_url_rules, op6_class_lm,
+        op7_unigram_counts, op8_outliers, op9_warc, op10_decontamination,
     )
 }
