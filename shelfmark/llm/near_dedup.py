@@ -9,8 +9,10 @@ candidates; their whole signatures are counted only where sizes allow the simila
 (skip), and pairs with at least ``MATCHES`` are confirmed on their full sets. At a
 similarity of 0.8 a pair misses ``MATCHES`` with a probability below one in a million.
 
-Pairs in a large group are not listed. First every member meets its posting list's
-smallest member. Then only members that are still outside the list's main component meet
+Pairs in a large group are not listed. Shingles that no other posted set holds are counted,
+so s, the number of a set's other shingles, bounds all its intersections, and pairs whose
+bound is too small are skipped. First every member meets the member of its posting list with
+the smallest share of shingles of its own. Then only members that are still outside the list's main component meet
 the others, and only across components, so what is linked already is not compared again
 while no link between two components is lost.
 """
@@ -81,6 +83,17 @@ def _keyed(batches, size: int):
         )
 
 
+def _exploded(batches, size: int):
+    for batch in batches:
+        for low, high in texts.slices(batch.column(1)):
+            found = list(_sets(batch.column(1).slice(low, high - low), size))
+            owner = np.repeat(np.arange(low, high), [len(s) for s in found])
+            flat = np.concatenate(found).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(owner)), pa.array(flat)], names=["key", "shingle"]
+            )
+
+
 def _confirmed(batches, size: int, similarity: int):
     """Pairs whose full sets are similar enough. Rows: a, text of a, b, text of b."""
     held: tuple = (None, None)
@@ -131,12 +144,25 @@ def near_duplicates(
     )
     postings = _postings(classes)
     sets = _texts(source, postings, classes, shingle)
+    alone = sets.mapInArrow(partial(_exploded, size=shingle), "key binary, shingle long").groupBy(
+        "shingle"
+    ).agg(F.count("*").alias("held"), F.min("key").alias("key")).where("held = 1").groupBy("key").agg(
+        F.count("*").alias("alone")
+    )
+    postings = staged(
+        postings.join(alone, "key", "left").selectExpr("token", "key", "n", "n - coalesce(alone, 0) AS s"),
+        "postings",
+    )
     confirm = partial(_confirm, classes=classes, sets=sets, size=shingle, similarity=similarity)
 
-    fits = f"100 * least(n, other_n) >= {similarity} * greatest(n, other_n)"
+    most = "least(s, other_s)"  # no intersection is larger
+    fits = f"100 * {most} >= {similarity} * (n + other_n - {most})"
     heads = postings.groupBy("token").agg(
-        F.min(F.struct("key", "n")).alias("head"), F.count("*").alias("members")
-    ).where("members > 1").selectExpr("token", "head.key AS other", "head.n AS other_n")
+        F.min(F.struct(F.expr("(n - s) / n").alias("share"), "key", "n", "s")).alias("head"),
+        F.count("*").alias("members"),
+    ).where("members > 1").selectExpr(
+        "token", "head.key AS other", "head.n AS other_n", "head.s AS other_s"
+    )
     first = postings.join(heads.repartition("token"), "token").where(f"key <> other AND {fits}")
     links = staged(confirm(first), "links")
 
@@ -144,11 +170,18 @@ def near_duplicates(
     placed = staged(
         postings.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")), "placed"
     )
-    main = placed.groupBy("token", "root").agg(F.count("*").alias("members")).groupBy("token").agg(
-        F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("roots")
-    ).where("roots > 1").select("token", "main")
-    outside = placed.join(main.repartition("token"), "token").where("root <> main")
-    others = placed.selectExpr("token", "key AS other", "n AS other_n", "root AS other_root")
+    main = placed.groupBy("token", "root").agg(
+        F.count("*").alias("members"), F.min("n").alias("least")
+    ).groupBy("token").agg(
+        F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("roots"),
+        F.min("least").alias("least"),
+    ).where("roots > 1").select("token", "main", "least")
+    outside = placed.join(main.repartition("token"), "token").where(
+        f"root <> main AND 100 * s >= {similarity} * (n + least - s)"
+    )
+    others = placed.selectExpr(
+        "token", "key AS other", "n AS other_n", "s AS other_s", "root AS other_root"
+    )
     second = outside.join(others, "token").where(
         f"root <> other_root AND (other_root = main OR key < other) AND {fits}"
     )
