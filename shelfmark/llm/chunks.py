@@ -13,7 +13,7 @@ import pyarrow as pa
 from shelfmark.llm import texts
 
 #: Chunks that a worker remembers, about 40 bytes each; then it starts anew.
-MEMO = 1_000_000
+MEMO = 500_000
 
 _LETTER = texts.byte_set((0x41, 0x5A), (0x61, 0x7A))
 _PUNCT = texts.byte_set((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))

@@ -35,7 +35,9 @@ SHARD = 64 << 20
 DICTIONARY = 64 << 10
 SAMPLE = 500
 SAMPLE_BYTES = 32 << 10
-SLICE = 8 << 20
+SLICE = 4 << 20
+#: Chunks in one call of the tokenizer, whose results are large objects.
+CALL = 8192
 
 _OPEN: dict = {}
 
@@ -46,9 +48,11 @@ def _encoder(model: str):
         _OPEN.clear()
         tokenizer = Tokenizer.from_str(model)
         tokenizer.encode_special_tokens = True
-        _OPEN[model] = Encoder(
-            lambda chunks: [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        )
+        _OPEN[model] = Encoder(lambda chunks: [
+            e.ids
+            for i in range(0, len(chunks), CALL)
+            for e in tokenizer.encode_batch_fast(chunks[i : i + CALL], add_special_tokens=False)
+        ])
     return _OPEN[model]
 
 
