@@ -179,11 +179,18 @@ def near_duplicates(
     outside = placed.join(main.repartition("token"), "token").where(
         f"root <> main AND 100 * s >= {similarity} * (n + least - s)"
     )
-    others = placed.selectExpr(
+    others = placed.join(main.select("token"), "token", "left_semi").selectExpr(
         "token", "key AS other", "n AS other_n", "s AS other_s", "root AS other_root"
     )
-    second = outside.join(others, "token").where(
-        f"root <> other_root AND (other_root = main OR key < other) AND {fits}"
+    # a pair comes from its first common token only, and only with enough matches
+    carried = postings.groupBy("key").agg(
+        F.collect_list("token").alias("tokens")  # <= COORDINATES
+    ).join(classes.select("key", "sign"), "key")
+    carried_other = carried.selectExpr("key AS other", "tokens AS other_tokens", "sign AS other_sign")
+    second = outside.join(carried, "key").join(others.join(carried_other, "other"), "token").where(
+        f"root <> other_root AND (other_root = main OR key < other) AND {fits} "
+        "AND array_min(array_intersect(tokens, other_tokens)) = token "
+        f"AND {_matches('sign', 'other_sign')} >= {MATCHES}"
     )
     links = links.unionByName(staged(confirm(second), "links"))
 
@@ -203,6 +210,10 @@ def near_duplicates(
     )
 
 
+def _matches(a: str, b: str) -> str:
+    return f"size(filter(zip_with({a}, {b}, (x, y) -> x = y), x -> x))"
+
+
 def _postings(classes: DataFrame) -> DataFrame:
     """(token, key, n): each set under those of its rarest tokens that others hold too."""
     tokens = classes.select("key", "n", F.posexplode("sign").alias("i", "v")).selectExpr(
@@ -236,9 +247,10 @@ def _confirm(found: DataFrame, classes, sets, size: int, similarity: int) -> Dat
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("collisions"))
     one = classes.selectExpr("key AS a", "sign AS sign_a")
     two = classes.selectExpr("key AS b", "sign AS sign_b")
-    matches = "size(filter(zip_with(sign_a, sign_b, (x, y) -> x = y), x -> x))"
     close = staged(
-        pairs.join(one, "a").join(two, "b").where(f"{matches} >= {MATCHES}").select("a", "b"),
+        pairs.join(one, "a").join(two, "b").where(
+            f"{_matches('sign_a', 'sign_b')} >= {MATCHES}"
+        ).select("a", "b"),
         "close",
     )
     texts_of = close.join(sets.selectExpr("key AS a", "text AS text_a"), "a").join(
