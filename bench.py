@@ -63,6 +63,7 @@ def main():
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", str(scratch / "shared"))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

@@ -1,8 +1,8 @@
 """Files with equal content hashes, safe for hashes that hold much of the catalog.
 
 All empty files share one hash, so a group can be as large as the catalog. Group
-sizes come from partially aggregated counts; members are joined to them, where
-AQE splits a hot hash; and the text form cuts a group into parts of bounded size.
+sizes come from partially aggregated counts, one row per hash; members, one row per
+file, are joined to them, where AQE splits a hot hash.
 
 AQE splits a hot key only where both inputs of a join come straight from the
 join's own shuffles. The aggregated side is already partitioned by the key, so it
@@ -12,8 +12,6 @@ would get none; ``rebalance`` on that side, which is small, makes Spark add it.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PATHS_PER_PART = 100_000
-
 
 def group_sizes(files: DataFrame) -> DataFrame:
     """(sha256, size_bytes, copies) of every group of two or more."""
@@ -33,30 +31,6 @@ def members(files: DataFrame) -> DataFrame:
     )
 
 
-def groups(files: DataFrame, paths_per_part: int = PATHS_PER_PART) -> DataFrame:
-    """(sha256, size_bytes, copies, part, paths) with newline-joined sorted paths.
-
-    A group of up to ``paths_per_part`` files is one row with part 0. A larger
-    one has ceil(copies / paths_per_part) parts, which together hold every path;
-    a path's part follows from its MD5. The explicit repartition lets AQE split
-    hot hashes in the join below it, which the grouping alone would forbid.
-    """
-    parts = f"bigint(ceil(copies / {paths_per_part}))"
-    digest = "bigint(conv(substring(md5(path), 1, 8), 16, 10))"
-    return (
-        members(files)
-        .selectExpr("*", f"int({digest} % {parts}) AS part")
-        .repartition("sha256", "part")
-        .groupBy("sha256", "part")
-        .agg(
-            F.first("size_bytes").alias("size_bytes"),
-            F.first("copies").alias("copies"),
-            F.expr("array_join(sort_array(collect_list(path)), '\\n') AS paths"),
-        )
-        .select("sha256", "size_bytes", "copies", "part", "paths")
-    )
-
-
 def totals(files: DataFrame) -> DataFrame:
     """One row: number of groups and of files in them."""
     return group_sizes(files).agg(
@@ -66,8 +40,7 @@ def totals(files: DataFrame) -> DataFrame:
 
 
 def largest_first(grouped: DataFrame) -> DataFrame:
-    order = [F.desc("copies"), "sha256"] + (["part"] if "part" in grouped.columns else [])
-    return grouped.orderBy(*order)
+    return grouped.orderBy(F.desc("copies"), "sha256")
 
 
 def moved(files: DataFrame, run_id: str) -> DataFrame:

@@ -278,13 +278,7 @@ ORACLES = {
     "files_by_corpus_hint": _after(
         "SELECT corpus_hint, count(*) AS n FROM files GROUP BY corpus_hint"
     ),
-    "duplicate_groups": _after(
-        "SELECT sha256, any_value(g.size_bytes) AS size_bytes, any_value(copies) AS copies,"
-        " part, string_agg(path, chr(10) ORDER BY path) AS paths"
-        " FROM (SELECT g.sha256, g.size_bytes, copies, path,"
-        " (('0x' || substr(md5(path), 1, 8))::BIGINT % ((copies + 99999) // 100000))::INT AS part"
-        " FROM files JOIN groups g USING (sha256)) g GROUP BY sha256, part"
-    ),
+    "duplicate_groups": _after("SELECT sha256, size_bytes, copies FROM groups"),
     "duplicate_groups_top": _after(
         "SELECT sha256, size_bytes, copies FROM groups ORDER BY copies DESC, sha256"
     ),

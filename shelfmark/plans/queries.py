@@ -5,8 +5,6 @@ Timestamps are shown as ISO-8601 UTC text, so results do not depend on the
 session's time zone.
 """
 
-import os
-import uuid
 from dataclasses import replace
 from functools import reduce
 
@@ -16,8 +14,8 @@ from pyspark.sql import functions as F
 from shelfmark import schema as S
 from shelfmark.functions import names
 from shelfmark.operators import duplicates, ids, merge, reports, visits
-from shelfmark.sources import tables, tree
-from shelfmark.sources.content import content_hash, with_file_hashes
+from shelfmark.sources import tables
+from shelfmark.sources.content import content_hash
 from shelfmark.sources.staging import staging_dir, written
 from shelfmark.sources.store import csv_fields, iso_utc, with_files_schema
 from shelfmark.sources.tables import RUN
@@ -206,7 +204,7 @@ def files_by_corpus_hint(spark, sf_dir):
 
 
 def duplicate_groups(spark, sf_dir):
-    return duplicates.groups(_files(spark, sf_dir))
+    return duplicates.group_sizes(_files(spark, sf_dir))
 
 
 def duplicate_groups_top(spark, sf_dir):
@@ -331,16 +329,6 @@ def folder_callout(spark, sf_dir):
     return reports.folder_callout(_files(spark, sf_dir))
 
 
-def tree_census(spark, sf_dir):
-    """The tables' own files as a storage tree: listed by tasks, contents read and hashed."""
-    root = os.path.realpath(sf_dir)
-    folder = f"{spark.sparkContext.applicationId}/census-{uuid.uuid4()}"
-    found = tree.census(spark, [root], staging_dir(spark, folder))
-    return names.described(with_file_hashes(found.entries)).selectExpr(
-        "rel_path", "fmt", "category", "size_bytes", "new_sha256 AS sha256", "hash_error AS error"
-    )
-
-
 QUERIES = {
     f.__name__: f
     for f in (
@@ -353,7 +341,7 @@ QUERIES = {
         change_report, change_counts, catalog_merge, catalog_merge_reset_corpus,
         catalog_merge_no_hash, catalog_merge_no_hash_erase, partial_scan, missing_count,
         mark_missing, prune_missing, reappeared, run_ledger, schema_upgrade, catalog_rows,
-        csv_rows, moved_files, folder_callout, tree_census,
+        csv_rows, moved_files, folder_callout,
     )
 }
 QUERIES["content_hash"] = QUERIES.pop("content_hash_all")

@@ -101,11 +101,13 @@ class Catalog:
         })
 
     def create_views(self) -> None:
-        """Temporary views ``files``, ``runs`` and ``duplicate_groups`` for SQL."""
+        """Temporary views ``files``, ``runs``, ``duplicate_groups`` (one row per hash) and
+        ``duplicate_members`` (one row per file in a group) for SQL."""
         files = self.files()
         files.createOrReplaceTempView("files")
         self.runs().createOrReplaceTempView("runs")
-        duplicates.groups(files).createOrReplaceTempView("duplicate_groups")
+        duplicates.group_sizes(files).createOrReplaceTempView("duplicate_groups")
+        duplicates.members(files).createOrReplaceTempView("duplicate_members")
 
 
 def iso_utc(ts: str) -> str:

@@ -71,7 +71,12 @@ def _lister(exclude, follow_links: bool, budget: int, batch_rows: int = 4096):
     entry, folder, file, unlisted = ENTRY, FOLDER, FILE, UNLISTED
 
     def shown(place: bytes) -> str:
-        return place.decode("utf-8", "backslashreplace")
+        try:
+            return place.decode("utf-8")
+        except UnicodeDecodeError:
+            # no two names look alike: backslashes are doubled, and a NUL, which no name
+            # holds, sets escaped names apart from others
+            return place.replace(b"\\", b"\\\\").decode("utf-8", "backslashreplace") + "\0"
 
     def looked_up(place: bytes, ordinal, root):
         size = mtime = error = None
@@ -126,7 +131,7 @@ def _lister(exclude, follow_links: bool, budget: int, batch_rows: int = 4096):
                 must_list -= 1
                 for row in listed(place, ordinal, root, max(budget - spent, 1)):
                     spent += 1
-                    if row[0] == folder:
+                    if row[0] == folder and spent < budget:
                         todo.append(row[1:4])
                     else:
                         yield row

@@ -51,26 +51,14 @@ def final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_parts_of_a_hot_group_hold_every_path(catalog):
-    rows = duplicates.groups(catalog, paths_per_part=1000).collect()
-    hot = [r for r in rows if r["copies"] == N // 3]
-    assert len(hot) == 20 and sorted(r["part"] for r in hot) == list(range(20))
-    sizes = [len(r["paths"].split("\n")) for r in hot]
-    assert sum(sizes) == N // 3 and max(sizes) < 1300
-    paths = {p for r in hot for p in r["paths"].split("\n")}
-    assert len(paths) == N // 3
-    assert all(r["paths"].split("\n") == sorted(r["paths"].split("\n")) for r in hot)
-    others = [r for r in rows if r["copies"] < N // 3]
-    assert {r["part"] for r in others} == {0} and {r["copies"] for r in others} == {2}
-    whole = duplicates.groups(catalog).collect()
-    assert {r["part"] for r in whole} == {0}
-    assert len(whole) == len(others) + 1
+def test_a_hot_group_is_one_row_and_its_members_are_whole(catalog):
+    rows = duplicates.group_sizes(catalog).collect()
+    assert len({r["sha256"] for r in rows}) == len(rows)
+    assert sorted({r["copies"] for r in rows}) == [2, N // 3]
+    assert len(rows) == duplicates.totals(catalog).first()["duplicate_groups"]
 
 
 def test_the_join_splits_a_hot_hash(catalog, small_partitions):
-    df = duplicates.groups(catalog, paths_per_part=1000)
-    df.collect()
-    assert "SortMergeJoin(skew=true)" in final_plan(df)
     listed = duplicates.members(catalog)
     assert len(listed.collect()) == N // 3 + N // 3
     assert "SortMergeJoin(skew=true)" in final_plan(listed)

@@ -134,7 +134,9 @@ def test_names_that_are_not_utf8(spark, tmp_path_factory, tmp_path):
             f.write(b"abc")
     found = scan(spark, tmp_path_factory, [tmp_path / "raw"], budget=1)
     rows = sorted((r["path"], r["size_bytes"], r["error"]) for r in found.entries.collect())
-    assert [p for p, _, _ in rows] == [f"{tmp_path}/raw/a\\xff.txt", f"{tmp_path}/raw/fo\\xff/b.txt"]
+    assert [p for p, _, _ in rows] == [
+        f"{tmp_path}/raw/a\\xff.txt\0", f"{tmp_path}/raw/fo\\xff/b.txt\0"
+    ]
     assert all(size == 3 and "UTF-8" in error for _, size, error in rows)
 
 
@@ -148,3 +150,12 @@ def test_resolve_roots(tmp_path, monkeypatch):
     assert len(said) == 1 and "gone" in said[0]
     with pytest.raises(ValueError):
         tree.resolve_roots([str(tmp_path / "gone")], warn=said.append)
+
+
+def test_names_that_escape_alike_stay_apart(spark, tmp_path_factory, tmp_path):
+    root = os.fsencode(str(tmp_path_factory.mktemp("alike")))
+    for name in (b"a\xff.txt", b"a\\xff.txt", b"a\\\\xff.txt"):
+        with open(os.path.join(root, name), "wb") as f:
+            f.write(name)
+    found = tree.census(spark, [os.fsdecode(root)], str(tmp_path / "work")).entries.collect()
+    assert len(found) == len({r["path"] for r in found}) == 3
