@@ -36,6 +36,11 @@ P = len(FLOORS)
 COORDINATES = [f"q{i}" for i in range(P)]
 PRODUCTS = [(i, j) for i in range(P) for j in range(i + 1)]
 
+RESULT = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "square",
+    "kept",
+)
+
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -241,7 +246,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     Words are what white space leaves of the text; a null text has none and fails. kept is
     false if base_failed (under 50 words, or more than half of them in repeated runs of
     three), else unless square is beyond CUTOFF. A null language or source is a group like
-    others; groups with fewer than LEAST_GROUP documents to estimate from reject none. Rows
+    others; columns of ``docs`` named as results are replaced; groups with fewer than LEAST_GROUP documents to estimate from reject none. Rows
     that are alike are judged alike, each by itself.
     """
     clash = {c: f"in_{i}" for i, c in enumerate(docs.columns) if c not in (text, lang, source)}
@@ -262,7 +267,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     found = _near(rows, best, "left").withColumn("square", F.when(~F.col("base_failed"), square))
     names = {v: k for k, v in clash.items()} | {"g_lang": lang, "g_source": source}
     return found.select(
-        *[F.col(c).alias(names[c]) for c in stats.columns if c in names],
+        *[F.col(c).alias(names[c]) for c in stats.columns if c in names and names[c] not in RESULT],
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "square",
         (~F.col("base_failed") & (F.col("square").isNull() | (F.col("square") <= CUTOFF))).alias("kept"),
     )
