@@ -14,7 +14,8 @@ so s, the number of a set's other shingles, bounds all its intersections, and pa
 bound is too small are skipped. First every member meets the member of its posting list with
 the smallest share of shingles of its own. Then only members that are still outside the list's main component meet
 the others, and only across components, so what is linked already is not compared again
-while no link between two components is lost.
+while no link between two components is lost. With the main component's members only those
+outside meet that have enough shingles which any of these members holds.
 """
 
 import hashlib
@@ -176,9 +177,14 @@ def near_duplicates(
         F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("roots"),
         F.min("least").alias("least"),
     ).where("roots > 1").select("token", "main", "least")
-    outside = placed.join(main.repartition("token"), "token").where(
-        f"root <> main AND 100 * s >= {similarity} * (n + least - s)"
+    outside = staged(
+        placed.join(main.repartition("token"), "token").where(
+            f"root <> main AND 100 * s >= {similarity} * (n + least - s)"
+        ),
+        "outside",
     )
+    inside = _inside(outside, placed, sets, shingle)
+    outside = outside.join(inside, ["key", "main"], "left")
     others = placed.join(main.select("token"), "token", "left_semi").selectExpr(
         "token", "key AS other", "n AS other_n", "s AS other_s", "root AS other_root"
     )
@@ -187,8 +193,10 @@ def near_duplicates(
         F.collect_list("token").alias("tokens")  # <= COORDINATES
     ).join(classes.select("key", "sign"), "key")
     carried_other = carried.selectExpr("key AS other", "tokens AS other_tokens", "sign AS other_sign")
+    most = "least(if(other_root = main, coalesce(inside, 0), s), other_s)"
+    meets = f"100 * {most} >= {similarity} * (n + other_n - {most})"
     second = outside.join(carried, "key").join(others.join(carried_other, "other"), "token").where(
-        f"root <> other_root AND (other_root = main OR key < other) AND {fits} "
+        f"root <> other_root AND (other_root = main OR key < other) AND {fits} AND {meets} "
         "AND array_min(array_intersect(tokens, other_tokens)) = token "
         f"AND {_matches('sign', 'other_sign')} >= {MATCHES}"
     )
@@ -210,6 +218,26 @@ def near_duplicates(
     )
 
 
+def _inside(outside: DataFrame, placed: DataFrame, sets: DataFrame, size: int) -> DataFrame:
+    """(key, main, inside): how many shingles of a set outside any set of the component holds."""
+
+    def exploded(keyed: DataFrame) -> DataFrame:
+        rows = sets.join(keyed, "key").select(F.struct("key", "main").alias("key"), "text")
+        return rows.mapInArrow(
+            partial(_exploded, size=size), "key struct<key: binary, main: binary>, shingle long"
+        ).select("key.*", "shingle")
+
+    wanted = outside.select("key", "main").distinct()
+    mains = wanted.select("main").distinct()
+    members = placed.selectExpr("key", "root AS main").distinct().join(
+        mains.repartition("main"), "main"
+    )
+    held = exploded(members).select("main", "shingle").distinct()
+    return exploded(wanted).join(held.repartition("main", "shingle"), ["main", "shingle"]).groupBy(
+        "key", "main"
+    ).agg(F.count("*").alias("inside"))
+
+
 def _matches(a: str, b: str) -> str:
     return f"size(filter(zip_with({a}, {b}, (x, y) -> x = y), x -> x))"
 
