@@ -154,7 +154,7 @@ def near_duplicates(
         postings.join(alone, "key", "left").selectExpr("token", "key", "n", "n - coalesce(alone, 0) AS s"),
         "postings",
     )
-    confirm = partial(_confirm, classes=classes, sets=sets, size=shingle, similarity=similarity)
+    confirm = partial(_links, sets=sets, size=shingle, similarity=similarity)
 
     most = "least(s, other_s)"  # no intersection is larger
     fits = f"100 * {most} >= {similarity} * (n + other_n - {most})"
@@ -165,7 +165,7 @@ def near_duplicates(
         "token", "head.key AS other", "head.n AS other_n", "head.s AS other_s"
     )
     first = postings.join(heads.repartition("token"), "token").where(f"key <> other AND {fits}")
-    links = staged(confirm(first), "links")
+    links = confirm(_close(first, classes))
 
     roots = components(links).withColumnRenamed("node", "key")
     placed = staged(
@@ -200,7 +200,8 @@ def near_duplicates(
         "AND array_min(array_intersect(tokens, other_tokens)) = token "
         f"AND {_matches('sign', 'other_sign')} >= {MATCHES}"
     )
-    links = links.unionByName(staged(confirm(second), "links"))
+    second = second.selectExpr("least(key, other) AS a", "greatest(key, other) AS b")
+    links = links.unionByName(confirm(second))
 
     roots = components(links).withColumnRenamed("node", "key")
     placed = classes.select("key", "first").join(roots, "key", "left").withColumn(
@@ -269,21 +270,24 @@ def _texts(source: DataFrame, postings: DataFrame, classes: DataFrame, size: int
     return staged(keyed.where("key IS NOT NULL").dropDuplicates(["key"]), "sets")
 
 
-def _confirm(found: DataFrame, classes, sets, size: int, similarity: int) -> DataFrame:
-    """(a, b) of the candidates (key, other) that pass both counts."""
+def _close(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b) of the candidates (key, other) with enough matches of their whole signatures."""
     pairs = found.selectExpr("least(key, other) AS a", "greatest(key, other) AS b")
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("collisions"))
     one = classes.selectExpr("key AS a", "sign AS sign_a")
     two = classes.selectExpr("key AS b", "sign AS sign_b")
-    close = staged(
-        pairs.join(one, "a").join(two, "b").where(
-            f"{_matches('sign_a', 'sign_b')} >= {MATCHES}"
-        ).select("a", "b"),
-        "close",
-    )
+    return pairs.join(one, "a").join(two, "b").where(
+        f"{_matches('sign_a', 'sign_b')} >= {MATCHES}"
+    ).select("a", "b")
+
+
+def _links(close: DataFrame, sets: DataFrame, size: int, similarity: int) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets are similar enough."""
+    close = staged(close, "close")
     texts_of = close.join(sets.selectExpr("key AS a", "text AS text_a"), "a").join(
         sets.selectExpr("key AS b", "text AS text_b"), "b"
     )
-    return texts_of.select("a", "text_a", "b", "text_b").mapInArrow(
+    found = texts_of.select("a", "text_a", "b", "text_b").mapInArrow(
         partial(_confirmed, size=size, similarity=similarity), "a binary, b binary"
     )
+    return staged(found, "links")
