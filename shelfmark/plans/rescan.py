@@ -11,7 +11,7 @@ from shelfmark import schema as S
 from shelfmark.operators import ids, merge, reports, visits
 from shelfmark.sources import content, tree
 from shelfmark.sources.staging import staging_dir, written
-from shelfmark.sources.store import Catalog, export_csv
+from shelfmark.sources.store import Catalog, export_csv, require_unique_paths
 
 
 def new_run_id(now: datetime) -> str:
@@ -102,6 +102,7 @@ def rescan(
     last_id = last["last_id"] if last else 0
     prior = store.snapshot(last["run_id"] if last else None)
     plan = written(merge.planned(merge.matched(listing, prior), run), f"{staging}/plan")
+    require_unique_paths(plan)
     todo = merge.work_counts(plan).first()
     if todo["without_id"]:
         new = ids.numbered(plan.where("id IS NULL"), F.lit(last_id))

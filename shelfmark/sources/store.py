@@ -25,6 +25,16 @@ def with_files_schema(stored: DataFrame) -> DataFrame:
     ])
 
 
+def require_unique_paths(files: DataFrame) -> None:
+    """Raise unless ``path`` is a key: the merge join rests on it, and would multiply rows.
+
+    Counts are added up before the shuffle; the driver sees one path at most.
+    """
+    twice = files.groupBy("path").agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"path is in {twice[0]['n']} rows: {twice[0]['path']!r}")
+
+
 class Catalog:
     """Snapshots and ledger below one folder that every executor can reach."""
 
@@ -93,6 +103,7 @@ class Catalog:
         """Take over an existing files table, of this or an older schema, as a snapshot."""
         last = self.latest()
         self.write_snapshot(with_files_schema(stored), run_id)
+        require_unique_paths(self.snapshot(run_id))
         top = self.snapshot(run_id).agg(F.max("id")).first()[0] or 0
         now = datetime.now(timezone.utc)
         self.commit({

@@ -37,6 +37,13 @@ def test_commit_is_what_makes_a_snapshot_current(spark, tmp_path):
         catalog.write_snapshot(rows(spark, {"path": "/c"}), "died")
 
 
+def test_adopt_refuses_a_path_in_two_rows(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path / "cat"))
+    with pytest.raises(ValueError, match="2 rows: '/a'"):
+        catalog.adopt(rows(spark, {"path": "/a"}, {"path": "/b"}, {"path": "/a"}), "one")
+    assert catalog.latest() is None
+
+
 def test_two_writers_are_noticed(spark, tmp_path):
     catalog = Catalog(spark, str(tmp_path / "cat"))
     for run_id in ("one", "two"):
