@@ -36,7 +36,7 @@ RUN = Run(
 
 # Known column types spare a look into the files before each query.
 COLUMNS = {
-    "documents": "doc_id long, text string, lang string, source string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
     "pages": "page_id long, url string, html string",
     "conversations": "conv_id long, turn long, role string, text string",
     "benchmark": "item_id long, text string",

@@ -6,7 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 from oracle_check import connect, mismatch
-from shelfmark.plans.queries import QUERIES as CATALOG
+from shelfmark.plans.curation import QUERIES as CURATION
+from shelfmark.plans.queries import QUERIES as SCANS
+
+CATALOG = SCANS | CURATION
 
 QUERIES = entry_point.queries()
 ORACLES = entry_point.oracle_sql()
