@@ -43,7 +43,7 @@ class Catalog:
         self.folder = folder.rstrip("/")
 
     def _ledger(self) -> DataFrame:
-        place = f"{self.folder}/runs"
+        place = f"{self.folder}/runs/*"  # a folder per commit; files of older catalogs
         try:
             return self.spark.read.schema(S.RUNS).parquet(place)
         except AnalysisException as problem:
@@ -55,11 +55,13 @@ class Catalog:
         return self._ledger().select(*S.RUN_COLUMNS)
 
     def latest(self):
-        """Ledger row of the last committed run, or None."""
-        last = self._ledger().orderBy(F.desc("seq")).limit(2).collect()
-        if len(last) == 2 and last[0]["seq"] == last[1]["seq"]:
-            ids = sorted(r["run_id"] for r in last)
-            raise RuntimeError(f"two runs committed at once on the same catalog: {ids}")
+        """Ledger row of the last committed run, or None.
+
+        Of two rows with one number, which older catalogs may hold, the run that finished
+        first counts, so readers always agree and go on.
+        """
+        order = F.desc("seq"), F.asc_nulls_last("finished_at"), F.asc("run_id")
+        last = self._ledger().orderBy(*order).limit(1).collect()
         return last[0] if last else None
 
     def snapshot_path(self, run_id: str) -> str:
@@ -92,12 +94,27 @@ class Catalog:
         )
 
     def commit(self, run: dict) -> None:
-        """Append one ledger row; the run is the current one from then on."""
+        """Write one ledger row; the run is the current one from then on.
+
+        Each number has a folder that only one writer can make: a run that overlapped with
+        another fails here, and the catalog stays as the other left it.
+        """
         values = run | {"schema_version": S.SCHEMA_VERSION}
         row = self.spark.range(1).coalesce(1).select(*[
             F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in S.RUNS
         ])
-        row.write.mode("append").parquet(f"{self.folder}/runs")
+        place = f"{self.folder}/runs/{values['seq']:012d}"
+        try:
+            row.write.mode("errorifexists").parquet(place)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            # A folder without a row is what a writer left that died while committing.
+            if not self._ledger().where(F.col("seq") == values["seq"]).count():
+                row.write.mode("append").parquet(place)
+        current = self.latest()
+        if current["run_id"] != values["run_id"]:
+            raise RuntimeError(f"run {current['run_id']} committed first; {values['run_id']} does not count")
 
     def adopt(self, stored: DataFrame, run_id: str) -> None:
         """Take over an existing files table, of this or an older schema, as a snapshot."""

@@ -44,13 +44,36 @@ def test_adopt_refuses_a_path_in_two_rows(spark, tmp_path):
     assert catalog.latest() is None
 
 
-def test_two_writers_are_noticed(spark, tmp_path):
+def test_second_of_two_writers_fails(spark, tmp_path):
     catalog = Catalog(spark, str(tmp_path / "cat"))
     for run_id in ("one", "two"):
-        catalog.write_snapshot(rows(spark, {"path": "/a"}), run_id)
-        catalog.commit({"run_id": run_id, "seq": 1, "last_id": 0})
+        catalog.write_snapshot(rows(spark, {"path": f"/{run_id}"}), run_id)
+    catalog.commit({"run_id": "one", "seq": 1, "last_id": 0})
     with pytest.raises(RuntimeError, match="one.*two"):
-        catalog.files()
+        catalog.commit({"run_id": "two", "seq": 1, "last_id": 0})
+    assert [r["path"] for r in catalog.files().collect()] == ["/one"]
+    catalog.commit({"run_id": "two", "seq": 2, "last_id": 0})
+    assert [r["path"] for r in catalog.files().collect()] == ["/two"]
+    assert catalog.runs().count() == 2
+
+
+def test_commit_after_a_writer_died_while_committing(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path / "cat"))
+    (tmp_path / "cat" / "runs" / f"{1:012d}" / "_temporary").mkdir(parents=True)
+    assert catalog.latest() is None
+    catalog.commit({"run_id": "one", "seq": 1, "last_id": 0})
+    assert catalog.latest()["run_id"] == "one"
+
+
+def test_ledger_of_an_older_catalog_with_two_rows_of_a_number(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path / "cat"))
+    for run_id, second in (("late", 9), ("early", 5)):
+        spark.range(1).selectExpr(
+            f"'{run_id}' AS run_id", f"timestamp_seconds({second}) AS finished_at", "1L AS seq"
+        ).write.mode("append").parquet(f"{catalog.folder}/runs")
+    assert catalog.latest()["run_id"] == "early"
+    catalog.commit({"run_id": "next", "seq": 2, "last_id": 0})
+    assert catalog.latest()["run_id"] == "next" and catalog.runs().count() == 3
 
 
 def test_older_schema(spark, tmp_path):
