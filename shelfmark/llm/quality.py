@@ -1,7 +1,8 @@
 """Quality rules by robust multivariate outliers, in DataFrame operations only.
 
-Every text gives a vector of transformed statistics. For each language and source a
-minimum covariance determinant estimate is made in the deterministic way: two starts (the
+Every text gives a vector of transformed statistics. For each language and source (of too
+few documents: for the language, then for all documents) a minimum covariance determinant
+estimate is made in the deterministic way: two starts (the
 quartiles of each coordinate, and the plain mean and covariance), then concentration steps,
 each keeping the half to three quarters of the documents nearest by the last estimate; of the
 two, the one with the least determinant stays. Documents whose Mahalanobis distance from it
@@ -13,6 +14,9 @@ by group and bin, of counts and sums, gives a step its subset and its next estim
 once. A group of any size is a few thousand bins.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +34,8 @@ FLOORS = (0.25, 0.06, 0.06, 0.15, 0.6)
 MEDIAN_SQUARE = 4.351460191095526
 #: Squared distance, scaled to that median, beyond which a document is rejected.
 CUTOFF = 250.0
-#: Groups with fewer documents to estimate from reject none.
+#: Documents of a language and source with fewer to estimate from are judged by their language's
+#: estimate, those of a language with fewer by the estimate of all documents, however few.
 LEAST_GROUP = 30
 P = len(FLOORS)
 COORDINATES = [f"q{i}" for i in range(P)]
@@ -156,7 +161,9 @@ def _factored(out: DataFrame) -> DataFrame:
     return out.withColumn("logdet", logdet).select(*_KEYS, *_ESTIMATE)
 
 
-_KEYS = ["g_lang", "g_source", "start"]
+#: What an estimate is of; level 0: a language and source, 1: a language, 2: all documents.
+_GROUP = ["level", "g_lang", "g_source"]
+_KEYS = [*_GROUP, "start"]
 _ESTIMATE = (
     [f"m{i}" for i in range(P)] + [f"d{i}" for i in range(P)]
     + [f"w{i}{j}" for i in range(P) for j in range(i)] + ["logdet"]
@@ -186,31 +193,57 @@ def _summed(rows: DataFrame, *keys: str) -> DataFrame:
 
 def _near(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Joined by group; a null language or source is a group."""
-    right = right.withColumnsRenamed({"g_lang": "r_lang", "g_source": "r_source"})
-    on = F.col("g_lang").eqNullSafe(F.col("r_lang")) & F.col("g_source").eqNullSafe(F.col("r_source"))
-    return left.join(right, on, how).drop("r_lang", "r_source")
+    keys = [k for k in _GROUP if k in right.columns]
+    right = right.withColumnsRenamed({k: f"r_{k}" for k in keys})
+    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"r_{k}")) for k in keys])
+    return left.join(right, on, how).drop(*[f"r_{k}" for k in keys])
+
+
+def _of_level(level: Column, rows: DataFrame) -> DataFrame:
+    """``rows`` with the group that they have at ``level``."""
+    return rows.withColumn("level", level).withColumns({
+        "g_lang": F.when(F.col("level") < 2, F.col("g_lang")),
+        "g_source": F.when(F.col("level") < 1, F.col("g_source")),
+    })
+
+
+def _levels(rows: DataFrame) -> DataFrame:
+    """For each language and source: own, the level that judges its documents, and levels,
+    those whose estimates rest on them."""
+    sizes = staged(rows.groupBy("g_lang", "g_source").agg(F.count("*").alias("n")), "sizes")
+    langs = sizes.groupBy("g_lang").agg(F.sum("n").alias("lang_n"), F.min("n").alias("least"))
+    few = langs.where(f"lang_n < {LEAST_GROUP}").limit(1).count() > 0
+    return staged(_near(sizes, langs).select(
+        "g_lang", "g_source",
+        F.expr(f"CASE WHEN n >= {LEAST_GROUP} THEN 0 WHEN lang_n >= {LEAST_GROUP} THEN 1 ELSE 2 END").alias("own"),
+        F.array_compact(F.array(
+            F.expr(f"CASE WHEN n >= {LEAST_GROUP} THEN 0 END"),
+            F.expr(f"CASE WHEN lang_n >= {LEAST_GROUP} AND least < {LEAST_GROUP} THEN 1 END"),
+            F.when(F.lit(few), F.lit(2)),
+        )).alias("levels"),
+    ), "levels")
 
 
 def _starts(rows: DataFrame) -> DataFrame:
-    """Two estimates for each group of enough documents."""
-    sums = staged(_summed(rows, "g_lang", "g_source").where(f"n >= {LEAST_GROUP}"), "sums")
+    """Two estimates for each group."""
+    sums = staged(_summed(rows, *_GROUP), "sums")
     plain = _solved(sums.withColumn("start", F.lit(2)))
     flat = ", ".join(f"{i}, q{i}" for i in range(P))
-    counts = rows.selectExpr("g_lang", "g_source", f"stack({P}, {flat}) AS (i, q)").groupBy(
-        "g_lang", "g_source", "i", "q"
+    counts = rows.selectExpr(*_GROUP, f"stack({P}, {flat}) AS (i, q)").groupBy(
+        *_GROUP, "i", "q"
     ).agg(F.count("*").alias("n"))
-    group = Window.partitionBy("g_lang", "g_source", "i")
+    group = Window.partitionBy(*_GROUP, "i")
     counts = counts.withColumn("upto", F.sum("n").over(group.orderBy("q"))).withColumn(
         "all", F.sum("n").over(group)
     )
-    quartiles = counts.groupBy("g_lang", "g_source", "i").agg(*[
+    quartiles = counts.groupBy(*_GROUP, "i").agg(*[
         F.min(F.when(F.expr(f"4 * upto >= {k} * all"), F.col("q"))).alias(f"at{k}") for k in (1, 2, 3)
     ])
-    wide = quartiles.groupBy("g_lang", "g_source").agg(*[
+    wide = quartiles.groupBy(*_GROUP).agg(*[
         F.max(F.when(F.col("i") == i, F.col(f"at{k}"))).alias(f"at{k}_{i}")
         for i in range(P) for k in (1, 2, 3)
     ])
-    robust = _near(sums.select("g_lang", "g_source"), wide).withColumn("start", F.lit(1))
+    robust = _near(sums.select(*_GROUP), wide).withColumn("start", F.lit(1))
     for i, j in PRODUCTS:
         spread = (F.col(f"at3_{i}") - F.col(f"at1_{i}")) / F.lit(1.349)
         robust = robust.withColumn(
@@ -241,30 +274,38 @@ def _step(rows: DataFrame, estimate: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``docs`` without the text, with the statistics of ``statistics``, base_failed,
-    square (scaled squared distance; null if base_failed or in a small group) and kept.
+    square (scaled squared distance; null if base_failed) and kept.
 
     Words are what white space leaves of the text; a null text has none and fails. kept is
     false if base_failed (under 50 words, or more than half of them in repeated runs of
     three), else unless square is beyond CUTOFF. A null language or source is a group like
-    others; columns of ``docs`` named as results are replaced; groups with fewer than LEAST_GROUP documents to estimate from reject none. Rows
-    that are alike are judged alike, each by itself.
+    others; documents of groups with fewer than LEAST_GROUP to estimate from are judged by their
+    language's estimate, or that of all documents. Columns of ``docs`` named as results are
+    replaced. Rows that are alike are judged alike, each by itself.
     """
     clash = {c: f"in_{i}" for i, c in enumerate(docs.columns) if c not in (text, lang, source)}
     stats = docs.withColumnsRenamed(clash).withColumnsRenamed({lang: "g_lang", source: "g_source", text: "_text"})
     rows = staged(_vector(statistics(stats, "_text")), "statistics")
     usable = rows.where("NOT base_failed").select("g_lang", "g_source", *COORDINATES)
+    levels = _levels(usable)
+    usable = staged(
+        _of_level(F.explode("levels"), _near(usable, levels)).select(*_GROUP, *COORDINATES), "members"
+    )
     estimate = _starts(usable)
     for _ in range(STEPS):
         estimate, _half = _step(usable, estimate)
-    best = estimate.groupBy("g_lang", "g_source").agg(
-        F.min(F.struct("logdet", *[c for c in _KEYS[2:]], *[c for c in _ESTIMATE if c != "logdet"])).alias("b")
-    ).select("g_lang", "g_source", "b.*")
+    best = estimate.groupBy(*_GROUP).agg(
+        F.min(F.struct("logdet", "start", *[c for c in _ESTIMATE if c != "logdet"])).alias("b")
+    ).select(*_GROUP, "b.*")
     best = staged(best, "best")
     _, half = _step(usable, best)
     best = staged(_near(best, half.drop("start")), "scaled")
     width = (F.col("median") + 1) / F.lit(float(FINE))
     square = _square() * MEDIAN_SQUARE / (width * width)
-    found = _near(rows, best, "left").withColumn("square", F.when(~F.col("base_failed"), square))
+    # the columns of the language and source stay as they are
+    placed = _of_level(F.col("own"), _near(rows, levels, "left").withColumns({"_lang": F.col("g_lang"), "_source": F.col("g_source")}))
+    found = _near(placed, best, "left").withColumn("square", F.when(~F.col("base_failed"), square))
+    found = found.drop("g_lang", "g_source").withColumnsRenamed({"_lang": "g_lang", "_source": "g_source"})
     names = {v: k for k, v in clash.items()} | {"g_lang": lang, "g_source": source}
     return found.select(
         *[F.col(c).alias(names[c]) for c in stats.columns if c in names and names[c] not in RESULT],

@@ -285,3 +285,23 @@ def test_suffix_array():
     for top in (1, 3, 50):
         text = np.append(rng.integers(1, top + 1, 200), 0)
         assert fm_index.suffix_array(text).tolist() == sorted(range(201), key=lambda i: text[i:].tolist())
+
+
+def test_quality_judges_small_groups(spark):
+    """Junk is rejected by its language's estimate, or that of all documents, where a source is small."""
+    rng = random.Random(3)
+
+    def clean():
+        return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(3, 7))) for _ in range(rng.randint(60, 300)))
+
+    def junk():
+        return " ".join(w + "%%%" for w in clean().split())
+
+    rows = [(i, clean(), "en", f"s{i % 20}") for i in range(80)] + [(80, clean(), None, None), (81, clean(), "de", "s1")]
+    bad = [(100, junk(), "en", "s1"), (101, junk(), "en", "own"), (102, junk(), "de", "s1"), (103, junk(), None, None)]
+    found = quality.judge(spark.createDataFrame(rows + bad, "doc_id long, text string, lang string, source string"))
+    judged = {r.doc_id: r for r in found.collect()}
+    assert all(r.square is not None for r in judged.values())
+    assert {i for i, r in judged.items() if not r.kept} == {100, 101, 102, 103}
+    few = spark.createDataFrame(rows[:4], "doc_id long, text string, lang string, source string")
+    assert all(r.square is not None and r.kept for r in quality.judge(few).collect())
