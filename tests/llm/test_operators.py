@@ -305,3 +305,23 @@ def test_quality_judges_small_groups(spark):
     assert {i for i, r in judged.items() if not r.kept} == {100, 101, 102, 103}
     few = spark.createDataFrame(rows[:4], "doc_id long, text string, lang string, source string")
     assert all(r.square is not None and r.kept for r in quality.judge(few).collect())
+
+
+@pytest.mark.parametrize("apart", [1, 50, 200, 500])
+def test_passages_that_the_earlier_document_holds_twice(apart):
+    rng = np.random.default_rng(apart)
+
+    def own(n):
+        return rng.integers(1 << 40, 1 << 62, n, dtype=np.uint64)
+
+    def cut(words):
+        s = (substrings.texts.shingles(words, substrings.SHINGLE) >> np.uint64(32)).astype(np.uint32)
+        return s.view(np.int32)
+
+    passage = own(60)
+    changed = passage.copy()
+    changed[30] += 1
+    for held in (passage, changed):  # exactly, and nearly
+        b = np.concatenate([own(20), held, own(apart), held, own(30)])
+        a = np.concatenate([own(25), passage, own(25)])
+        assert substrings.passages(cut(a), cut(b)) == [(25, 81)]
