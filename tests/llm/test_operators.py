@@ -325,3 +325,24 @@ def test_passages_that_the_earlier_document_holds_twice(apart):
         b = np.concatenate([own(20), held, own(apart), held, own(30)])
         a = np.concatenate([own(25), passage, own(25)])
         assert substrings.passages(cut(a), cut(b)) == [(25, 81)]
+
+
+def test_substrings_where_an_earlier_document_holds_a_part(spark):
+    """An earlier document with 20 to 49 of a passage's 60 words, and near copies alone."""
+    rng = random.Random(11)
+
+    def own(n):
+        return [f"w{rng.getrandbits(48)}" for _ in range(n)]
+
+    rows, copies, near = [], [], []
+    for k in range(160):
+        passage = own(60)
+        part = passage[: rng.choice([20, 30, 40, 49])]
+        changed = list(passage)
+        changed[30] = "changed"
+        for w in (part, passage, passage) if k % 2 else (passage, changed):
+            rows.append((len(rows), " ".join(own(30) + w + own(30))))
+        (copies if k % 2 else near).append(len(rows) - 1)
+    found = {r.doc_id: r.first_id for r in substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found.get(i) for i in copies] == [i - 1 for i in copies]
+    assert [found.get(i) for i in near] == [i - 1 for i in near]
