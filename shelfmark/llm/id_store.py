@@ -9,6 +9,8 @@ tables, so any store it reaches will do and repeated tasks leave no trace.
 """
 
 import hashlib
+import json
+import re
 import uuid
 import zlib
 from functools import partial
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelfmark.llm import texts
-from shelfmark.llm.chunks import Encoder
+from shelfmark.llm.chunks import Encoder, bounds
 from shelfmark.llm.tables import small, staged
 from shelfmark.sources.staging import staging_dir
 
@@ -42,23 +44,56 @@ CALL = 8192
 _OPEN: dict = {}
 
 
-def _encoder(model: str):
-    """One tokenizer and memo for each worker process; special tokens' strings are text."""
-    if model not in _OPEN:
+def _cuts(model: str):
+    """``bounds``, but never within an added token, which is a chunk of its own; a row that
+    holds one is a chunk as a whole where the tokenizer looks at what surrounds them."""
+    held = json.loads(model)
+    added = [t for t in held["added_tokens"] if t["content"]]
+    if not added:
+        return bounds
+    plain = not held.get("normalizer") and len({t["normalized"] for t in added}) == 1 and not any(
+        t[k] for t in added for k in ("single_word", "lstrip", "rstrip")
+    )
+    contents = sorted((t["content"].encode() for t in added), key=len, reverse=True)
+    found = re.compile(b"|".join(map(re.escape, contents)))
+
+    def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        starts, text = bounds(data, offsets), data.tobytes()
+        if not found.search(text):
+            return starts
+        hits = []
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            own = [m.span() for m in found.finditer(text, a, b)]
+            hits += own if plain or not own else [(a, b)]
+        if not hits:
+            return starts
+        begins, ends = np.array(hits, np.int64).T
+        at = np.searchsorted(begins, starts) - 1  # of the last hit that begins before
+        outside = (at < 0) | (starts >= ends[at])
+        new = np.concatenate([starts[outside], begins, ends])
+        return np.unique(new[new < len(data)])
+
+    return cuts
+
+
+def _encoder(model: str, added: bool):
+    """One tokenizer and memo for each worker process. ``added``: strings of added tokens
+    are those tokens, as the tokenizer's file has it; else they are text."""
+    if (model, added) not in _OPEN:
         _OPEN.clear()
         tokenizer = Tokenizer.from_str(model)
-        tokenizer.encode_special_tokens = True
-        _OPEN[model] = Encoder(lambda chunks: [
+        tokenizer.encode_special_tokens = not added
+        _OPEN[model, added] = Encoder(lambda chunks: [
             e.ids
             for i in range(0, len(chunks), CALL)
             for e in tokenizer.encode_batch_fast(chunks[i : i + CALL], add_special_tokens=False)
-        ])
-    return _OPEN[model]
+        ], _cuts(model) if added else bounds)
+    return _OPEN[model, added]
 
 
-def _ids(batches, model: str):
+def _ids(batches, model: str, added: bool):
     """(rows of the batch's other columns, ids of each row with the end id, little-endian)."""
-    encoder = _encoder(model)
+    encoder = _encoder(model, added)
     for batch in batches:
         for low, high in texts.slices(batch.column(1), SLICE):
             ids, rows = encoder(batch.column(1).slice(low, high - low))
@@ -69,8 +104,8 @@ def _ids(batches, model: str):
             yield batch.column(0).slice(low, high - low), own
 
 
-def _serialized(batches, model):
-    for id, own in _ids(batches, model.value):
+def _serialized(batches, model, added):
+    for id, own in _ids(batches, model.value, added):
         yield pa.RecordBatch.from_arrays(
             [id, pa.array([x.tobytes() for x in own], pa.binary())], names=["id", "data"]
         )
@@ -80,9 +115,9 @@ def _dictionary(data: bytes):
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
-def _frames(batches, model, dictionary):
+def _frames(batches, model, dictionary, added):
     press = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary.value))
-    for id, own in _ids(batches, model.value):
+    for id, own in _ids(batches, model.value, added):
         yield pa.RecordBatch.from_arrays(
             [
                 id, pa.array([len(x) for x in own], pa.int64()),
@@ -136,9 +171,15 @@ def _pack(batches, dictionary: str):
         yield block()
 
 
-def write(docs: DataFrame, target: str, tokenizer_path: str, id: str = "doc_id", text: str = "text"):
+def write(
+    docs: DataFrame, target: str, tokenizer_path: str, id: str = "doc_id", text: str = "text",
+    added: bool = False,
+):
     """Encode every whole text, with END_ID after it, and write a store to ``target``.
 
+    ``added``: the string of an added token in a text (<|endoftext|>) is that token, as by
+    the tokenizer's file with add_special_tokens=False; else it is text like other text.
+
     A null text counts as empty. Documents are in ascending order of id, nulls first;
     those with one id stay together, by their frames. Further columns are not looked at.
     An empty table gives a store without blocks.
@@ -151,7 +192,7 @@ def write(docs: DataFrame, target: str, tokenizer_path: str, id: str = "doc_id",
 
     every = max(1, source.count() // SAMPLE)
     sample = source.where(F.expr(f"pmod(xxhash64(id), {every}) = 0")).mapInArrow(
-        partial(_serialized, model=model), f"id {kind}, data binary"
+        partial(_serialized, model=model, added=added), f"id {kind}, data binary"
     ).where(f"length(data) <= {SAMPLE_BYTES}").orderBy(F.xxhash64("id"), "data").limit(SAMPLE)
     data = train([bytes(r["data"]) for r in sample.collect()])
     name = hashlib.sha256(data).hexdigest()
@@ -162,7 +203,7 @@ def write(docs: DataFrame, target: str, tokenizer_path: str, id: str = "doc_id",
     dictionary = spark.sparkContext.broadcast(data)
     frames = staged(
         source.mapInArrow(
-            partial(_frames, model=model, dictionary=dictionary), f"id {kind}, n long, frame binary"
+            partial(_frames, model=model, dictionary=dictionary, added=added), f"id {kind}, n long, frame binary"
         ),
         "frames",
     )
@@ -253,8 +294,8 @@ def fetch(spark: SparkSession, path: str, wanted: list, id: str = "doc_id") -> D
 
 
 def write_and_read(docs: DataFrame, tokenizer_path: str, id="doc_id", text="text") -> DataFrame:
-    """Write a store below spark.checkpoint.dir and read it back."""
+    """Write a store below spark.checkpoint.dir, by the tokenizer's file as it is, and read it back."""
     spark = docs.sparkSession
     target = staging_dir(spark, f"llm/store-{uuid.uuid4().hex}")
-    write(docs, target, tokenizer_path, id, text)
+    write(docs, target, tokenizer_path, id, text, added=True)
     return read(spark, target, id)

@@ -346,3 +346,18 @@ def test_substrings_where_an_earlier_document_holds_a_part(spark):
     found = {r.doc_id: r.first_id for r in substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [found.get(i) for i in copies] == [i - 1 for i in copies]
     assert [found.get(i) for i in near] == [i - 1 for i in near]
+
+
+def test_id_store_has_the_added_tokens_of_the_file(spark):
+    path = public.path("byte_bpe_50k.json")
+    own = Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    texts = [
+        None, "", end, f"a{end} b", f"a {end}{end}b", f" {end} \n{end}\n", "<|endoftext", "|>", f"<|end{end}oftext|>x",
+        f"don't{end}s  é{end}é", "a b", f"word {end[:6]} {end[6:]}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    found = {r.doc_id: (r.n_tokens, bytes(r.data)) for r in id_store.write_and_read(docs, path).collect()}
+    ids = [own.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
+    assert found == {i: (len(x), np.array(x, "<u4").tobytes()) for i, x in enumerate(ids)}
+    assert 50256 in ids[3]
