@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
-    bpe, class_lm, fm_index, id_store, near_dedup, quality, substrings, unigram, url_rules, warc,
+    bpe, class_lm, divergence, fm_index, id_store, language_id, near_dedup, quality, spelling,
+    substrings, unigram, url_rules, warc,
 )
 from shelfmark.llm.tables import table
 
@@ -72,10 +73,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict(
+        table(spark, sf_dir, "documents"),
+        "crc32(encode(coalesce(cast(doc_id AS string), ''), 'UTF-8')) % 5 = 0",
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_substrings, op3_byte_bpe, op4_id_store, op5_url_rules, op6_class_lm,
-        op7_unigram_counts, op8_outliers, op9_warc, op10_decontamination,
+        op7_unigram_counts, op8_outliers, op9_warc, op10_decontamination, op11_language_id,
+        op12_spelling_variants, op13_source_divergence,
     )
 }

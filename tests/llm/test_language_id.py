@@ -1,0 +1,115 @@
+"""Code lengths against a plain model of contexts; accuracy on held-out documents."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfmark.llm import language_id
+from shelfmark.llm.language_id import ORDER, UNIT
+
+SCHEMA = "doc_id long, text string, lang string, row int, lengths string, held_out string"
+HELD_OUT = "crc32(encode(coalesce(cast(doc_id AS string), ''), 'UTF-8')) % 5 = 0"
+
+
+def padded(text):
+    data = bytes(ORDER) + text.encode()
+    for i in range(ORDER, len(data)):
+        yield data[i - ORDER : i], data[i]
+
+
+class Plain:
+    """Method C with exclusion, a byte at a time."""
+
+    def __init__(self, texts):
+        self.after = defaultdict(Counter)
+        for text in texts:
+            for context, byte in padded(text):
+                for k in range(ORDER + 1):
+                    self.after[context[ORDER - k :]][byte] += 1
+
+    def share(self, context, byte):
+        out, gone = 1.0, set()
+        for k in range(ORDER, -1, -1):
+            seen = {b: n for b, n in self.after.get(context[ORDER - k :], {}).items() if b not in gone}
+            if seen:
+                total = sum(seen.values()) + len(seen)
+                if byte in seen:
+                    return out * seen[byte] / total
+                out *= len(seen) / total
+                gone |= set(seen)
+        return out / (256 - len(gone))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    kinds = {"aa": "abcd é", "bb": "bcde ñ", "cc": "xyz漢 "}
+    out = [
+        (i, "".join(rng.choices(kinds[lang], k=rng.randint(0, 300))), lang, 1, "x", "y")
+        for i, lang in enumerate(rng.choices(list(kinds), k=60))
+    ]
+    out += [
+        (60, None, "aa", 1, "x", "y"), (61, "", "bb", 1, "x", "y"), (62, "12 3!", None, 1, "x", "y"),
+        (63, "abc " * 9000, None, 1, "x", "y"), (None, "xyz 漢", "cc", 1, "x", "y"),
+        (5, out[5][1], out[5][2], 1, "x", "y"),
+    ]
+    return out
+
+
+def test_code_lengths(spark, rows, monkeypatch):
+    monkeypatch.setattr(language_id, "BLOCK", 1000)  # texts over several blocks
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    known = [r for r in rows if r[2] and r[1]]
+    plain = {lang: Plain([r[1] for r in known if r[2] == lang]) for lang in ("aa", "bb", "cc")}
+    langs, found = language_id.code_lengths(
+        docs.select(F.struct("doc_id", F.lit(0).alias("k")).alias("row"), "text"), language_id.learn(docs)
+    )
+    assert langs == ["aa", "bb", "cc"]
+    wanted = [
+        (r[0], [-sum(math.log2(plain[lang].share(*x)) for x in padded(r[1] or "")) for lang in langs])
+        for r in rows
+    ]
+    got = [(r.row.doc_id, [x / UNIT for x in r.lengths]) for r in found.collect()]
+    order = lambda x: (x[0] is None, x)
+    for (i, a), (j, b) in zip(sorted(wanted, key=order), sorted(got, key=order), strict=True):
+        assert i == j and a == pytest.approx(b, abs=0.05)
+    # what follows a context sums to one
+    for context in (b"abcd", b"zzzz", b"ab a"):
+        assert sum(plain["aa"].share(context, b) for b in range(256)) == pytest.approx(1)
+
+
+def test_pruned_trees_are_closed(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    whole, small = language_id.learn(docs), language_id.learn(docs, entries=120)
+    assert small.count() <= 120 < whole.count()
+    kept = {(r.lang, r.size, r.run) for r in small.collect() if r.run is not None}
+    assert kept and all(
+        size == 0 or (lang, size - 1, run & ((1 << (8 * size)) - 1)) in kept for lang, size, run in kept
+    )
+
+
+def test_predictions(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    found = language_id.predict(docs, HELD_OUT).collect()
+    assert len(found) == len(rows)
+    by_id = {r.doc_id: r for r in found}
+    assert by_id[60].lang_pred == by_id[61].lang_pred == by_id[62].lang_pred == "und"
+    assert by_id[60].score == 0 and by_id[63].lang_pred == "aa" and by_id[63].score == 1
+    assert by_id[None].held_out and by_id[None].lang_pred == "cc"
+    assert all(by_id[r[0]].lang_pred == r[2] for r in rows if r[1] and len(r[1]) > 30 and r[2])
+    none = language_id.predict(spark.createDataFrame([], SCHEMA), HELD_OUT)
+    assert none.columns == ["doc_id", "held_out", "lang_pred", "score"] and none.count() == 0
+    unlabelled = language_id.predict(docs.withColumn("lang", F.lit(None).cast("string")), HELD_OUT)
+    assert {(r.lang_pred, r.score) for r in unlabelled.collect()} == {("und", 0.0)}
+    one = language_id.predict(docs.where("lang = 'aa'"), HELD_OUT).where("lang_pred <> 'und'").collect()
+    assert {(r.lang_pred, r.score) for r in one} == {("aa", 1.0)}
+
+
+def test_accuracy_of_held_out_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = language_id.predict(docs, HELD_OUT).join(docs.select("doc_id", "lang", "n_chars"), "doc_id")
+    held = found.where("held_out AND lang IS NOT NULL AND n_chars >= 50").collect()
+    assert len(held) > 20 and sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held)
