@@ -8,6 +8,7 @@ unknown at the least piece's score less ten, and becomes its bytes if the vocabu
 byte pieces, while without them a run of unknown characters is one token.
 """
 
+import uuid
 from functools import partial
 
 import ahocorasick
@@ -88,10 +89,10 @@ _OPEN: dict = {}
 
 
 def _counter(vocabulary) -> Encoder:
-    key = vocabulary.id if hasattr(vocabulary, "id") else id(vocabulary)
+    key, pieces, byte_pieces = vocabulary.value
     if key not in _OPEN:
         _OPEN.clear()
-        own = Counter(*vocabulary.value)
+        own = Counter(pieces, byte_pieces)
         _OPEN[key] = Encoder(
             lambda chunks: [[own.count(c.replace(" ", MARK))] for c in chunks],
             _at_marks if own.splits else _at_texts,
@@ -124,7 +125,8 @@ def token_counts(docs: DataFrame, pieces, byte_pieces: bool, id="doc_id", text="
     has no tokens. Repeated rows and null ids are rows like others; further columns are not
     looked at; an empty vocabulary leaves unknown characters only.
     """
-    vocabulary = docs.sparkSession.sparkContext.broadcast((list(pieces), byte_pieces))
+    # the name tells vocabularies apart in workers that serve several
+    vocabulary = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, list(pieces), byte_pieces))
     kind = docs.schema[id].dataType.simpleString()
     found = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).mapInArrow(
         partial(_counts, vocabulary=vocabulary), f"id {kind}, n_tokens long"
