@@ -178,12 +178,15 @@ def missing_counts(plan: DataFrame) -> DataFrame:
 
 
 def work_counts(plan: DataFrame) -> DataFrame:
-    """One row: missing counts, rows without id, and files whose content must be read."""
+    """One row: missing counts, rows without id, files whose content must be read, their
+    bytes, and files whose hash comes from the journal."""
     return plan.selectExpr(
         "count_if(stale) AS missing",
         "count_if(stale AND NOT was_missing) AS newly_missing",
         "count_if(id IS NULL) AS without_id",
         "count_if(action = 'hash') AS to_hash",
+        "coalesce(sum(size_bytes) FILTER (WHERE action = 'hash'), 0L) AS hash_bytes",
+        "count_if(action = 'resume') AS resumed",
     )
 
 

@@ -1,5 +1,6 @@
 """A whole scan: list storage, join the prior snapshot, hash, write, report."""
 
+import math
 import time
 import uuid
 from datetime import datetime, timezone
@@ -10,10 +11,15 @@ from pyspark.sql import functions as F
 from shelfmark import schema as S
 from shelfmark.operators import ids, merge, reports, visits
 from shelfmark.sources import content, tree
+from shelfmark.sources.journal import Journal, resumed
 from shelfmark.sources.staging import staging_dir, written
 from shelfmark.sources.store import Catalog, export_csv, require_unique_paths
 
 
+#: Bytes hashed before their results are stored for good; what a scan that dies may lose.
+WAVE_BYTES = 256 << 30
+
+
 def new_run_id(now: datetime) -> str:
     return now.strftime("inv-%Y%m%dT%H%M%S-%fZ")
 
@@ -29,15 +35,28 @@ def summary_record(files: DataFrame) -> dict:
     return record
 
 
-def _with_hashes(plan: DataFrame, to_hash: int, task_bytes: int) -> DataFrame:
-    """Only rows that need it go through the file readers."""
-    idle = plan.where("action IS DISTINCT FROM 'hash'").selectExpr(
+def _with_hashes(
+    plan: DataFrame, todo, journal: Journal, scan: str, staging: str, task_bytes: int, wave_bytes: int
+) -> DataFrame:
+    """Only rows that need it go through the file readers, in waves that the journal keeps."""
+    done = plan.where("action IS DISTINCT FROM 'hash'").selectExpr(
         "*", "string(NULL) AS new_sha256", "string(NULL) AS hash_error"
     )
-    if not to_hash:
-        return idle
-    reading = content.with_file_hashes(plan.where("action = 'hash'"), task_bytes)
-    return idle.unionByName(reading)
+    if not todo["to_hash"]:
+        return done
+    cost = todo["hash_bytes"] + todo["to_hash"] * content.OPEN_COST
+    waves = math.ceil(cost / wave_bytes)
+    waiting = plan.where("action = 'hash'")
+    if waves > 1:
+        # a seed of its own, since tasks of a wave go by xxhash64 of the path alone
+        waiting = waiting.withColumn("wave", F.expr(f"int(pmod(xxhash64('wave', path), {waves}))"))
+        target = f"{staging}/waiting"
+        waiting.hint("rebalance", "wave").write.partitionBy("wave").parquet(target)
+        waiting = plan.sparkSession.read.schema(waiting.schema).parquet(target)
+    for wave in range(waves):
+        part = waiting.where(F.col("wave") == wave).drop("wave") if waves > 1 else waiting
+        done = done.unionByName(journal.append(content.with_file_hashes(part, task_bytes), scan, wave))
+    return done
 
 
 def rescan(
@@ -60,13 +79,16 @@ def rescan(
     now: datetime | None = None,
     listing_budget: int = 20_000,
     task_bytes: int = content.TASK_BYTES,
+    wave_bytes: int = WAVE_BYTES,
     log=print,
 ) -> dict:
     """Bring the catalog up to date with the files below ``roots``; returns the result record.
 
     Rows of files not met are flagged, or deleted with ``prune``; a ``limit``
     turns both off. Pruning is also refused when folders could not be listed,
-    since their files would all look gone.
+    since their files would all look gone. Hashes are journaled in waves of about
+    ``wave_bytes``; those of a scan that died are taken over where size and mtime are
+    the same, unless ``rehash`` asks for every content to be read.
     """
     began = time.monotonic()
     now = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
@@ -101,19 +123,25 @@ def rescan(
     last = store.latest()
     last_id = last["last_id"] if last else 0
     prior = store.snapshot(last["run_id"] if last else None)
-    plan = written(merge.planned(merge.matched(listing, prior), run), f"{staging}/plan")
+    seq = (last["seq"] if last else 0) + 1
+    journal = Journal(spark, store.folder, seq)
+    plan = merge.planned(merge.matched(listing, prior), run)
+    if hashing and not rehash and (known := journal.known()) is not None:
+        plan = resumed(plan, known)
+    plan = written(plan, f"{staging}/plan")
     require_unique_paths(plan)
     todo = merge.work_counts(plan).first()
     if todo["without_id"]:
         new = ids.numbered(plan.where("id IS NULL"), F.lit(last_id))
         plan = plan.where("id IS NOT NULL").unionByName(written(new, f"{staging}/new"))
-    files = merge.merged(_with_hashes(plan, todo["to_hash"], task_bytes), run)
+    hashed = _with_hashes(plan, todo, journal, name, staging, task_bytes, wave_bytes)
+    files = merge.merged(hashed, run)
     store.write_snapshot(files, run_id)
 
     counters = merge.run_counters(store.snapshot(run_id, marks=True), run).first().asDict()
     store.commit({
         "run_id": run_id, "started_at": now, "finished_at": datetime.now(timezone.utc),
-        "roots": scanned, **counters, "seq": (last["seq"] if last else 0) + 1,
+        "roots": scanned, **counters, "seq": seq,
         "last_id": last_id + todo["without_id"],
     })
 
@@ -124,6 +152,7 @@ def rescan(
         "newly_missing": todo["newly_missing"],
         "pruned": todo["missing"] if run.prune else 0,
         "files_hashed_this_run": counters["files_hashed"],
+        "hashes_resumed": todo["resumed"],
         "files_seen": counters["files_seen"],
         "errors": counters["errors"],
         "unlisted_folders": unlisted,
