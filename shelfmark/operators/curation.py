@@ -18,7 +18,9 @@ PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 RANK = "CASE fmt WHEN 'epub' THEN 0 WHEN 'mobi' THEN 1 WHEN 'azw3' THEN 1 WHEN 'pdf' THEN 2 ELSE 3 END"
 COPY = "coalesce(path <> keeper, false)"
 LIVE = f"missing_since IS NULL AND rag_eligible = 1 AND NOT {COPY}"
-TITLE = ["corpus", "author_key", "title_key"]
+TITLE = ["shelf", "author_key", "title_key"]
+#: The corpus a file is in, or is hinted to belong to while it has none.
+SHELF = f"if(coalesce(corpus, '{S.UNASSIGNED}') = '{S.UNASSIGNED}', coalesce(corpus_hint, '{S.UNASSIGNED}'), corpus)"
 CHUNK_CHARS = 1000
 
 _ENDING = "length(substring_index(filename, '.', -1)) + 1"
@@ -34,7 +36,7 @@ def _key(column: str):
 
 
 def titled(files: DataFrame, metadata: DataFrame) -> DataFrame:
-    """``files`` with author, title and their keys.
+    """``files`` with shelf, author, title and the keys of these two.
 
     ``metadata`` (path, name; a path once) holds names better than the file's own, which
     is taken without its extension where there is none. "Author - Title" is split at the
@@ -42,7 +44,7 @@ def titled(files: DataFrame, metadata: DataFrame) -> DataFrame:
     """
     named = files.join(metadata, "path", "left").withColumn("name", F.expr(f"coalesce(name, {_STEM})"))
     split = named.withColumn("cut", F.expr("instr(name, ' - ')")).selectExpr(
-        "* EXCEPT (name, cut, corpus)", f"coalesce(corpus, '{S.UNASSIGNED}') AS corpus",
+        "* EXCEPT (name, cut, corpus)", f"coalesce(corpus, '{S.UNASSIGNED}') AS corpus", f"{SHELF} AS shelf",
         "if(cut > 0, left(name, cut - 1), '') AS author",
         "if(cut > 0, substring(name, cut + 3), name) AS title",
     )
@@ -50,22 +52,22 @@ def titled(files: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def with_keeper(files: DataFrame) -> DataFrame:
-    """``files`` with ``keeper``: of equal contents in a corpus the path to keep, else NULL.
+    """``files`` with ``keeper``: of equal contents on a shelf the path to keep, else NULL.
 
     Files still there come first, then better formats, then those known longer. Copies in
-    different corpora are never compared.
+    different corpora, or hinted to belong to different ones, are never compared.
     """
     order = F.expr(f"struct(missing_since IS NOT NULL AS gone, {RANK} AS rank, first_seen, path)")
-    keepers = files.where("sha256 IS NOT NULL").groupBy("sha256", "corpus").agg(
+    keepers = files.where("sha256 IS NOT NULL").groupBy("sha256", "shelf").agg(
         F.min(order).alias("best"), F.count("*").alias("copies")
-    ).where("copies > 1").selectExpr("sha256 AS content", "corpus", "best.path AS keeper")
+    ).where("copies > 1").selectExpr("sha256 AS content", "shelf", "best.path AS keeper")
     # files without a hash each get a key of their own, and meet nothing
     keyed = files.withColumn("content", F.expr("coalesce(sha256, path)"))
-    return keyed.join(keepers.hint("rebalance"), ["content", "corpus"], "left").drop("content")
+    return keyed.join(keepers.hint("rebalance"), ["content", "shelf"], "left").drop("content")
 
 
 def titles(files: DataFrame) -> DataFrame:
-    """One row per title of a corpus among eligible files that are there and no copies:
+    """One row per title of a shelf among eligible files that are there and no copies:
     canonical (its path of the best format), best and worst rank of its formats, files."""
     return files.where(LIVE).groupBy(*TITLE).agg(
         F.min(F.expr(f"struct({RANK} AS rank, path)")).alias("best"),
@@ -115,15 +117,17 @@ def layout(files: DataFrame, library: str) -> DataFrame:
     """(path, root, decision, target, claims) of decided files that are there and no copies.
 
     Eligible files go to corpus/author/title/title.ext below ``library``, others to
-    _non_rag and their whole path. ``claims`` counts the files that want a target or lie there.
+    _non_rag and their whole path. An eligible file without a corpus is for review and
+    stays where it is. ``claims`` counts the files that want a target or lie there.
     """
+    homeless = f"rag_eligible = 1 AND corpus = '{S.UNASSIGNED}'"
     kept = files.where("missing_since IS NULL AND decision <> 'drop'").selectExpr(
-        "path", "root", "decision",
-        f"""if(rag_eligible = 1,
+        "path", "root", f"if({homeless}, 'review', decision) AS decision",
+        f"""CASE WHEN {homeless} THEN path WHEN rag_eligible = 1 THEN
             concat_ws('/', '{library}', corpus, if(author_key = '', 'unknown', author_key),
                       if(title_key = '', 'untitled', title_key),
-                      concat(if(title_key = '', 'untitled', title_key), '.', ext)),
-            concat('{library}/_non_rag', path)) AS target""",
+                      concat(if(title_key = '', 'untitled', title_key), '.', ext))
+            ELSE concat('{library}/_non_rag', path) END AS target""",
     )
     lying = files.where("missing_since IS NULL").select("path").join(
         kept.where("path = target").select("path"), "path", "left_anti"
@@ -133,9 +137,9 @@ def layout(files: DataFrame, library: str) -> DataFrame:
 
 
 def manifest(plan: DataFrame, library: str) -> DataFrame:
-    """Moves of a ``layout`` with their inverses. A target claimed twice is a conflict, a
-    format under review stays where it is; neither has a destination."""
-    action = """CASE WHEN path = target THEN 'stay' WHEN decision = 'review' THEN 'review'
+    """Moves of a ``layout`` with their inverses. A target claimed twice is a conflict, what
+    is under review stays where it is; neither has a destination."""
+    action = """CASE WHEN decision = 'review' THEN 'review' WHEN path = target THEN 'stay'
         WHEN claims > 1 THEN 'conflict' ELSE 'move' END"""
     moves = plan.selectExpr("path AS src", "root AS src_root", "target", f"{action} AS action")
     return moves.selectExpr(
@@ -185,16 +189,21 @@ def to_convert(files: DataFrame, converted: DataFrame, extracted: DataFrame) ->
     )
 
 
+def citable(files: DataFrame) -> DataFrame:
+    """(path, sha256, corpus, author, book) of kept eligible files of assigned corpora."""
+    return files.where(f"{LIVE} AND decision = 'keep' AND corpus <> '{S.UNASSIGNED}'").select(
+        "path", "sha256", "corpus", F.col("author"), F.col("title").alias("book")
+    )
+
+
 def chunks(files: DataFrame, texts: DataFrame) -> DataFrame:
-    """Passages of kept eligible files with what a citation needs.
+    """Passages of kept eligible files of assigned corpora with what a citation needs.
 
     ``texts`` (path, text) are whole texts; passages of CHUNK_CHARS characters cover each in
     full, so joining them by chunk_no gives the text back. ``location`` is the first
     character's offset. An empty or null text has no passages.
     """
-    wanted = files.where(f"{LIVE} AND decision = 'keep'").select(
-        "path", "sha256", "corpus", F.col("author"), F.col("title").alias("book")
-    )
+    wanted = citable(files)
     parts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK_CHARS}}}"), F.lit(0))
     found = wanted.join(texts.select("path", "text"), "path")
     return found.select(*wanted.columns, F.posexplode(parts).alias("chunk_no", "chunk")).selectExpr(
@@ -202,12 +211,6 @@ def chunks(files: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def to_embed(passages: DataFrame, embedded: DataFrame) -> DataFrame:
-    """(sha256, chunk_no) of passages not in ``embedded``, each once however many files hold it."""
-    keys = ["sha256", "chunk_no"]
-    return passages.select(keys).distinct().join(embedded.select(keys), keys, "left_anti")
-
-
 def collection_sizes(passages: DataFrame) -> DataFrame:
     return passages.groupBy("corpus").agg(
         F.expr("count_if(chunk_no = 0) AS files"), F.count("*").alias("chunks"),

@@ -2,14 +2,18 @@
 
 Document titles stand in ``documents`` as source and length ("src3 - Étude No. 12"), so copies
 and other formats of a title occur; assignments, conversions and embeddings follow ``labels``.
+Corpora are assigned first: copies, titles, layout, passages and searches go by them.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators import curation
+from shelfmark.operators import curation, near_titles, passages, retrieval
 from shelfmark.plans.queries import _contents, _files, _stored
 from shelfmark.sources import tables
+from shelfmark.sources.staging import staging_dir, written
 
 LIBRARY = "/library"
 
@@ -24,7 +28,7 @@ def _titled(spark, sf_dir) -> DataFrame:
     named = _documents(spark, sf_dir).selectExpr(
         "path", "concat(source, ' - Étude No. ', n_chars div 100) AS name"
     )
-    return curation.titled(_files(spark, sf_dir), named)
+    return curation.titled(_assigned(spark, sf_dir), named)
 
 
 def _decided(spark, sf_dir) -> DataFrame:
@@ -68,7 +72,7 @@ def normalize_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_exact(spark, sf_dir):
     grouped = _decided(spark, sf_dir).where("keeper IS NOT NULL")
     return grouped.selectExpr(
-        "path", "sha256", "corpus", "keeper", "if(path = keeper, 'keep', 'drop') AS decision"
+        "path", "sha256", "shelf AS corpus", "keeper", "if(path = keeper, 'keep', 'drop') AS decision"
     )
 
 
@@ -82,7 +86,9 @@ def dedup_decisions(spark, sf_dir):
 
 
 def canonical_titles(spark, sf_dir):
-    return curation.titles(_decided(spark, sf_dir)).select(*curation.TITLE, "canonical", "files")
+    return curation.titles(_decided(spark, sf_dir)).select(
+        F.col("shelf").alias("corpus"), "author_key", "title_key", "canonical", "files"
+    )
 
 
 def assign_corpus(spark, sf_dir):
@@ -118,15 +124,68 @@ def citation_chunks(spark, sf_dir):
     return _chunks(spark, sf_dir)
 
 
-def embed_worklist(spark, sf_dir):
-    labels = tables.table(spark, sf_dir, "labels").where("quality = 1")
-    sizes = _documents(spark, sf_dir).where("n_chars > 0").join(labels, "doc_id", "left_semi").select(
-        "path", "n_chars"
+def _content_chunks(spark, sf_dir, text: str = "text") -> DataFrame:
+    texts = _documents(spark, sf_dir).selectExpr("path", f"{text} AS text", "doc_id")
+    wanted = curation.citable(_decided(spark, sf_dir))
+    return passages.content_chunks(wanted.join(texts, "path"))
+
+
+def content_chunks(spark, sf_dir):
+    return _content_chunks(spark, sf_dir).select(
+        "path", "corpus", "chunk_no", "location", F.length("chunk").cast("long").alias("n_chars"), "chunk_key"
     )
-    done = _files(spark, sf_dir).join(sizes, "path").selectExpr(
-        "sha256", f"explode(sequence(0, int((n_chars - 1) div {curation.CHUNK_CHARS}))) AS chunk_no"
+
+
+def embed_worklist(spark, sf_dir):
+    """What was embedded: texts of good quality as they were before their first 100 characters
+    were added."""
+    good = tables.table(spark, sf_dir, "labels").where("quality = 1")
+    done = _content_chunks(spark, sf_dir, "substr(text, 101)").join(good, "doc_id", "left_semi")
+    return passages.to_embed(_content_chunks(spark, sf_dir), done)
+
+
+def dedup_near(spark, sf_dir):
+    """Titles are spelled by the documents' languages."""
+    named = _documents(spark, sf_dir).selectExpr("path", """concat(source, ' - ', CASE lang
+        WHEN 'fr' THEN 'Études' WHEN 'de' THEN 'Etuden' WHEN 'es' THEN 'Estude' ELSE 'Étude' END,
+        ' No. ', n_chars div 100) AS name""")
+    files = curation.with_keeper(curation.titled(_assigned(spark, sf_dir), named))
+    folder = f"near/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    return near_titles.near_duplicates(written(files, staging_dir(spark, f"{folder}/files")), folder)
+
+
+CELLS, TOP = 64, 5
+
+
+def _citations(spark, sf_dir) -> DataFrame:
+    """(id, path, corpus, author, book) of documents that are files of assigned corpora."""
+    ids = _documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "path")
+    return curation.citable(_decided(spark, sf_dir)).join(ids, "path").drop("sha256")
+
+
+def _retrieved(spark, sf_dir, probes: int | None) -> DataFrame:
+    """The vector of a document is the one with its number; every fiftieth vector is a query."""
+    vectors = retrieval.whole(tables.table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "id"))
+    cited = _citations(spark, sf_dir)
+    folder = staging_dir(spark, f"vectors/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}")
+    placed = vectors.join(cited, "id")
+    centres = retrieval.fit_centres(vectors, CELLS, id="id")
+    retrieval.write_index(retrieval.index(placed, centres, id="id"), folder)
+    found = spark.read.schema("id long, vector array<int>, corpus string, cell int").parquet(folder)
+    queries = vectors.where("id % 50 = 0").selectExpr("id", "embedding AS vector")
+    best = retrieval.search(found, queries, centres, TOP, probes)
+    return best.join(cited.drop("corpus"), "id").selectExpr(
+        "query_id", "corpus", "rank", "id", "score", "path", "author", "book"
     )
-    return curation.to_embed(_chunks(spark, sf_dir), done)
+
+
+def retrieve_topk(spark, sf_dir):
+    return _retrieved(spark, sf_dir, None)
+
+
+def retrieve_indexed(spark, sf_dir):
+    """Looks at three quarters of the cells, since these vectors have hardly any neighbourhoods."""
+    return _retrieved(spark, sf_dir, CELLS * 3 // 4)
 
 
 def collection_sizes(spark, sf_dir):
@@ -138,6 +197,7 @@ QUERIES = {
     for f in (
         normalize_title, dedup_exact, dedup_format, dedup_decisions, canonical_titles,
         assign_corpus, corpus_review, layout_plan, move_manifest, apply_manifest,
-        conversion_worklist, citation_chunks, embed_worklist, collection_sizes,
+        conversion_worklist, citation_chunks, content_chunks, embed_worklist, collection_sizes,
+        dedup_near, retrieve_topk, retrieve_indexed,
     )
 }

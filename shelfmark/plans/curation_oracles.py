@@ -6,6 +6,10 @@ _PATH = f"'/lib/' || {FOLDERS} || source || '_' || doc_id || {SUFFIX}"
 _RANK = "(CASE WHEN fmt = 'epub' THEN 0 WHEN fmt IN ('mobi', 'azw3') THEN 1 WHEN fmt = 'pdf' THEN 2 ELSE 3 END)"
 
 
+def _recursive(query: str) -> str:
+    return _after(query).replace("WITH", "WITH RECURSIVE", 1)
+
+
 def _norm(column: str) -> str:
     folded = (
         f"translate(lower({column}), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy')"
@@ -13,14 +17,24 @@ def _norm(column: str) -> str:
     return f"trim(regexp_replace({folded}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 
 
-_TITLED = f"""
-  , texts AS (SELECT {_PATH} AS path, text, n_chars, doc_id,
+_ASSIGNED = """
+  , given AS (SELECT sha, min(c) AS given, min(c) <> max(c) AS split FROM (
+                SELECT sha, CASE WHEN quality = 0 THEN 'untrusted-nonfiction'
+                                 WHEN toxic = 1 THEN 'fiction'
+                                 WHEN toxic = 0 THEN 'trusted-nonfiction' END AS c
+                FROM docs JOIN labels USING (doc_id)) WHERE c IS NOT NULL GROUP BY sha),
+  assigned AS (SELECT files.* REPLACE (CASE WHEN split OR given IS NULL THEN coalesce(corpus, 'unassigned') ELSE given END AS corpus),
+                      coalesce(split, false) AS split
+               FROM files LEFT JOIN given ON sha256 = sha)"""
+
+_TITLED = f"""{_ASSIGNED},
+  texts AS (SELECT {_PATH} AS path, text, n_chars, doc_id,
                      source || ' - Étude No. ' || (n_chars // 100) AS name FROM documents),
   named AS (SELECT f.*, coalesce(name, CASE WHEN strpos(substr(filename, 2), '.') > 0
                    THEN left(filename, length(filename) - 1 - length(split_part(filename, '.', -1)))
                    ELSE filename END) AS name
-            FROM files f LEFT JOIN texts USING (path)),
-  parts AS (SELECT *, CASE WHEN strpos(name, ' - ') > 0 THEN left(name, strpos(name, ' - ') - 1)
+            FROM assigned f LEFT JOIN texts USING (path)),
+  parts AS (SELECT *, CASE WHEN corpus = 'unassigned' THEN corpus_hint ELSE corpus END AS shelf, CASE WHEN strpos(name, ' - ') > 0 THEN left(name, strpos(name, ' - ') - 1)
                            ELSE '' END AS author,
                    CASE WHEN strpos(name, ' - ') > 0 THEN substr(name, strpos(name, ' - ') + 3)
                         ELSE name END AS title FROM named),
@@ -30,28 +44,20 @@ _DECIDED = f"""{_TITLED},
   kept AS (SELECT *, CASE WHEN sha256 IS NOT NULL AND count(*) OVER w > 1
                      THEN first_value(path) OVER (w ORDER BY missing_since IS NOT NULL, {_RANK},
                                                   first_seen, path) END AS keeper
-           FROM titled WINDOW w AS (PARTITION BY sha256, corpus)),
+           FROM titled WINDOW w AS (PARTITION BY sha256, shelf)),
   live AS (SELECT *, missing_since IS NULL AND rag_eligible = 1
                      AND (keeper IS NULL OR keeper = path) AS live FROM kept),
   best AS (SELECT *, first_value(path) OVER (t ORDER BY {_RANK}, path) AS canonical,
                   min({_RANK}) OVER t AS best, max({_RANK}) OVER t AS worst
-           FROM live WINDOW t AS (PARTITION BY live, corpus, author_key, title_key)),
+           FROM live WINDOW t AS (PARTITION BY live, shelf, author_key, title_key)),
   decided AS (SELECT *, CASE WHEN path <> keeper THEN 'drop'
                              WHEN live AND {_RANK} > best THEN 'review' ELSE 'keep' END AS decision
               FROM best)"""
 
-_ASSIGNED = """
-  , given AS (SELECT sha, min(c) AS given, min(c) <> max(c) AS split FROM (
-                SELECT sha, CASE WHEN quality = 0 THEN 'untrusted-nonfiction'
-                                 WHEN toxic = 1 THEN 'fiction'
-                                 WHEN toxic = 0 THEN 'trusted-nonfiction' END AS c
-                FROM docs JOIN labels USING (doc_id)) WHERE c IS NOT NULL GROUP BY sha),
-  assigned AS (SELECT files.* REPLACE (CASE WHEN split OR given IS NULL THEN corpus ELSE given END AS corpus),
-                      coalesce(split, false) AS split
-               FROM files LEFT JOIN given ON sha256 = sha)"""
-
 _LAYOUT = f"""{_DECIDED},
-  wanted AS (SELECT path, root, decision, CASE WHEN rag_eligible = 1
+  wanted AS (SELECT path, root,
+               CASE WHEN rag_eligible = 1 AND corpus = 'unassigned' THEN 'review' ELSE decision END AS decision,
+               CASE WHEN rag_eligible = 1 AND corpus = 'unassigned' THEN path WHEN rag_eligible = 1
                THEN '/library/' || corpus || '/' || CASE author_key WHEN '' THEN 'unknown' ELSE author_key END
                  || '/' || t || '/' || t || '.' || ext
                ELSE '/library/_non_rag' || path END AS target
@@ -61,7 +67,7 @@ _LAYOUT = f"""{_DECIDED},
               SELECT path FROM files WHERE missing_since IS NULL
                 AND path NOT IN (SELECT path FROM wanted WHERE path = target)),
   layout AS (SELECT *, (SELECT count(*) FROM claimed WHERE place = target) AS claims FROM wanted),
-  acts AS (SELECT *, CASE WHEN path = target THEN 'stay' WHEN decision = 'review' THEN 'review'
+  acts AS (SELECT *, CASE WHEN decision = 'review' THEN 'review' WHEN path = target THEN 'stay'
                           WHEN claims > 1 THEN 'conflict' ELSE 'move' END AS action FROM layout),
   moves AS (SELECT *, CASE WHEN action = 'move' THEN target END AS dst FROM acts)"""
 
@@ -69,12 +75,54 @@ _CHUNKS = f"""{_DECIDED},
   passages AS (SELECT path, sha256, corpus, author, title AS book, i::INTEGER AS chunk_no,
                       (i * 1000)::BIGINT AS location, substr(text, i * 1000 + 1, 1000) AS chunk
                FROM (SELECT d.*, text, unnest(range(0, (length(text) + 999) // 1000)) AS i
-                     FROM decided d JOIN texts USING (path) WHERE live AND decision = 'keep'))"""
+                     FROM decided d JOIN texts USING (path)
+                     WHERE live AND decision = 'keep' AND corpus <> 'unassigned'))"""
+
+# The cutting rule in whole numbers: a place ends a passage where the sum of the last 16 code
+# points times powers of 257, modulo 1000003, is a multiple of 512; passages have 256 to 4096.
+_POWERS = [pow(257, j, 1_000_003) for j in range(16)]
+_CUT = f"""{_DECIDED},
+  cited AS MATERIALIZED (SELECT path, corpus, doc_id, text FROM decided JOIN texts USING (path)
+                         WHERE live AND decision = 'keep' AND corpus <> 'unassigned'),
+  versions AS MATERIALIZED (SELECT path, corpus, doc_id, 0 AS version, text FROM cited
+                            UNION ALL SELECT path, corpus, doc_id, 1, substr(text, 101) FROM cited),
+  coded AS MATERIALIZED (SELECT doc_id, version, length(text) AS n,
+                                list_transform(string_split(text, ''), lambda c: unicode(c)::BIGINT) AS cp
+                         FROM versions WHERE length(text) > 0),
+  placed AS MATERIALIZED (SELECT doc_id, version, n, list_filter(range(1, n + 1), lambda i:
+        list_sum(list_transform(range(0, least(16, i)), lambda j: cp[i - j] * ({_POWERS})[j + 1]))
+        % 1000003 % 512 = 0) AS places FROM coded),
+  cuts(doc_id, version, n, places, no, b, e) AS (
+    SELECT doc_id, version, n, places, 0, 1::BIGINT, least(n, 4096,
+           coalesce(list_min(list_filter(places, lambda x: x >= 256)), n)) FROM placed
+    UNION ALL
+    SELECT doc_id, version, n, places, no + 1, e + 1, least(n, e + 4096,
+           coalesce(list_min(list_filter(places, lambda x: x >= e + 256)), n)) FROM cuts WHERE e < n)"""
+
+_NEAR = (_DECIDED.replace(
+    "source || ' - Étude No. '",
+    "source || ' - ' || CASE WHEN lang = 'fr' THEN 'Études' WHEN lang = 'de' THEN 'Etuden'"
+    " WHEN lang = 'es' THEN 'Estude' ELSE 'Étude' END || ' No. '",
+) + """,
+  spelled AS MATERIALIZED (SELECT path, shelf, trim(author_key || ' ' || title_key) AS name,
+            length(bin(size_bytes)) AS band FROM decided WHERE live),
+  nodes AS MATERIALIZED (SELECT shelf, name, band, min(path) AS node, count(*) AS files,
+            array_to_string(regexp_extract_all(name, '[0-9]+'), ' ') AS digits FROM spelled GROUP BY shelf, name, band),
+  linked AS MATERIALIZED (SELECT a.node AS a, b.node AS b FROM nodes a JOIN nodes b
+            ON a.shelf = b.shelf AND a.digits = b.digits AND a.node <> b.node AND abs(a.band - b.band) <= 1
+            AND (a.name = b.name OR (least(length(a.name), length(b.name)) >= 5 AND levenshtein(a.name, b.name) <= 1))),
+  reach(node, other) AS (SELECT node, node FROM nodes
+            UNION SELECT reach.node, l.b FROM reach JOIN linked l ON l.a = reach.other),
+  roots AS (SELECT node, min(other) AS keeper FROM reach GROUP BY node),
+  sizes AS (SELECT keeper, sum(files)::BIGINT AS files FROM roots JOIN nodes USING (node) GROUP BY keeper)
+  SELECT path, keeper, s.files, (SELECT count(*) FROM linked WHERE a = nodes.node) AS links
+  FROM spelled JOIN nodes USING (shelf, name, band) JOIN roots USING (node) JOIN sizes s USING (keeper)
+  WHERE s.files > 1""")
 
 ORACLES = {
     "normalize_title": _after(f"{_TITLED} SELECT path, author, title, author_key, title_key FROM titled"),
     "dedup_exact": _after(
-        f"{_DECIDED} SELECT path, sha256, corpus, keeper, CASE WHEN path = keeper THEN 'keep'"
+        f"{_DECIDED} SELECT path, sha256, shelf AS corpus, keeper, CASE WHEN path = keeper THEN 'keep'"
         " ELSE 'drop' END AS decision FROM decided WHERE keeper IS NOT NULL"
     ),
     "dedup_format": _after(
@@ -85,7 +133,7 @@ ORACLES = {
         " WHEN 'review' THEN 'other_format' END AS reason FROM decided"
     ),
     "canonical_titles": _after(
-        f"{_DECIDED} SELECT corpus, author_key, title_key, any_value(canonical) AS canonical,"
+        f"{_DECIDED} SELECT shelf AS corpus, author_key, title_key, any_value(canonical) AS canonical,"
         " count(*) AS files FROM decided WHERE live GROUP BY ALL"
     ),
     "assign_corpus": _after(f"{_ASSIGNED} SELECT path, corpus FROM assigned"),
@@ -115,10 +163,31 @@ ORACLES = {
         " (SELECT 1 FROM docs JOIN labels USING (doc_id) WHERE quality = 1 AND sha = d.sha256)"
     ),
     "citation_chunks": _after(f"{_CHUNKS} SELECT * FROM passages"),
-    "embed_worklist": _after(
-        f"{_CHUNKS} SELECT DISTINCT sha256, chunk_no FROM passages p WHERE NOT EXISTS"
-        " (SELECT 1 FROM files f JOIN texts t USING (path) JOIN labels l USING (doc_id)"
-        " WHERE quality = 1 AND f.sha256 = p.sha256 AND n_chars > p.chunk_no * 1000)"
+    "content_chunks": _recursive(
+        f"{_CUT} SELECT path, corpus, no::INTEGER AS chunk_no, (b - 1)::BIGINT AS location,"
+        " (e - b + 1)::BIGINT AS n_chars, sha256(substr(text, b, e - b + 1)) AS chunk_key"
+        " FROM cuts JOIN cited USING (doc_id) WHERE version = 0"
+    ),
+    "embed_worklist": _recursive(
+        f"{_CUT}, keyed AS (SELECT corpus, sha256(substr(text, b, e - b + 1)) AS chunk_key, version,"
+        " e - b + 1 AS n, path, doc_id FROM cuts JOIN versions USING (doc_id, version))"
+        " SELECT corpus, chunk_key, any_value(n)::BIGINT AS n_chars, min(path) AS path FROM keyed k"
+        " WHERE version = 0 AND NOT EXISTS (SELECT 1 FROM keyed o JOIN labels USING (doc_id)"
+        " WHERE quality = 1 AND o.version = 1 AND o.corpus = k.corpus AND o.chunk_key = k.chunk_key)"
+        " GROUP BY corpus, chunk_key"
+    ),
+    "dedup_near": _recursive(_NEAR),
+    "retrieve_topk": _after(
+        f"{_DECIDED}, cited AS (SELECT path, corpus, author, title AS book, doc_id AS id FROM decided"
+        " JOIN texts USING (path) WHERE live AND decision = 'keep' AND corpus <> 'unassigned'),"
+        " vectors AS MATERIALIZED (SELECT vec_id AS id, list_transform(embedding, lambda x:"
+        " floor(x::DOUBLE * 10000 + 0.5)::BIGINT) AS v FROM embeddings),"
+        " scored AS (SELECT q.id AS query_id, c.*, list_sum(list_transform(range(1, len(q.v) + 1),"
+        " lambda i: q.v[i] * p.v[i]))::BIGINT AS score"
+        " FROM vectors q, vectors p JOIN cited c USING (id) WHERE q.id % 50 = 0),"
+        " ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id, corpus ORDER BY score DESC, id)"
+        "::INTEGER AS rank FROM scored)"
+        " SELECT query_id, corpus, rank, id, score, path, author, book FROM ranked WHERE rank <= 5"
     ),
     "collection_sizes": _after(
         f"{_CHUNKS} SELECT corpus, count(*) FILTER (chunk_no = 0) AS files, count(*) AS chunks,"

@@ -39,6 +39,7 @@ COLUMNS = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
     "pages": "page_id long, url string, html string",
     "conversations": "conv_id long, turn long, role string, text string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
     "benchmark": "item_id long, text string",
     "labels": "doc_id long, quality int, toxic int",
 }

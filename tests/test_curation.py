@@ -69,13 +69,13 @@ def test_moves_and_their_inverse(decided, files):
         "b/Ann Émile - A Tale.epub": ("move", "/lib/fiction/ann emile/a tale/a tale.epub"),
         "c/x.epub": ("move", "/lib/trusted-nonfiction/unknown/x/x.epub"),
         "d/Ann Emile - A Tale.pdf": ("review", None), "e/ANN EMILE - A TALE.mobi": ("review", None),
-        "f/none.txt": ("move", "/lib/unassigned/unknown/none/none.txt"),
+        "f/none.txt": ("review", None),
         "g/!!.txt": ("move", "/lib/fiction/unknown/untitled/untitled.txt"),
         "h/cover.jpg": ("move", "/lib/_non_rag/r/h/cover.jpg"),
         "i/same.txt": ("conflict", None), "j/same.txt": ("conflict", None),
     }
     moved = curation.applied(files, moves)
-    assert moved.where("startswith(path, '/lib/')").count() == 5
+    assert moved.where("startswith(path, '/lib/')").count() == 4
     assert moved.where("rel_path = '_non_rag/r/h/cover.jpg' AND top_folder = '_non_rag'").count() == 1
     back = curation.applied(moved, curation.inverse(moves))
     columns = ["path", "root", "rel_path", "filename", "sha256"]
@@ -107,8 +107,6 @@ def test_chunks_give_whole_texts_back(spark, decided):
         assert r["location"] == len(whole.get(r["path"], ""))
         whole[r["path"]] = whole.get(r["path"], "") + r["chunk"]
     assert whole == dict(t for t in texts if t[1] and t[0] != "/r/nowhere")
-    done = found.where("chunk_no < 2").select("sha256", "chunk_no")
-    assert [tuple(r) for r in curation.to_embed(found, done).collect()] == [("1", 2)]
     sizes = {tuple(r) for r in curation.collection_sizes(found).collect()}
     assert sizes == {("fiction", 1, 1, 1000), ("trusted-nonfiction", 1, 3, 3000)}
 
@@ -141,3 +139,17 @@ def test_hot_hash_and_title(spark):
     assert found == {"drop": 49_999, "keep": 10_001}
     plan = decided._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "collect_" not in plan
+
+
+def test_copies_of_different_hints_are_not_compared(spark):
+    """A file without a corpus belongs where its hint says; copies elsewhere are none."""
+    files = catalog(spark, [("a/x.txt", "1", None, False), ("b/x.txt", "1", None, False),
+                            ("c/x.txt", "1", "fiction", False), ("d/x.txt", "1", None, False)])
+    hints = F.when(F.col("path").contains("/a/"), "fiction").when(F.col("path").contains("/b/"), "ghostwriting")
+    files = files.withColumn("corpus_hint", F.coalesce(hints, F.lit("unassigned")))
+    named = spark.createDataFrame([], "path string, name string")
+    found = curation.decided(curation.with_keeper(curation.titled(files, named)))
+    assert by_path(found, "keeper") == {
+        "a/x.txt": "/r/a/x.txt", "b/x.txt": None, "c/x.txt": "/r/a/x.txt", "d/x.txt": None,
+    }
+    assert by_path(found, "decision") == {"a/x.txt": "keep", "b/x.txt": "keep", "c/x.txt": "drop", "d/x.txt": "keep"}

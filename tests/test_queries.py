@@ -22,7 +22,8 @@ def con(sf_dir):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(CATALOG) <= set(ORACLES)
+    # an index is held against the exact search in test_retrieval
+    assert set(CATALOG) - set(ORACLES) == {"retrieve_indexed"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

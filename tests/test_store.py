@@ -1,11 +1,9 @@
 import csv
 import glob
-import json
 from datetime import datetime, timezone
 
 import pytest
 
-from shelfmark import job
 from shelfmark import schema as S
 from shelfmark.plans.rescan import rescan
 from shelfmark.sources import staging
@@ -163,25 +161,3 @@ def test_staging_folder(spark):
     assert staging.staging_dir(Session, "x", fallback="/shared/cat/") == "/shared/cat/x"
     with pytest.raises(ValueError):
         staging.staging_dir(Session, "x")
-
-
-def test_job(spark, tmp_path, capsys):
-    library = tmp_path / "lib"
-    (library / "AudioBooks").mkdir(parents=True)
-    (library / "AudioBooks/a.mp3").write_bytes(b"abc")
-    (library / "b.tmp").write_bytes(b"")
-    config = tmp_path / "c.json"
-    config.write_text(json.dumps({"roots": [str(library)], "catalog_path": str(tmp_path / "cat")}))
-    assert job.main(["--config", str(config), "--csv", str(tmp_path / "csv")], spark) == 0
-    out = capsys.readouterr().out
-    assert "total_files              1\n" in out and "AudioBooks: 1 files, 3 bytes" in out
-    toml = tmp_path / "c.toml"
-    toml.write_text('exclude_globs = []\nmax_hash_bytes = 2\n')
-    args = ["--config", str(toml), "--root", str(library), "--catalog", str(tmp_path / "cat2"), "--quiet"]
-    assert job.main(args, spark) == 0
-    files = Catalog(spark, str(tmp_path / "cat2")).files()
-    assert {r["filename"]: r["sha256"] is None for r in files.collect()} == {"a.mp3": True, "b.tmp": False}
-    assert job.main(["--catalog", str(tmp_path / "cat3")], spark) == 2
-    (tmp_path / "bad.json").write_text('{"root": []}')
-    with pytest.raises(ValueError, match="root"):
-        job.read_settings(str(tmp_path / "bad.json"))
