@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.sources.staging import staging_dir, written
 
-#: Rows of a side of a few bytes each that may be broadcast; beyond, both sides are shuffled.
-SMALL_ROWS = 500_000
+#: Rows of a side that may be broadcast, and bytes of its files; beyond, both sides are shuffled.
+SMALL_ROWS, SMALL_BYTES = 500_000, 16 << 20
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -17,7 +17,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def small(df: DataFrame) -> DataFrame:
-    """``df`` (a staged table of short rows) with a broadcast hint if it has few rows."""
+    """``df`` (a staged table) with a broadcast hint if it has few rows and bytes."""
+    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > SMALL_BYTES:
+        return df
     return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
 
 
