@@ -223,13 +223,33 @@ def _encode(batches, vocabulary):
 def _decode(batches, vocabulary):
     own, _ = _opened(vocabulary)
     for batch in batches:
-        out = [None if x is None else own.decode(np.array(x, np.int64)).tobytes()
-               for x in batch.column(1).to_pylist()]
+        out = [own.decode(np.array(x.values, np.int64)).tobytes() if x.is_valid else None
+               for x in batch.column(1)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(out, pa.binary())], names=["id", "bytes"]
         )
 
 
+def _encode_and_check(batches, vocabulary):
+    own, encoder = _opened(vocabulary)
+    for batch in batches:
+        for low, high in texts.slices(batch.column(1)):
+            ids, rows = encoder(batch.column(1).slice(low, high - low))
+            ids = ids.astype(np.int32)
+            decoded = [
+                hashlib.sha256(own.decode(ids[a:b])).hexdigest()
+                for a, b in zip(rows[:-1].tolist(), rows[1:].tolist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).slice(low, high - low),
+                    pa.ListArray.from_arrays(pa.array(rows.astype(np.int32)), pa.array(ids)),
+                    pa.array(decoded, pa.string()),
+                ],
+                names=["id", "ids", "decoded_sha256"],
+            )
+
+
 def _round_trip(batches, vocabulary):
     own, encoder = _opened(vocabulary)
     shown = [str(i) for i in range(len(own.sizes))]
@@ -267,6 +287,14 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, id="doc_id", tex
     return _mapped(docs, _encode, id, text, vocabulary_path, pattern, "ids array<int>")
 
 
+def encode_and_check(docs: DataFrame, vocabulary_path: str, pattern: str, id="doc_id", text="text"):
+    """(id, ids, decoded_sha256) for every row: ``encode`` with the digest of the bytes that the
+    ids decode to, in one pass, so neither ids nor bytes go to another worker."""
+    return _mapped(
+        docs, _encode_and_check, id, text, vocabulary_path, pattern, "ids array<int>, decoded_sha256 string"
+    )
+
+
 def decode(encoded: DataFrame, vocabulary_path: str, pattern: str, id="doc_id", ids="ids"):
     """(id, bytes binary) for every row; null ids give null, an unknown id an error."""
     return _mapped(encoded, _decode, id, ids, vocabulary_path, pattern, "bytes binary")
