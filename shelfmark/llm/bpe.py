@@ -233,7 +233,7 @@ def _decode(batches, vocabulary):
 def _encode_and_check(batches, vocabulary):
     own, encoder = _opened(vocabulary)
     for batch in batches:
-        for low, high in texts.slices(batch.column(1)):
+        for low, high in texts.slices(batch.column(1), SLICE // 8):
             ids, rows = encoder(batch.column(1).slice(low, high - low))
             ids = ids.astype(np.int32)
             decoded = [
