@@ -29,7 +29,7 @@ _STEM = (
 )
 
 
-def _key(column: str):
+def name_key(column: str):
     """Letters and digits in lower case without accents, all else a single space."""
     plain = F.translate(F.lower(column), ACCENTED, PLAIN)
     return F.trim(F.regexp_replace(plain, r"[^\p{L}\p{N}]+", " "))
@@ -48,7 +48,7 @@ def titled(files: DataFrame, metadata: DataFrame) -> DataFrame:
         "if(cut > 0, left(name, cut - 1), '') AS author",
         "if(cut > 0, substring(name, cut + 3), name) AS title",
     )
-    return split.withColumns({"author_key": _key("author"), "title_key": _key("title")})
+    return split.withColumns({"author_key": name_key("author"), "title_key": name_key("title")})
 
 
 def with_keeper(files: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators import curation, near_titles, passages, retrieval
+from shelfmark.functions.isbn import isbn13
+from shelfmark.operators import curation, near_titles, passages, reconcile, retrieval
 from shelfmark.plans.queries import _contents, _files, _stored
 from shelfmark.sources import tables
 from shelfmark.sources.staging import staging_dir, written
@@ -154,6 +155,57 @@ def dedup_near(spark, sf_dir):
     return near_titles.near_duplicates(written(files, staging_dir(spark, f"{folder}/files")), folder)
 
 
+def _ledger(spark, sf_dir) -> DataFrame:
+    """The book ledger: an entry per labelled document and one per benchmark item, which is no
+    file any more. Poor ones are recorded as notes, toxic ones without an author."""
+    documents = tables.table(spark, sf_dir, "documents")
+    labelled = documents.join(tables.table(spark, sf_dir, "labels"), "doc_id").selectExpr(
+        "concat('L', doc_id) AS entry_id", f"{IMPRINT} AS isbn",
+        "if(toxic = 1, NULL, upper(source)) AS author",
+        "concat(if(quality = 0, 'Notes ', 'ETUDE no '), n_chars div 10) AS title",
+        "CASE WHEN quality = 0 THEN 'untrusted-nonfiction' WHEN toxic = 1 THEN 'fiction'"
+        " WHEN toxic = 0 THEN 'trusted-nonfiction' END AS corpus",
+    )
+    items = tables.table(spark, sf_dir, "benchmark").selectExpr(
+        "concat('B', item_id) AS entry_id", "string(NULL) AS isbn", "'Item' AS author",
+        "concat('Reference ', item_id) AS title", "'trusted-nonfiction' AS corpus",
+    )
+    return labelled.union(items)
+
+
+# German books have old numbers, and most check digits are wrong.
+IMPRINT = """concat('ISBN ', if(lang = 'de', '', '978-'), lpad(n_chars, 9, '0'), '-', CASE
+    WHEN lang <> 'de' THEN string(doc_id % 10) WHEN doc_id % 11 = 10 THEN 'X' ELSE string(doc_id % 11) END)"""
+
+
+def _reconciled(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Files as the scan left them, under names of their own, against the ledger."""
+    named = _documents(spark, sf_dir).selectExpr(
+        "path", "concat(source, ' - Étude No. ', n_chars div 10) AS name", f"{isbn13(IMPRINT)} AS isbn"
+    )
+    titled = curation.titled(_files(spark, sf_dir), named)
+    folder = f"ledger/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    files = written(curation.with_keeper(titled), staging_dir(spark, f"{folder}/files"))
+    return reconcile.reconcile(files, _ledger(spark, sf_dir), folder)
+
+
+def reconcile_match(spark, sf_dir):
+    return _reconciled(spark, sf_dir)[0].drop("sha256")
+
+
+def reconcile_entries(spark, sf_dir):
+    return _reconciled(spark, sf_dir)[1]
+
+
+def reconcile_report(spark, sf_dir):
+    return reconcile.report(*_reconciled(spark, sf_dir))
+
+
+def ledger_corpus(spark, sf_dir):
+    given = reconcile.assignments(_reconciled(spark, sf_dir)[0])
+    return curation.assigned(_files(spark, sf_dir), given).select("path", "corpus", "ambiguous")
+
+
 CELLS, TOP = 64, 5
 
 
@@ -198,6 +250,7 @@ QUERIES = {
         normalize_title, dedup_exact, dedup_format, dedup_decisions, canonical_titles,
         assign_corpus, corpus_review, layout_plan, move_manifest, apply_manifest,
         conversion_worklist, citation_chunks, content_chunks, embed_worklist, collection_sizes,
-        dedup_near, retrieve_topk, retrieve_indexed,
+        dedup_near, reconcile_match, reconcile_entries, reconcile_report, ledger_corpus,
+        retrieve_topk, retrieve_indexed,
     )
 }

@@ -119,6 +119,55 @@ _NEAR = (_DECIDED.replace(
   FROM spelled JOIN nodes USING (shelf, name, band) JOIN roots USING (node) JOIN sizes s USING (keeper)
   WHERE s.files > 1""")
 
+# Numbers are cut out of the imprint by place, not by search, and compared as their first nine digits.
+_DIGITS = "list_transform(range(1, {n}), lambda i: substr({body}, i, 1)::INTEGER * {weight})"
+_TEN = "list_sum(" + _DIGITS.format(n=10, body="body", weight="(11 - i)") + ")"
+_THIRTEEN = "list_sum(" + _DIGITS.format(n=10, body="body", weight="CASE i % 2 WHEN 1 THEN 3 ELSE 1 END") + ") + 38"
+_RECONCILED = (
+    _DECIDED.replace("(n_chars // 100)", "(n_chars // 10)").replace(
+        "FROM assigned f", "FROM (SELECT * REPLACE (coalesce(corpus, 'unassigned') AS corpus) FROM files) f"
+    ) + f""",
+  checked AS (SELECT doc_id, lpad(n_chars::VARCHAR, 9, '0') AS body, ({_THIRTEEN}) % 10 AS rest,
+                     CASE WHEN lang = 'de' THEN ({_TEN} + doc_id % 11) % 11 = 0
+                          ELSE ({_THIRTEEN} + doc_id % 10) % 10 = 0 END AS right_digit FROM documents),
+  numbers AS (SELECT doc_id, CASE WHEN right_digit THEN '978' || body || ((10 - rest) % 10) END AS isbn
+              FROM checked),
+  disk AS MATERIALIZED (SELECT path, sha256, isbn, author_key, title_key, corpus FROM decided
+           LEFT JOIN texts USING (path) LEFT JOIN numbers USING (doc_id) WHERE live),
+  sheet AS MATERIALIZED (SELECT 'L' || doc_id AS entry_id, isbn, CASE WHEN toxic = 1 THEN '' ELSE source END AS a,
+                   CASE WHEN quality = 0 THEN 'notes ' ELSE 'etude no ' END || (n_chars // 10) AS t,
+                   CASE WHEN quality = 0 THEN 'untrusted-nonfiction' WHEN toxic = 1 THEN 'fiction'
+                        WHEN toxic = 0 THEN 'trusted-nonfiction' END AS c
+            FROM documents JOIN labels USING (doc_id) JOIN numbers USING (doc_id)
+            UNION ALL SELECT 'B' || item_id, NULL, 'item', 'reference ' || item_id, 'trusted-nonfiction'
+            FROM benchmark),
+  meets AS MATERIALIZED (SELECT path, entry_id, CASE WHEN d.isbn = s.isbn THEN 1
+                  WHEN author_key = a AND a <> '' THEN 2 ELSE 3 END AS strength
+            FROM disk d JOIN sheet s ON d.isbn = s.isbn OR (title_key = t AND t <> ''
+                 AND (author_key = a OR author_key = '' OR a = ''))),
+  chosen AS MATERIALIZED (SELECT * FROM meets QUALIFY strength = min(strength) OVER (PARTITION BY path)),
+  counted AS MATERIALIZED (SELECT path, min(entry_id) AS entry_id, count(*) AS candidates, min(strength) AS strength
+              FROM chosen GROUP BY path),
+  tied AS MATERIALIZED (SELECT DISTINCT x.entry_id AS a, y.entry_id AS b FROM chosen x JOIN counted y USING (path)),
+  bonds AS MATERIALIZED (SELECT a, b FROM tied UNION SELECT b, a FROM tied),
+  reach(entry_id, other) AS (SELECT entry_id, entry_id FROM sheet
+            UNION SELECT reach.entry_id, b FROM reach JOIN bonds ON a = other),
+  roots AS MATERIALIZED (SELECT entry_id, min(other) AS group_id, count(*) AS group_entries FROM reach GROUP BY entry_id),
+  compared AS (SELECT path, sha256, strength, n.entry_id, coalesce(candidates, 0) AS candidates, c,
+      CASE WHEN candidates = 1 THEN nullif(concat_ws(',', CASE WHEN d.isbn <> s.isbn THEN 'isbn' END,
+          CASE WHEN author_key <> '' AND a <> '' AND author_key <> a THEN 'author' END,
+          CASE WHEN title_key <> '' AND t <> '' AND title_key <> t THEN 'title' END,
+          CASE WHEN d.corpus <> 'unassigned' AND d.corpus <> c THEN 'corpus' END), '') END AS differs
+      FROM disk d LEFT JOIN counted n USING (path) LEFT JOIN sheet s ON s.entry_id = n.entry_id),
+  judged AS MATERIALIZED (SELECT *, CASE WHEN candidates = 0 THEN 'disk_only' WHEN candidates > 1 THEN 'conflict'
+                       WHEN differs IS NULL THEN 'matched' ELSE 'mismatch' END AS status FROM compared),
+  lines AS MATERIALIZED (SELECT s.entry_id, group_id, group_entries, count(path) AS files,
+                   CASE WHEN bool_or(status = 'matched') THEN 'matched' WHEN bool_or(status = 'mismatch')
+                   THEN 'mismatch' WHEN count(path) > 0 THEN 'conflict' ELSE 'ledger_only' END AS status
+            FROM sheet s JOIN roots USING (entry_id) LEFT JOIN chosen USING (entry_id)
+            LEFT JOIN (SELECT path, status FROM judged) USING (path) GROUP BY ALL)"""
+)
+
 ORACLES = {
     "normalize_title": _after(f"{_TITLED} SELECT path, author, title, author_key, title_key FROM titled"),
     "dedup_exact": _after(
@@ -177,6 +226,26 @@ ORACLES = {
         " GROUP BY corpus, chunk_key"
     ),
     "dedup_near": _recursive(_NEAR),
+    "reconcile_match": _recursive(
+        f"{_RECONCILED} SELECT path, (['isbn', 'author_title', 'title'])[strength] AS matched_by, j.entry_id,"
+        " candidates, group_id, group_entries, differs, status, CASE WHEN candidates = 1 THEN c END"
+        " AS ledger_corpus FROM judged j LEFT JOIN roots r ON r.entry_id = j.entry_id"
+    ),
+    "reconcile_entries": _recursive(
+        f"{_RECONCILED} SELECT entry_id, status, files, group_id, group_entries FROM lines"
+    ),
+    "reconcile_report": _recursive(
+        f"{_RECONCILED} SELECT status, coalesce(n, 0) AS files, coalesce(m, 0) AS entries,"
+        " coalesce(g, 0) AS open_groups FROM (SELECT status, count(*) AS n FROM judged GROUP BY status)"
+        " FULL JOIN (SELECT status, count(*) AS m, count(DISTINCT CASE WHEN group_entries > 1 THEN group_id END)"
+        " AS g FROM lines GROUP BY status) USING (status)"
+    ),
+    "ledger_corpus": _recursive(
+        f"{_RECONCILED}, told AS (SELECT sha256, min(c) AS c, min(c) <> max(c) AS split FROM judged"
+        " WHERE candidates = 1 AND c IS NOT NULL GROUP BY sha256)"
+        " SELECT path, CASE WHEN split OR c IS NULL THEN coalesce(corpus, 'unassigned') ELSE c END AS corpus,"
+        " coalesce(split, false) AS ambiguous FROM files LEFT JOIN told USING (sha256)"
+    ),
     "retrieve_topk": _after(
         f"{_DECIDED}, cited AS (SELECT path, corpus, author, title AS book, doc_id AS id FROM decided"
         " JOIN texts USING (path) WHERE live AND decision = 'keep' AND corpus <> 'unassigned'),"
