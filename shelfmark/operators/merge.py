@@ -68,11 +68,12 @@ def matched(listing: DataFrame, prior: DataFrame) -> DataFrame:
     Columns that follow from the path are derived after the join, so the
     listing side shuffles only path, root, size, mtime and error. Paths share long
     beginnings, which makes them slow to sort; sorting by a hash first decides nearly
-    every comparison on one number.
+    every comparison on one number. A prior snapshot that brings this hash and is bucketed by
+    both (see ``store.Catalog.prior``) is not shuffled.
     """
     path_hash = "xxhash64(path) AS path_hash"
     old = prior.selectExpr(
-        path_hash, "path", "true AS old_known",
+        "path_hash" if "path_hash" in prior.columns else path_hash, "path", "true AS old_known",
         *[f"{c} AS old_{c}" for c in S.FILE_COLUMNS if c != "path"],
     )
     both = listing.selectExpr("*", path_hash).join(old, ["path_hash", "path"], "full_outer")
@@ -178,9 +179,10 @@ def missing_counts(plan: DataFrame) -> DataFrame:
 
 
 def work_counts(plan: DataFrame) -> DataFrame:
-    """One row: missing counts, rows without id, files whose content must be read, their
+    """One row: all rows, missing counts, rows without id, files whose content must be read, their
     bytes, and files whose hash comes from the journal."""
     return plan.selectExpr(
+        "count(*) AS rows",
         "count_if(stale) AS missing",
         "count_if(stale AND NOT was_missing) AS newly_missing",
         "count_if(id IS NULL) AS without_id",

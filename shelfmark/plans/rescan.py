@@ -13,7 +13,7 @@ from shelfmark.operators import ids, merge, reports, visits
 from shelfmark.sources import content, tree
 from shelfmark.sources.journal import Journal, resumed
 from shelfmark.sources.staging import staging_dir, written
-from shelfmark.sources.store import Catalog, export_csv, require_unique_paths
+from shelfmark.sources.store import Catalog, buckets_for, export_csv, require_unique_paths
 
 
 #: Bytes hashed before their results are stored for good; what a scan that dies may lose.
@@ -122,10 +122,9 @@ def rescan(
     listing = visits.one_row_per_path(entries, visits.roots_overlap(scanned))
     last = store.latest()
     last_id = last["last_id"] if last else 0
-    prior = store.snapshot(last["run_id"] if last else None)
     seq = (last["seq"] if last else 0) + 1
     journal = Journal(spark, store.folder, seq)
-    plan = merge.planned(merge.matched(listing, prior), run)
+    plan = merge.planned(merge.matched(listing, store.prior()), run)
     if hashing and not rehash and (known := journal.known()) is not None:
         plan = resumed(plan, known)
     plan = written(plan, f"{staging}/plan")
@@ -136,12 +135,13 @@ def rescan(
         plan = plan.where("id IS NOT NULL").unionByName(written(new, f"{staging}/new"))
     hashed = _with_hashes(plan, todo, journal, name, staging, task_bytes, wave_bytes)
     files = merge.merged(hashed, run)
-    store.write_snapshot(files, run_id)
+    buckets = buckets_for(spark, todo["rows"], (last["buckets"] if last else 0) or 0)
+    store.write_snapshot(files, run_id, buckets)
 
     counters = merge.run_counters(store.snapshot(run_id, marks=True), run).first().asDict()
     store.commit({
         "run_id": run_id, "started_at": now, "finished_at": datetime.now(timezone.utc),
-        "roots": scanned, **counters, "seq": seq,
+        "roots": scanned, **counters, "seq": seq, "buckets": buckets,
         "last_id": last_id + todo["without_id"],
     })
 

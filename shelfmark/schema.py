@@ -49,6 +49,7 @@ RUNS = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("last_id", T.LongType()),
     T.StructField("schema_version", T.IntegerType()),
+    T.StructField("buckets", T.IntegerType()),
 ])
 RUN_COLUMNS = RUNS.fieldNames()[:9]
 

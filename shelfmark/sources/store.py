@@ -3,8 +3,13 @@
 A run writes its snapshot to a folder of its own and then appends one row to the
 ledger. That append is the commit: readers take the snapshot the ledger names
 last, so a run that dies earlier leaves the catalog as it was.
+
+Snapshots are bucketed by path, so that the next scan joins them where they lie: only its
+listing is shuffled. Tables of the session that say so exist for a moment, under names of
+their own; what lasts are the files and the number of buckets in the ledger.
 """
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -16,6 +21,16 @@ from shelfmark import schema as S
 from shelfmark.operators import duplicates
 
 
+#: A bucket is joined by one task.
+ROWS_PER_BUCKET = 1_000_000
+BUCKETED_BY = ["path_hash", "path"]
+
+
+def buckets_for(spark: SparkSession, rows: int, before: int = 0) -> int:
+    """At least as many as a shuffle has partitions, since Spark would shuffle fewer; never less than before."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), before, -(-rows // ROWS_PER_BUCKET))
+
+
 def with_files_schema(stored: DataFrame) -> DataFrame:
     """Catalog columns of a stored snapshot; columns an older version lacks are NULL."""
     return stored.selectExpr(*[
@@ -87,11 +102,40 @@ class Catalog:
         """The current snapshot in path order."""
         return self.files().orderBy("path")
 
-    def write_snapshot(self, files: DataFrame, run_id: str) -> None:
-        """Write once; rows are spread by path so that AQE sizes the output files."""
-        files.hint("rebalance", "path").write.mode("errorifexists").parquet(
-            self.snapshot_path(run_id)
+    def prior(self) -> DataFrame:
+        """The current snapshot as the next scan joins it: with ``path_hash``, bucketed by it and
+        the path, unless an older version wrote it."""
+        last = self.latest()
+        if not last or not last["buckets"]:
+            return self.snapshot(last["run_id"] if last else None)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.FILES)
+        place = self.snapshot_path(last["run_id"]).replace("'", "\\'")
+        name = f"shelfmark_{uuid.uuid4().hex}"
+        self.spark.sql(
+            f"CREATE TABLE {name} ({columns}, path_hash bigint) USING parquet OPTIONS (path '{place}')"
+            f" CLUSTERED BY ({', '.join(BUCKETED_BY)}) INTO {last['buckets']} BUCKETS"
         )
+        try:
+            return self.spark.table(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+
+    def write_snapshot(self, files: DataFrame, run_id: str, buckets: int = 0) -> int:
+        """Write once, a file per bucket; returns the number of buckets for the ledger."""
+        buckets = buckets or buckets_for(self.spark, 0)
+        name = f"shelfmark_{uuid.uuid4().hex}"
+        spread = files.withColumn("path_hash", F.xxhash64("path")).repartition(buckets, *BUCKETED_BY)
+        target = self.snapshot_path(run_id)
+        try:
+            spread.write.mode("errorifexists").bucketBy(buckets, *BUCKETED_BY).option(
+                "path", target
+            ).saveAsTable(name)
+        except AnalysisException as problem:
+            if "non-empty directory" not in str(problem):
+                raise
+            raise FileExistsError(f"snapshot already exists: {target}") from problem
+        self.spark.sql(f"DROP TABLE {name}")
+        return buckets
 
     def commit(self, run: dict) -> None:
         """Write one ledger row; the run is the current one from then on.
@@ -119,13 +163,15 @@ class Catalog:
     def adopt(self, stored: DataFrame, run_id: str) -> None:
         """Take over an existing files table, of this or an older schema, as a snapshot."""
         last = self.latest()
-        self.write_snapshot(with_files_schema(stored), run_id)
+        files = with_files_schema(stored)
+        buckets = buckets_for(self.spark, files.count(), (last["buckets"] if last else 0) or 0)
+        self.write_snapshot(files, run_id, buckets)
         require_unique_paths(self.snapshot(run_id))
         top = self.snapshot(run_id).agg(F.max("id")).first()[0] or 0
         now = datetime.now(timezone.utc)
         self.commit({
             "run_id": run_id, "started_at": now, "finished_at": now, "note": "adopted",
-            "seq": (last["seq"] if last else 0) + 1, "last_id": top,
+            "seq": (last["seq"] if last else 0) + 1, "last_id": top, "buckets": buckets,
         })
 
     def create_views(self) -> None:

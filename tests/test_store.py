@@ -5,9 +5,10 @@ from datetime import datetime, timezone
 import pytest
 
 from shelfmark import schema as S
+from shelfmark.operators import merge
 from shelfmark.plans.rescan import rescan
 from shelfmark.sources import staging
-from shelfmark.sources.store import Catalog, export_csv, with_files_schema
+from shelfmark.sources.store import Catalog, buckets_for, export_csv, with_files_schema
 
 AT = datetime(2024, 1, 1, 3, tzinfo=timezone.utc)
 
@@ -161,3 +162,42 @@ def test_staging_folder(spark):
     assert staging.staging_dir(Session, "x", fallback="/shared/cat/") == "/shared/cat/x"
     with pytest.raises(ValueError):
         staging.staging_dir(Session, "x")
+
+
+def listed(spark, paths):
+    return spark.createDataFrame(
+        [("/r", p, 1, 1.0, None, 1) for p in paths],
+        "root string, path string, size_bytes long, mtime double, error string, visits long",
+    )
+
+
+@pytest.mark.parametrize("quoted", ["cat", "o'cat"])
+def test_the_prior_snapshot_is_not_shuffled(spark, tmp_path, quoted):
+    """Only the listing's few columns move, also when the catalog is opened anew."""
+    folder = str(tmp_path / quoted)
+    Catalog(spark, folder).adopt(rows(spark, *({"id": i, "path": f"/r/{i}"} for i in range(500))), "one")
+    prior = Catalog(spark, folder).prior()
+    joined = merge.matched(listed(spark, [f"/r/{i}" for i in range(250, 700)]), prior)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(path_hash") == 1 and "FullOuter" in plan
+    shuffled = plan[plan.index("Exchange hashpartitioning(path_hash"):]
+    assert "Scan ExistingRDD" in shuffled.split("FileScan")[0]  # the listing is below, the snapshot is not
+    assert "Bucketed: true" in plan
+    pairs = {r["path"]: (r["visits"], r["old_id"]) for r in joined.collect()}
+    assert pairs == {f"/r/{i}": (1 if i >= 250 else None, i if i < 500 else None) for i in range(700)}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("shelfmark_")]
+
+
+def test_buckets_follow_rows_and_never_shrink(spark):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert buckets_for(spark, 0) == buckets_for(spark, 4_000_000) == least
+    assert buckets_for(spark, 9_000_001) == 10 and buckets_for(spark, 5, 64) == 64
+
+
+def test_a_snapshot_of_an_older_version_takes_part(spark, tmp_path):
+    """Written without buckets, and a ledger row without their number."""
+    catalog = Catalog(spark, str(tmp_path / "cat"))
+    rows(spark, {"id": 1, "path": "/r/1"}).write.parquet(catalog.snapshot_path("old"))
+    catalog.commit({"run_id": "old", "seq": 1, "last_id": 1})
+    found = merge.matched(listed(spark, ["/r/1", "/r/2"]), catalog.prior()).collect()
+    assert {r["path"]: r["old_id"] for r in found} == {"/r/1": 1, "/r/2": None}
