@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.isbn import isbn13
 from shelfmark.operators import curation, near_titles, passages, reconcile, retrieval
 from shelfmark.plans.queries import _contents, _files, _stored
-from shelfmark.sources import tables
+from shelfmark.sources import conversions, tables
 from shelfmark.sources.staging import staging_dir, written
 
 LIBRARY = "/library"
@@ -121,6 +121,27 @@ def conversion_worklist(spark, sf_dir):
     return curation.to_convert(_decided(spark, sf_dir), done, held)
 
 
+def conversion_status(spark, sf_dir):
+    """Two batches: poor documents failed in the first, all others were converted; in the second
+    harmless poor ones were converted, and the toxic ones tried twice more."""
+    folder = f"converted/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    log = conversions.ConversionLog(spark, staging_dir(spark, folder))
+    tried = _labelled(spark, sf_dir).withColumnRenamed("new_sha256", "sha256")
+    at = "timestamp_seconds(1705000000 + {}) AS at"
+    first = tried.where("quality IN (0, 1)").selectExpr(
+        "path", "sha256", "if(quality = 1, 'converted', 'failed') AS status", "concat('exit ', quality) AS error",
+        at.format("number"),
+    )
+    again = "explode(if(toxic = 1, array('timeout', 'password'), array('none'))) AS error"
+    second = tried.where("quality = 0").selectExpr("*", again).selectExpr(
+        "path", "sha256", "if(toxic = 1, 'failed', 'converted') AS status", "error", at.format("5000000")
+    )
+    log.append(first, "conv-1")
+    log.append(second, "conv-2")
+    log.compact()
+    return conversions.status(_decided(spark, sf_dir), log.states(), LIBRARY)
+
+
 def citation_chunks(spark, sf_dir):
     return _chunks(spark, sf_dir)
 
@@ -249,7 +270,7 @@ QUERIES = {
     for f in (
         normalize_title, dedup_exact, dedup_format, dedup_decisions, canonical_titles,
         assign_corpus, corpus_review, layout_plan, move_manifest, apply_manifest,
-        conversion_worklist, citation_chunks, content_chunks, embed_worklist, collection_sizes,
+        conversion_worklist, conversion_status, citation_chunks, content_chunks, embed_worklist, collection_sizes,
         dedup_near, reconcile_match, reconcile_entries, reconcile_report, ledger_corpus,
         retrieve_topk, retrieve_indexed,
     )

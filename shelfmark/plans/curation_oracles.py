@@ -211,6 +211,18 @@ ORACLES = {
         " FROM decided d WHERE live AND decision = 'keep' AND fmt <> 'epub' AND NOT EXISTS"
         " (SELECT 1 FROM docs JOIN labels USING (doc_id) WHERE quality = 1 AND sha = d.sha256)"
     ),
+    "conversion_status": _after(
+        f"{_DECIDED}, tries AS (SELECT sha, 1 AS batch, doc_id AS done, quality = 1 AS good,"
+        " 'exit ' || quality AS error FROM docs JOIN labels USING (doc_id) WHERE quality IN (0, 1)"
+        " UNION ALL SELECT sha, 2, 5000000, toxic IS DISTINCT FROM 1, unnest(CASE WHEN toxic = 1"
+        " THEN ['timeout', 'password'] ELSE ['none'] END) FROM docs JOIN labels USING (doc_id) WHERE quality = 0),"
+        " state AS (SELECT DISTINCT ON (sha) sha, good, error, count(*) OVER (PARTITION BY sha) AS n FROM tries"
+        " ORDER BY sha, done DESC, good DESC, error DESC)"
+        " SELECT path, sha256, fmt, CASE WHEN good THEN 'converted' WHEN NOT good THEN 'failed' ELSE 'pending' END"
+        " AS status, coalesce(n, 0) AS attempts, CASE WHEN NOT good THEN state.error END AS error,"
+        " CASE WHEN good THEN '/library/_converted/' || sha256 || '.epub' END AS target"
+        " FROM decided LEFT JOIN state ON sha256 = sha WHERE live AND decision = 'keep' AND fmt <> 'epub'"
+    ),
     "citation_chunks": _after(f"{_CHUNKS} SELECT * FROM passages"),
     "content_chunks": _recursive(
         f"{_CUT} SELECT path, corpus, no::INTEGER AS chunk_no, (b - 1)::BIGINT AS location,"

@@ -141,7 +141,7 @@ def rescan(
     counters = merge.run_counters(store.snapshot(run_id, marks=True), run).first().asDict()
     store.commit({
         "run_id": run_id, "started_at": now, "finished_at": datetime.now(timezone.utc),
-        "roots": scanned, **counters, "seq": seq, "buckets": buckets,
+        "roots": scanned, **counters, "seq": seq, "buckets": buckets, "staging": staging,
         "last_id": last_id + todo["without_id"],
     })
 

@@ -50,6 +50,7 @@ RUNS = T.StructType([
     T.StructField("last_id", T.LongType()),
     T.StructField("schema_version", T.IntegerType()),
     T.StructField("buckets", T.IntegerType()),
+    T.StructField("staging", T.StringType()),
 ])
 RUN_COLUMNS = RUNS.fieldNames()[:9]
 

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from shelfmark import schema as S
 from shelfmark.operators import duplicates
+from shelfmark.sources import folders
 
 
 #: A bucket is joined by one task.
@@ -174,6 +175,33 @@ class Catalog:
             "seq": (last["seq"] if last else 0) + 1, "last_id": top, "buckets": buckets,
         })
 
+    def expire(self, keep: int) -> list[str]:
+        """Remove what no reader of the last ``keep`` runs needs; returns the runs that lost theirs.
+
+        That is the snapshots and staging folders of committed runs before these, and hash waves
+        towards commits that happened. The ledger keeps every row. Folders of runs that did not
+        commit stay: they may be of one that is at work.
+        """
+        if keep < 1:
+            raise ValueError(f"keep: {keep}")
+        rows = self._ledger().select("seq", "run_id", "staging").collect()  # one row per run
+        current = self.latest()
+        order = sorted({r["seq"] for r in rows}, reverse=True)
+        kept = {r["run_id"] for r in rows if r["seq"] in order[:keep]}
+        there = set(folders.names_in(self.spark, f"{self.folder}/files"))
+        gone = []
+        for row in sorted(rows, key=lambda r: r["seq"]):
+            if row["run_id"] in kept:
+                continue
+            if row["staging"]:
+                folders.remove(self.spark, row["staging"])
+            if row["run_id"] in there and folders.remove(self.spark, self.snapshot_path(row["run_id"])):
+                gone.append(row["run_id"])
+        for wave in folders.names_in(self.spark, f"{self.folder}/hashes"):
+            if current and int(wave) <= current["seq"]:
+                folders.remove(self.spark, f"{self.folder}/hashes/{wave}")
+        return gone
+
     def create_views(self) -> None:
         """Temporary views ``files``, ``runs``, ``duplicate_groups`` (one row per hash) and
         ``duplicate_members`` (one row per file in a group) for SQL."""
