@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.isbn import isbn13
-from shelfmark.operators import curation, near_titles, passages, reconcile, retrieval
+from shelfmark.operators import curation, moves, near_titles, passages, reconcile, retrieval
 from shelfmark.plans.queries import _contents, _files, _stored
 from shelfmark.sources import conversions, tables
 from shelfmark.sources.staging import staging_dir, written
@@ -113,6 +113,17 @@ def apply_manifest(spark, sf_dir):
     return moved.select("path", "root", "rel_path", "top_folder", "filename", "sha256")
 
 
+def ordered_moves(spark, sf_dir):
+    """A series renumbered: volumes move up by one, German ones change places in pairs, French
+    ones stay."""
+    number = "CASE lang WHEN 'fr' THEN doc_id WHEN 'de' THEN doc_id ^ 1 ELSE doc_id + 1 END"
+    wanted = tables.table(spark, sf_dir, "documents").selectExpr(
+        "concat('/lib/vol_', doc_id) AS path", f"concat('/lib/vol_', {number}) AS target"
+    )
+    folder = f"moves/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    return moves.ordered(wanted, wanted.select("path"), folder)
+
+
 def conversion_worklist(spark, sf_dir):
     done = _labelled(spark, sf_dir).where("quality = 1").selectExpr("new_sha256 AS sha256")
     held = _decided(spark, sf_dir).select("path", "sha256").join(
@@ -269,7 +280,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         normalize_title, dedup_exact, dedup_format, dedup_decisions, canonical_titles,
-        assign_corpus, corpus_review, layout_plan, move_manifest, apply_manifest,
+        assign_corpus, corpus_review, layout_plan, move_manifest, apply_manifest, ordered_moves,
         conversion_worklist, conversion_status, citation_chunks, content_chunks, embed_worklist, collection_sizes,
         dedup_near, reconcile_match, reconcile_entries, reconcile_report, ledger_corpus,
         retrieve_topk, retrieve_indexed,

@@ -205,6 +205,27 @@ ORACLES = {
         " CASE WHEN dst IS NULL THEN filename ELSE split_part(dst, '/', -1) END AS filename,"
         " sha256 FROM files f LEFT JOIN moves m ON f.path = m.path"
     ),
+    # every chain is walked move by move
+    "ordered_moves": """WITH RECURSIVE
+      volumes AS MATERIALIZED (SELECT '/lib/vol_' || doc_id AS p, '/lib/vol_' || CASE lang WHEN 'fr' THEN doc_id
+                  WHEN 'de' THEN xor(doc_id, 1) ELSE doc_id + 1 END AS t FROM documents),
+      told AS MATERIALIZED (SELECT *, CASE WHEN p = t THEN 'stay' WHEN count(*) OVER (PARTITION BY t) > 1
+                  THEN 'claimed' ELSE 'move' END AS action FROM volumes),
+      going AS MATERIALIZED (SELECT p, t FROM told WHERE action = 'move'),
+      walk(p, lies, n) AS (SELECT p, t, 0 FROM going UNION ALL
+                  SELECT w.p, g.t, n + 1 FROM walk w JOIN going g ON g.p = w.lies WHERE w.lies <> w.p),
+      ends AS MATERIALIZED (SELECT p, arg_max(lies, n) AS e, max(n)::BIGINT AS n, min(lies) AS root FROM walk GROUP BY p),
+      kinds AS (SELECT *, e = p AS ring, e <> p AND e IN (SELECT p FROM volumes) AS stuck FROM ends),
+      timed AS (SELECT k.*, t, CASE WHEN NOT ring THEN k.n WHEN k.p = root THEN 0 ELSE w.n + 1 END::BIGINT AS step,
+                       CASE WHEN ring THEN k.n + 1 ELSE max(k.n) OVER (PARTITION BY ring, e) END::BIGINT AS last_step
+                FROM kinds k JOIN going USING (p) LEFT JOIN walk w ON ring AND w.p = k.p AND w.lies = root
+                WHERE NOT stuck),
+      named AS (SELECT *, p || '.aside-' || sha256(p) AS aside, ring AND p = root AS first FROM timed)
+      SELECT p AS path, p AS src, CASE WHEN first THEN aside ELSE t END AS dst, step, last_step,
+             CASE WHEN first THEN 'aside' ELSE 'move' END AS action FROM named
+      UNION ALL SELECT p, aside, t, last_step, last_step, 'back' FROM named WHERE first
+      UNION ALL SELECT p, p, NULL, NULL, NULL, 'occupied' FROM kinds WHERE stuck
+      UNION ALL SELECT p, p, NULL, NULL, NULL, action FROM told WHERE action <> 'move'""",
     "conversion_worklist": _after(
         f"{_DECIDED} SELECT path, sha256, fmt, fmt = 'pdf' AND NOT EXISTS (SELECT 1 FROM texts t"
         " JOIN files f USING (path) WHERE f.sha256 = d.sha256 AND n_chars > 0) AS ocr"
