@@ -2,13 +2,16 @@
 
 An Aho-Corasick automaton enumerates the vocabulary's pieces that end at each character;
 the best score and the number of tokens on the way to it are carried along, no path is
-kept. Scores are compared as doubles summed from the left. Of equally good ways the one
+kept. Scores are compared as doubles summed from the text's beginning. Where no sum of scores is
+ever rounded (``exact_sums``), marks split a text and equal parts are counted once; otherwise each
+text is gone through whole, since rounding decides ties. Of equally good ways the one
 whose last piece begins first is taken; a character that is no piece by itself may be
 unknown at the least piece's score less ten, and becomes its bytes if the vocabulary has
 byte pieces, while without them a run of unknown characters is one token.
 """
 
 import uuid
+from array import array
 from functools import partial
 
 import ahocorasick
@@ -27,6 +30,18 @@ UNKNOWN_PENALTY = 10.0
 SLICE = 8 << 20
 
 
+def exact_sums(scores: list[float]) -> bool:
+    """Whether the scores are multiples of a power of two so large that doubles hold the sum of any
+    2^31 of them, more than a text has characters, without rounding."""
+    most = max(map(abs, scores), default=0.0)
+    for bits in range(23):
+        if most * 2**bits >= 2**22:
+            return False
+        if all((s * 2**bits).is_integer() for s in scores):
+            return True
+    return False
+
+
 class Counter:
     def __init__(self, pieces: list[tuple[str, float]], byte_pieces: bool):
         self.automaton = ahocorasick.Automaton()
@@ -38,23 +53,26 @@ class Counter:
         if len(self.automaton):
             self.automaton.make_automaton()
         #: No piece goes on after a mark that follows something else, so marks split a text.
-        self.splits = not any(MARK in p.lstrip(MARK) for p, _ in pieces)
+        self.splits = not any(MARK in p.lstrip(MARK) for p, _ in pieces) and exact_sums(
+            [s for _, s in pieces] + [self.unknown]
+        )
 
     def count(self, text: str) -> int:
         """Tokens of normalized text."""
         n = len(text)
-        best, tokens, open_run = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
-        ends: list[list] = [[] for _ in range(n)]
-        if len(self.automaton):
-            for end, found in self.automaton.iter(text):
-                ends[end].append(found)
+        best, tokens = array("d", bytes(8 * (n + 1))), array("q", bytes(8 * (n + 1)))
+        open_run = bytearray(n + 1)
+        found = self.automaton.iter(text) if len(self.automaton) else iter(())
+        end, piece = next(found, (n, None))
         for i in range(n):
             top, first, single = None, 0, False
-            for size, score in ends[i]:
+            while end == i:
+                size, score = piece
                 begin, single = i + 1 - size, single or size == 1
                 total = best[begin] + score
                 if top is None or total > top or (total == top and begin < first):
                     top, first = total, begin
+                end, piece = next(found, (n, None))
             if not single and (top is None or best[i] + self.unknown > top):
                 best[i + 1] = best[i] + self.unknown
                 open_run[i + 1] = not self.byte_pieces

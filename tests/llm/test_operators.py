@@ -205,6 +205,24 @@ def test_unigram_counts(docs, none, texts):
     assert unigram.token_counts(none, pieces, True).count() == 0
 
 
+@pytest.mark.parametrize("score", [lambda s: s / 10, lambda s: s / 8, lambda s: float(s)], ids=["tenths", "eighths", "whole"])
+def test_unigram_scores_that_are_rounded_when_summed(spark, score):
+    """Ties are the library's whatever the scores: tenths are rounded in sums, the others never."""
+    rng = random.Random(9)
+    letters = [(c, -float(rng.randint(10, 14))) for c in "▁abcd"]
+    longer = {"".join(rng.choices("abcd", k=rng.randint(2, 4))) for _ in range(60)}
+    longer |= {"▁" + "".join(rng.choices("abcd", k=rng.randint(1, 3))) for _ in range(30)}
+    pieces = [(p, score(s)) for p, s in letters + [(p, -float(rng.randint(8, 30))) for p in sorted(longer)]]
+    assert unigram.Counter(pieces, False).splits == (pieces[0][1] * 8).is_integer()
+    own = Tokenizer(models.Unigram([("<unk>", 0.0), *pieces], 0, False))
+    own.normalizer = normalizers.Sequence([normalizers.Prepend("▁"), normalizers.Replace(" ", "▁")])
+    given = [" ".join("".join(rng.choices("abcdé", [9, 9, 9, 9, 1], k=rng.randint(1, 9))) for _ in range(rng.randint(0, 120)))
+             for _ in range(400)] + ["abcd " * 20_000]
+    rows = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    found = {r.doc_id: r.n_tokens for r in unigram.token_counts(rows, pieces, False).collect()}
+    assert found == {i: len(own.encode(t).ids) for i, t in enumerate(given)}
+
+
 def test_quality(docs, none, texts):
     found = {r.doc_id: r for r in quality.judge(docs).collect()}
     for i, t in enumerate(texts):
