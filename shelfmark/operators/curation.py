@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import schema as S
 from shelfmark.functions import names
+from shelfmark.operators import chapters
 
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
@@ -21,7 +22,6 @@ LIVE = f"missing_since IS NULL AND rag_eligible = 1 AND NOT {COPY}"
 TITLE = ["shelf", "author_key", "title_key"]
 #: The corpus a file is in, or is hinted to belong to while it has none.
 SHELF = f"if(coalesce(corpus, '{S.UNASSIGNED}') = '{S.UNASSIGNED}', coalesce(corpus_hint, '{S.UNASSIGNED}'), corpus)"
-CHUNK_CHARS = 1000
 
 _ENDING = "length(substring_index(filename, '.', -1)) + 1"
 _STEM = (
@@ -196,24 +196,16 @@ def citable(files: DataFrame) -> DataFrame:
     )
 
 
-def chunks(files: DataFrame, texts: DataFrame) -> DataFrame:
-    """Passages of kept eligible files of assigned corpora with what a citation needs.
-
-    ``texts`` (path, text) are whole texts; passages of CHUNK_CHARS characters cover each in
-    full, so joining them by chunk_no gives the text back. ``location`` is the first
-    character's offset. An empty or null text has no passages.
-    """
+def chunks(files: DataFrame, texts: DataFrame, heading: str = chapters.HEADING) -> DataFrame:
+    """Passages of kept eligible files of assigned corpora with what a citation needs: chapter,
+    place in it and the file's columns (see ``chapters``). ``texts`` (path, text) are whole texts."""
     wanted = citable(files)
-    parts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK_CHARS}}}"), F.lit(0))
-    found = wanted.join(texts.select("path", "text"), "path")
-    return found.select(*wanted.columns, F.posexplode(parts).alias("chunk_no", "chunk")).selectExpr(
-        *wanted.columns, "chunk_no", f"chunk_no * {CHUNK_CHARS}L AS location", "chunk"
-    )
+    return chapters.chapter_chunks(wanted.join(texts.select("path", "text"), "path"), heading=heading)
 
 
 def collection_sizes(passages: DataFrame) -> DataFrame:
     return passages.groupBy("corpus").agg(
-        F.expr("count_if(chunk_no = 0) AS files"), F.count("*").alias("chunks"),
+        F.expr("count_if(chapter_no = 0 AND chunk_no = 0) AS files"), F.count("*").alias("chunks"),
         F.sum(F.length("chunk")).alias("chars"),
     )
 

@@ -17,6 +17,8 @@ from shelfmark.sources import conversions, tables
 from shelfmark.sources.staging import staging_dir, written
 
 LIBRARY = "/library"
+#: The documents' headings: lines of up to 24 characters.
+SHORT_LINE = r"\S[^\n]{0,23}"
 
 
 def _documents(spark, sf_dir) -> DataFrame:
@@ -63,7 +65,7 @@ def _moves(spark, sf_dir) -> DataFrame:
 
 
 def _chunks(spark, sf_dir) -> DataFrame:
-    return curation.chunks(_decided(spark, sf_dir), _documents(spark, sf_dir))
+    return curation.chunks(_decided(spark, sf_dir), _documents(spark, sf_dir), SHORT_LINE)
 
 
 def normalize_title(spark: SparkSession, sf_dir: str) -> DataFrame:

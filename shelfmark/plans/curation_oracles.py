@@ -71,12 +71,25 @@ _LAYOUT = f"""{_DECIDED},
                           WHEN claims > 1 THEN 'conflict' ELSE 'move' END AS action FROM layout),
   moves AS (SELECT *, CASE WHEN action = 'move' THEN target END AS dst FROM acts)"""
 
+# Chapters by lines: a heading numbers those after it, and a chapter is its lines put together.
 _CHUNKS = f"""{_DECIDED},
-  passages AS (SELECT path, sha256, corpus, author, title AS book, i::INTEGER AS chunk_no,
-                      (i * 1000)::BIGINT AS location, substr(text, i * 1000 + 1, 1000) AS chunk
-               FROM (SELECT d.*, text, unnest(range(0, (length(text) + 999) // 1000)) AS i
-                     FROM decided d JOIN texts USING (path)
-                     WHERE live AND decision = 'keep' AND corpus <> 'unassigned'))"""
+  lined AS (SELECT d.* EXCLUDE (title), title AS book, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+            FROM decided d JOIN texts USING (path)
+            WHERE live AND decision = 'keep' AND corpus <> 'unassigned' AND text <> ''),
+  numbered AS (SELECT *, coalesce(sum(CASE WHEN head THEN 1 END) OVER (
+                             PARTITION BY path ORDER BY line_no ROWS UNBOUNDED PRECEDING)
+                           - max(CASE WHEN line_no = 1 AND head THEN 1 ELSE 0 END) OVER (PARTITION BY path), 0) AS chapter_no,
+                      max(line_no) OVER (PARTITION BY path) AS lines
+               FROM (SELECT *, regexp_full_match(line, '\\S[^\\n]{{0,23}}[ \\t\\r]*') AS head FROM lined)),
+  chapters AS (SELECT path, sha256, corpus, author, book, chapter_no::INTEGER AS chapter_no,
+                      nullif(trim(min(line) FILTER (head), '# ' || chr(9) || chr(13)), '') AS chapter,
+                      string_agg(line, chr(10) ORDER BY line_no)
+                        || CASE WHEN max(line_no) < max(lines) THEN chr(10) ELSE '' END AS body
+               FROM numbered GROUP BY ALL),
+  passages AS (SELECT path, sha256, corpus, author, book, chapter_no, chapter, i::INTEGER AS chunk_no,
+                      (i * 1000)::BIGINT AS location, substr(body, i * 1000 + 1, 1000) AS chunk
+               FROM (SELECT *, unnest(range(0, (length(body) + 999) // 1000)) AS i FROM chapters))"""
 
 # The cutting rule in whole numbers: a place ends a passage where the sum of the last 16 code
 # points times powers of 257, modulo 1000003, is a multiple of 512; passages have 256 to 4096.
@@ -292,7 +305,7 @@ ORACLES = {
         " SELECT query_id, corpus, rank, id, score, path, author, book FROM ranked WHERE rank <= 5"
     ),
     "collection_sizes": _after(
-        f"{_CHUNKS} SELECT corpus, count(*) FILTER (chunk_no = 0) AS files, count(*) AS chunks,"
+        f"{_CHUNKS} SELECT corpus, count(*) FILTER (chapter_no = 0 AND chunk_no = 0) AS files, count(*) AS chunks,"
         " sum(length(chunk))::BIGINT AS chars FROM passages GROUP BY corpus"
     ),
 }
