@@ -208,8 +208,3 @@ def collection_sizes(passages: DataFrame) -> DataFrame:
         F.expr("count_if(chapter_no = 0 AND chunk_no = 0) AS files"), F.count("*").alias("chunks"),
         F.sum(F.length("chunk")).alias("chars"),
     )
-
-
-def write_collections(passages: DataFrame, folder: str) -> None:
-    """One partition per corpus, so a query of one collection reads that alone."""
-    passages.write.partitionBy("corpus").parquet(folder)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.isbn import isbn13
-from shelfmark.operators import curation, moves, near_titles, passages, reconcile, retrieval
+from shelfmark.operators import collections, curation, moves, near_titles, passages, reconcile, retrieval
 from shelfmark.plans.queries import _contents, _files, _stored
 from shelfmark.sources import conversions, tables
 from shelfmark.sources.staging import staging_dir, written
@@ -278,6 +278,39 @@ def collection_sizes(spark, sf_dir):
     return curation.collection_sizes(_chunks(spark, sf_dir))
 
 
+def _earlier_books(spark, sf_dir) -> DataFrame:
+    """What the collections held before: harmless and Spanish documents, all in one corpus, German ones
+    with another text, every second one without its author."""
+    names = _documents(spark, sf_dir).select("path", "lang", "source", "n_chars")
+    held = _contents(spark, sf_dir).where("kind = 'documents'").drop("lang").join(names, "path").join(
+        tables.table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "number"), "number", "left"
+    )
+    return held.where("toxic = 0 OR lang = 'es'").selectExpr(
+        "path", "if(lang = 'de', concat('stale', number), new_sha256) AS sha256",
+        "'trusted-nonfiction' AS corpus", "if(n_chars % 2 = 0, '', source) AS author",
+        "concat('Étude No. ', n_chars div 100) AS book",
+    )
+
+
+def collection_changes(spark, sf_dir):
+    before = _earlier_books(spark, sf_dir).withColumn("slot", F.lit(0))
+    return collections.changes(before, curation.citable(_decided(spark, sf_dir))).select(
+        "path", "op", "from_corpus", "to_corpus"
+    )
+
+
+def synced_collections(spark, sf_dir):
+    """The collections as they were held before, brought to what the catalog wants now."""
+    work = f"collections/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    folder = staging_dir(spark, f"{work}/stored")
+    texts = _documents(spark, sf_dir)
+    earlier = texts.selectExpr("path", "if(lang = 'de', substr(text, 101), text) AS text")
+    collections.sync(folder, _earlier_books(spark, sf_dir), earlier, f"{work}/first", SHORT_LINE, slots=16)
+    wanted = curation.citable(_decided(spark, sf_dir))
+    collections.sync(folder, wanted, texts, f"{work}/second", SHORT_LINE, slots=16)
+    return collections.stored(spark, folder).drop("slot")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -285,6 +318,6 @@ QUERIES = {
         assign_corpus, corpus_review, layout_plan, move_manifest, apply_manifest, ordered_moves,
         conversion_worklist, conversion_status, citation_chunks, content_chunks, embed_worklist, collection_sizes,
         dedup_near, reconcile_match, reconcile_entries, reconcile_report, ledger_corpus,
-        retrieve_topk, retrieve_indexed,
+        retrieve_topk, retrieve_indexed, collection_changes, synced_collections,
     )
 }

@@ -308,4 +308,20 @@ ORACLES = {
         f"{_CHUNKS} SELECT corpus, count(*) FILTER (chapter_no = 0 AND chunk_no = 0) AS files, count(*) AS chunks,"
         " sum(length(chunk))::BIGINT AS chars FROM passages GROUP BY corpus"
     ),
+    "collection_changes": _after(f"""{_DECIDED},
+      wanted AS (SELECT path, sha256, corpus, author, title AS book FROM decided
+                 WHERE live AND decision = 'keep' AND corpus <> 'unassigned'),
+      held AS (SELECT docs.path, CASE lang WHEN 'de' THEN 'stale' ELSE sha END AS sha,
+                      CASE WHEN n_chars % 2 = 1 THEN source ELSE '' END AS author,
+                      'Étude No. ' || (n_chars // 100) AS book
+               FROM docs JOIN (SELECT doc_id, source, n_chars FROM documents) USING (doc_id)
+               LEFT JOIN labels USING (doc_id) WHERE lang = 'es' OR toxic = 0)
+      SELECT path, CASE WHEN h.path IS NULL THEN 'insert' WHEN w.path IS NULL THEN 'delete'
+                        WHEN sha256 IS NULL OR sha <> sha256 THEN 'change'
+                        WHEN corpus <> 'trusted-nonfiction' THEN 'move' ELSE 'retitle' END AS op,
+             CASE WHEN h.path IS NOT NULL THEN 'trusted-nonfiction' END AS from_corpus, corpus AS to_corpus
+      FROM held h FULL JOIN wanted w USING (path)
+      WHERE NOT coalesce(sha = sha256 AND corpus = 'trusted-nonfiction' AND h.author = w.author
+                         AND h.book = w.book, false)"""),
+    "synced_collections": _after(f"{_CHUNKS} SELECT * FROM passages"),
 }
