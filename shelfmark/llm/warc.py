@@ -1,11 +1,12 @@
 """WARC archives and a two-level capture index.
 
-``write`` makes uncompressed WARC 1.1 files of about ``ARCHIVE`` bytes, each record an HTTP
-response, or a revisit where another record has the same payload. ``index`` reads the
-archives and sorts their captures by reversed host and path; runs of ``LINES`` captures
-are compressed blocks, and a sparse directory has the first and last key of each block.
-``captures`` and ``lookup`` go by the index: keys to blocks by binary search of the
-directory, then range reads of single records.
+``write`` makes uncompressed WARC 1.1 files of at most ``ARCHIVE`` bytes (more only where one
+record has more), each a warcinfo and then HTTP responses, or revisits where another record
+has the same payload. ``index`` reads the archives and sorts their captures by reversed host and path;
+runs of ``LINES`` captures are compressed blocks, and a sparse directory has the first key of each,
+cut to ``KEY_CHARS``. ``lookup`` goes by the index: urls to keys, keys to blocks by binary search of the
+directory, lines of those blocks to keys, then range reads of single records, file by file.
+The directory has at most ``BLOCKS`` rows and is broadcast; with more captures, blocks are longer.
 """
 
 import bisect
@@ -28,8 +29,11 @@ from shelfmark.sources.staging import staging_dir
 ARCHIVE = 16 << 20
 LEAST_REVISIT = 1000
 LINES = 1000
+BLOCKS, KEY_CHARS = 100_000, 256
 DATE = "2024-01-01T00:00:00Z"
 _END = "\r\n"
+_BETWEEN = b"\r\n\r\n"
+_FORMAT = b"software: shelfmark\r\nformat: WARC File Format 1.1\r\n"
 
 
 def _record(type: Column, id: Column, url: Column, digest: Column, size: Column, refers: Column, body: Column) -> Column:
@@ -42,6 +46,8 @@ def _record(type: Column, id: Column, url: Column, digest: Column, size: Column,
         _END,
         F.concat(F.lit("WARC/1.1" + _END + "WARC-Type: "), type),
         F.concat(F.lit("WARC-Record-ID: <urn:x-page:"), id.cast("string"), F.lit(">")),
+        F.when(id.isNull(), F.concat(
+            F.lit("WARC-Record-ID: <urn:x-payload:"), F.sha1(F.concat_ws(" ", url, digest)), F.lit(">"))),
         F.concat(F.lit("WARC-Target-URI: "), line),
         F.lit(f"WARC-Date: {DATE}"),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), digest),
@@ -59,8 +65,9 @@ def write(pages: DataFrame, target: str, id: str = "page_id", url: str = "url",
 
     The payload is the html in UTF-8, a null one empty. Of rows with equal payloads of at
     least LEAST_REVISIT bytes, those with the largest id are responses, the others revisits
-    of it; all smaller ones are responses. A row with a null id stays a response without
-    Record-ID, one with a null url has no Target-URI. Repeated rows are repeated records.
+    of it; all smaller ones are responses. A row with a null id stays a response, whose
+    Record-ID is of its url and payload; one with a null url has no Target-URI. Rows that share an
+    id share the Record-ID. Repeated rows are repeated records.
     """
     body = F.coalesce(F.col(html), F.lit(""))
     source = pages.select(F.col(id).alias("id"), F.col(url).alias("url"), body.alias("body"))
@@ -69,7 +76,6 @@ def write(pages: DataFrame, target: str, id: str = "page_id", url: str = "url",
         source.select("id", "size", F.when(F.col("size") >= LEAST_REVISIT, F.sha2("body", 256)).alias("key")),
         "payloads",
     )
-    rows, total = keys.agg(F.count("*"), F.sum("size")).first()
     heads = keys.where("key IS NOT NULL").groupBy("key").agg(
         F.max("id").alias("first"), F.count("*").alias("n")
     ).where("n > 1 AND first IS NOT NULL").select("key", "first")
@@ -82,10 +88,36 @@ def write(pages: DataFrame, target: str, id: str = "page_id", url: str = "url",
         F.when(revisit, "revisit").otherwise("response"), F.col("id"), F.col("url"), F.sha1("body"),
         F.col("size"), F.col("first"), F.when(revisit, "").otherwise(F.col("body")),
     )
-    most = max(1, ARCHIVE * rows // max(1, (total or 0) + 600 * rows)) if rows else 1
-    joined.select(record.alias("value")).write.mode("overwrite").option(
+    # a row is a file: the writer of text commits it with its task
+    joined.select(record.alias("value")).mapInArrow(partial(_archives, most=ARCHIVE), "value string").write.mode("overwrite").option(
         "lineSep", _END + _END
-    ).option("maxRecordsPerFile", most).text(target)
+    ).option("maxRecordsPerFile", 1).text(target)
+
+
+def _archives(batches, most: int):
+    """Records put together up to ``most`` bytes, after a warcinfo of their own."""
+    held, size = [], 0
+
+    def out():
+        name = hashlib.sha1(held[0]).hexdigest()
+        info = _END.join([
+            "WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:x-file:{name}>", f"WARC-Date: {DATE}",
+            "Content-Type: application/warc-fields", f"Content-Length: {len(_FORMAT)}",
+        ]).encode()
+        data = pa.py_buffer(_BETWEEN.join([info, _FORMAT, *held]))
+        ends = pa.array([0, data.size], pa.int32()).buffers()[1]
+        return pa.RecordBatch.from_arrays([pa.StringArray.from_buffers(1, ends, data)], names=["value"])
+
+    for batch in batches:
+        for value in batch.column(0):
+            data = value.as_buffer()
+            if held and size + data.size + 1000 > most:
+                yield out()
+                held, size = [], 0
+            held.append(data)
+            size += data.size + len(_BETWEEN)
+    if held:
+        yield out()
 
 
 def parsed(record: bytes) -> dict:
@@ -107,12 +139,12 @@ def parsed(record: bytes) -> dict:
 
 
 def _number(name: str | None) -> str | None:
-    return name[len("<urn:x-page:") : -1] if name else None
+    return name[len("<urn:x-page:") : -1] if name and name.startswith("<urn:x-page:") else None
 
 
 def surt(url: str | None) -> str:
-    """The sort key of a url: host labels reversed, then port, path and query."""
-    rest = (url or "").partition("://")[2]
+    """The sort key of a url as it stands in a record: host labels reversed, then port, path and query."""
+    rest = re.sub(r"[\x00-\x20\x7f]", "%20", url or "").partition("://")[2]
     host, path = re.match(r"([^/?#]*)([^#]*)", rest, re.S).groups()
     name, colon, port = host.lower().partition(":")
     return ",".join(reversed(name.split("."))) + ")" + colon + port + path
@@ -121,16 +153,15 @@ def surt(url: str | None) -> str:
 def _scanned(batches):
     for batch in batches:
         for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-            data, at, out = data.as_buffer(), 0, []
-            view = memoryview(data)
-            whole = bytes(view)
+            whole, at, out = data.as_buffer().to_pybytes(), 0, []
             while at < len(whole):
                 end = whole.index(b"\r\n\r\n", at) + 4
                 size = int(re.search(rb"\r\nContent-Length: (\d+)", whole[at:end])[1])
-                record = parsed(whole[at : end + size])
-                if whole[end + size : end + size + 4] != b"\r\n\r\n":
+                if whole[end + size : end + size + 4] != _BETWEEN:
                     raise ValueError(f"{path}: no record ends at {end + size}")
-                out.append((surt(record["url"]), record["id"], path, at, end + size - at))
+                if b"\r\nWARC-Type: warcinfo\r\n" not in whole[at:end]:
+                    record = parsed(whole[at : end + size])
+                    out.append((surt(record["url"]), record["id"], path, at, end + size - at))
                 at = end + size + 4
             columns = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
@@ -139,22 +170,20 @@ def _scanned(batches):
             )
 
 
-def _blocks(batches):
+def _blocks(batches, lines: int):
     shard, number, held = TaskContext.get().partitionId(), 0, []
 
     def block():
-        lines = "\n".join(json.dumps(x) for x in held)
+        data = zlib.compress("\n".join(json.dumps(x) for x in held).encode())
         return pa.RecordBatch.from_pylist(
-            [{"shard": shard, "block": number, "first": held[0][0], "last": held[-1][0],
-              "data": zlib.compress(lines.encode())}],
-            pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("first", pa.string()),
-                       ("last", pa.string()), ("data", pa.binary())]),
+            [{"shard": shard, "block": number, "first": held[0][0], "data": data}],
+            pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("first", pa.string()), ("data", pa.binary())]),
         )
 
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns)):
             held.append(row)
-            if len(held) == LINES:
+            if len(held) == lines:
                 yield block()
                 number, held = number + 1, []
     if held:
@@ -170,13 +199,16 @@ def index(spark: SparkSession, archives: str, target: str) -> None:
         ),
         "captures",
     )
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), found.count() // (100 * LINES))
+    count = found.count()
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), count // (100 * LINES))
+    # each shard may end with a block that is not full
+    lines = max(LINES, -(-count // max(1, BLOCKS - shards)))
     found.repartitionByRange(shards, "key", "id").sortWithinPartitions("key", "id", "file", "at").mapInArrow(
-        _blocks, "shard int, block long, first string, last string, data binary"
+        partial(_blocks, lines=lines), "shard int, block long, first string, data binary"
     ).write.mode("overwrite").parquet(f"{target}/blocks")
-    spark.read.parquet(f"{target}/blocks").select("first", "last", "shard", "block").write.mode(
-        "overwrite"
-    ).parquet(f"{target}/directory")
+    spark.read.parquet(f"{target}/blocks").select(
+        F.substring("first", 1, KEY_CHARS).alias("first"), "shard", "block"
+    ).write.mode("overwrite").parquet(f"{target}/directory")
 
 
 def _opened(path: str):
@@ -191,75 +223,83 @@ _CAPTURE = pa.schema([
 _CAPTURE_SQL = "id string, url string, size long, digest string, type string, refers_to string, payload string"
 
 
-def _range_read(lines, payloads: bool):
-    """Records of index lines, file by file in order of place."""
-    lines = sorted(lines, key=lambda x: (x[2], x[3]))
+def _range_read(batches, payloads: bool):
+    """Records of index lines, which come file by file in order of place."""
     opened, file, out, held = None, None, [], 0
-    for _, _, path, at, size in lines:
-        if path != opened:
-            store, place = _opened(path)
-            file, opened = store.open_input_file(path=place), path
-        record = parsed(file.read_at(size, at))
-        held += size if payloads else 200
-        out.append(record | {"payload": record["payload"].decode() if payloads else None})
-        if held > ARCHIVE:
-            yield pa.RecordBatch.from_pylist(out, _CAPTURE)
-            out, held = [], 0
+    for batch in batches:
+        for path, at, size in zip(*(batch.column(c).to_pylist() for c in ("file", "at", "size"))):
+            if path != opened:
+                store, place = _opened(path)
+                file, opened = store.open_input_file(path=place), path
+            record = parsed(file.read_at(size, at))
+            held += size if payloads else 200
+            out.append(record | {"payload": record["payload"].decode() if payloads else None})
+            if held > ARCHIVE:
+                yield pa.RecordBatch.from_pylist(out, _CAPTURE)
+                out, held = [], 0
     if out:
         yield pa.RecordBatch.from_pylist(out, _CAPTURE)
 
 
-def _lines(data: bytes):
-    return [json.loads(x) for x in zlib.decompress(data).decode().split("\n")]
-
-
-def _read_blocks(batches, payloads: bool):
+def _keys(batches):
     for batch in batches:
-        for data in batch.column(0).to_pylist():
-            yield from _range_read(_lines(data), payloads)
+        found = sorted({surt(u) for u in batch.column(0).to_pylist()})
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["key"])
 
 
-def captures(spark: SparkSession, target: str, payloads: bool = False) -> DataFrame:
-    """Every capture of an index, each read from its archive."""
-    blocks = spark.read.parquet(f"{target}/blocks").select("data")
-    return blocks.mapInArrow(partial(_read_blocks, payloads=payloads), _CAPTURE_SQL)
+def places(firsts: list[str], key: str) -> range:
+    """The blocks that may hold a key, by binary search: ``firsts`` are the blocks' first keys in
+    order, each cut to KEY_CHARS. A block's last key is at most the next one's first."""
+    low = bisect.bisect_left(firsts, key[:KEY_CHARS]) - 1
+    return range(max(low, 0), bisect.bisect_right(firsts, key))
 
 
-def _search_blocks(batches):
-    """Rows: data, wanted keys. Keys of a block are sorted, so each is bisected."""
+def _resolved(batches, directory):
+    firsts, blocks = directory.value
     for batch in batches:
-        for data, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-            lines = _lines(data)
-            keys = [x[0] for x in lines]
-            for key in wanted:
-                low, high = bisect.bisect_left(keys, key), bisect.bisect_right(keys, key)
-                yield from _range_read(lines[low:high], True)
+        found = sorted({i for key in batch.column(0).to_pylist() for i in places(firsts, key)})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([blocks[i][0] for i in found], pa.int32()), pa.array([blocks[i][1] for i in found], pa.int64())],
+            names=["shard", "block"],
+        )
 
 
-def lookup(spark: SparkSession, target: str, urls: list[str]) -> DataFrame:
-    """Captures of the given urls, with payloads. Directory and blocks are filtered by key
-    range before any block is decompressed."""
-    keys = sorted({surt(u) for u in urls})
-    inside = " OR ".join(["false"] + [f"(first <= {k} AND last >= {k})" for k in (_quoted(k) for k in keys)])
-    directory = spark.read.parquet(f"{target}/directory").where(inside)
-    blocks = spark.read.parquet(f"{target}/blocks").where(inside)
-    found = blocks.join(directory.select("shard", "block"), ["shard", "block"], "left_semi")
-    wanted = F.filter(F.array(*map(F.lit, keys)), lambda k: k.between(F.col("first"), F.col("last")))
-    return found.select("data", wanted.alias("wanted")).mapInArrow(_search_blocks, _CAPTURE_SQL)
+def _lines(batches):
+    """Keys and places of the captures of each block."""
+    for batch in batches:
+        for data in batch.column(0).to_pylist():
+            key, _, file, at, size = zip(*map(json.loads, zlib.decompress(data).decode().split("\n")))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key, pa.string()), pa.array(file, pa.string()), pa.array(at, pa.int64()),
+                 pa.array(size, pa.int64())], names=["key", "file", "at", "size"],
+            )
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def lookup(spark: SparkSession, target: str, urls: DataFrame | list, payloads: bool = True) -> DataFrame:
+    """Captures whose url has the key of one of ``urls`` (a list, or a table's only column), each once
+    however often its key is asked for. A null url has the key of records without one.
+    """
+    if isinstance(urls, list):
+        urls = spark.createDataFrame([(u,) for u in urls], "url string")
+    keys = staged(urls.distinct().mapInArrow(_keys, "key string").distinct(), "keys")
+    listed = sorted(tuple(r) for r in spark.read.parquet(f"{target}/directory").collect())  # at most BLOCKS
+    directory = spark.sparkContext.broadcast(([r[0] for r in listed], [r[1:] for r in listed]))
+    wanted = keys.mapInArrow(partial(_resolved, directory=directory), "shard int, block long").distinct()
+    blocks = spark.read.parquet(f"{target}/blocks").join(small(staged(wanted, "blocks")), ["shard", "block"], "left_semi")
+    lines = blocks.select("data").mapInArrow(_lines, "key string, file string, at long, size long")
+    found = lines.join(small(keys), "key", "left_semi").select("file", "at", "size")
+    placed = found.repartition("file").sortWithinPartitions("file", "at")
+    return placed.mapInArrow(partial(_range_read, payloads=payloads), _CAPTURE_SQL)
 
 
 def round_trip(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Write archives and index below spark.checkpoint.dir and read every capture back."""
+    """Write archives and index below spark.checkpoint.dir and look every page's url up."""
     spark = pages.sparkSession
     target = staging_dir(spark, f"llm/warc-{uuid.uuid4().hex}")
     write(pages, f"{target}/archives", id, url, html)
     index(spark, f"{target}/archives", f"{target}/index")
     kind = pages.schema[id].dataType.simpleString()
-    return captures(spark, f"{target}/index").select(
+    return lookup(spark, f"{target}/index", pages.select(url), payloads=False).select(
         F.col("id").cast(kind).alias(id), F.col("size").alias("payload_bytes"),
         F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),
         F.col("refers_to").cast(kind).alias("refers_to"),
