@@ -2,9 +2,9 @@
 
 An Aho-Corasick automaton enumerates the vocabulary's pieces that end at each character;
 the best score and the number of tokens on the way to it are carried along, no path is
-kept. Scores are compared as doubles summed from the text's beginning. Where no sum of scores is
-ever rounded (``exact_sums``), marks split a text and equal parts are counted once; otherwise each
-text is gone through whole, since rounding decides ties. Of equally good ways the one
+kept. Scores are compared as doubles summed from the text's beginning. In a text so short that no sum of
+its scores can be rounded (``exact_length``), marks split it and equal parts are counted once; any other
+is gone through whole, since rounding decides ties. Results are the same either way. Of equally good ways the one
 whose last piece begins first is taken; a character that is no piece by itself may be
 unknown at the least piece's score less ten, and becomes its bytes if the vocabulary has
 byte pieces, while without them a run of unknown characters is one token.
@@ -30,16 +30,14 @@ UNKNOWN_PENALTY = 10.0
 SLICE = 8 << 20
 
 
-def exact_sums(scores: list[float]) -> bool:
-    """Whether the scores are multiples of a power of two so large that doubles hold the sum of any
-    2^31 of them, more than a text has characters, without rounding."""
+def exact_length(scores: list[float]) -> int:
+    """Up to how many of these scores doubles add without ever rounding; none if they are no
+    multiples of a power of two."""
     most = max(map(abs, scores), default=0.0)
     for bits in range(23):
-        if most * 2**bits >= 2**22:
-            return False
         if all((s * 2**bits).is_integer() for s in scores):
-            return True
-    return False
+            return int(2**53 // max(1.0, most * 2**bits))
+    return 0
 
 
 class Counter:
@@ -52,10 +50,10 @@ class Counter:
         self.unknown = min((s for _, s in pieces), default=0.0) - UNKNOWN_PENALTY
         if len(self.automaton):
             self.automaton.make_automaton()
-        #: No piece goes on after a mark that follows something else, so marks split a text.
-        self.splits = not any(MARK in p.lstrip(MARK) for p, _ in pieces) and exact_sums(
-            [s for _, s in pieces] + [self.unknown]
-        )
+        inner = any(MARK in p.lstrip(MARK) for p, _ in pieces)
+        #: Marks split texts up to this length, if no piece goes on after a mark that follows something else.
+        self.most = 0 if inner else exact_length([s for _, s in pieces] + [self.unknown])
+        self.splits = self.most > 0
 
     def count(self, text: str) -> int:
         """Tokens of normalized text."""
@@ -91,18 +89,17 @@ def pieces_of(model_path: str) -> tuple[list[tuple[str, float]], bool]:
     return [(model.id_to_piece(i), model.get_score(i)) for i in plain], any(map(model.is_byte, ids))
 
 
-def _at_marks(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where chunks begin: at spaces that follow something else, and at texts' beginnings."""
+def _at_marks(data: np.ndarray, offsets: np.ndarray, most: int) -> np.ndarray:
+    """Where chunks begin: at texts' beginnings, and in texts of up to ``most`` bytes at spaces that
+    follow something else."""
     cut = np.zeros(len(data) + 1, bool)
     cut[1:-1] = (data[1:] == 0x20) & (data[:-1] != 0x20)
+    for i in np.flatnonzero(np.diff(offsets) > most):
+        cut[offsets[i] : offsets[i + 1]] = False
     cut[np.unique(offsets)] = True
     return np.flatnonzero(cut[: len(data)])
 
 
-def _at_texts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    return np.unique(offsets[:-1][offsets[:-1] < len(data)])
-
-
 _OPEN: dict = {}
 
 
@@ -113,7 +110,7 @@ def _counter(vocabulary) -> Encoder:
         own = Counter(pieces, byte_pieces)
         _OPEN[key] = Encoder(
             lambda chunks: [[own.count(c.replace(" ", MARK))] for c in chunks],
-            _at_marks if own.splits else _at_texts,
+            partial(_at_marks, most=own.most),
         )
     return _OPEN[key]
 

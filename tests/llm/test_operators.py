@@ -223,6 +223,17 @@ def test_unigram_scores_that_are_rounded_when_summed(spark, score):
     assert found == {i: len(own.encode(t).ids) for i, t in enumerate(given)}
 
 
+def test_unigram_splits_texts_whose_sums_are_exact(monkeypatch):
+    pieces, byte_pieces = unigram.pieces_of(public.path("piece_bpe_32k.model"))
+    own = unigram.Counter(pieces, byte_pieces)
+    assert own.splits and own.most * abs(own.unknown) <= 2**53 < (own.most + 1) * abs(own.unknown)
+    assert [unigram.exact_length(s) for s in ([], [-0.1], [-3.0, 0.5])] == [2**53, 0, 2**53 // 6]
+    data = np.frombuffer(b"a b ca  bb", np.uint8)
+    assert unigram._at_marks(data, np.array([0, 5, 5, 10]), 5).tolist() == [0, 1, 3, 5, 6]
+    assert unigram._at_marks(data, np.array([0, 6, 10]), 5).tolist() == [0, 6]
+    assert unigram._at_marks(data[:0], np.array([0, 0]), 5).tolist() == []
+
+
 def test_quality(docs, none, texts):
     found = {r.doc_id: r for r in quality.judge(docs).collect()}
     for i, t in enumerate(texts):
