@@ -9,7 +9,11 @@ and a pass over them lets every window meet the value's first window and that of
 nearest earlier document under it, so groups are never listed in pairs or held in memory.
 Of a value that many documents of one slice of texts share, only the ``POSTED`` first are
 posted; the others meet the slice's own first and nearest holder right there, so values
-of boilerplate are few rows wherever they meet. Where windows of ``ENOUGH`` functions meet
+of boilerplate are few rows wherever they meet. Windows of the first function whose value has
+further holders, which they so do not meet, go another way as well: their runs of WIDTH shingles
+are hashed whole, and each run meets its first holder. Of those that meet all holders, two that are
+alike next to the deciding shingle need no second function. So no run of WORDS words that an earlier
+document holds is lost, however many documents share its values. Where windows of ``ENOUGH`` functions meet
 the same earlier document over one stretch (interval join), the stretch is a candidate, and
 its shingles are compared with the earlier document's.
 
@@ -19,7 +23,7 @@ Rows are told apart by id and text, and ordered by id, then by a hash of the tex
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm import texts
@@ -29,6 +33,7 @@ SHINGLE = 5
 #: The shortest passage, in words.
 WORDS = 50
 FUNCTIONS = 5
+ALIKE = 5
 ENOUGH = 2
 #: Documents of a slice of texts that post a value; others meet it within the slice.
 POSTED = 4
@@ -37,6 +42,12 @@ POSTED = 4
 GRAIN = 64
 SIMILARITY = 80  # percent
 WIDTH = WORDS - SHINGLE + 1
+#: The lesser part of a run of WIDTH shingles that lies on one side of its least one.
+HALF = WIDTH // 2
+#: Windows under one value that a task compares, or else sends on all.
+COMPARED = 20_000
+#: Runs that a task holds before it hands them on.
+HELD = 1_000_000
 _FACTORS = np.random.Generator(np.random.PCG64(4)).integers(
     1, 1 << 63, FUNCTIONS, dtype=np.uint64
 ) * np.uint64(2) + np.uint64(1)
@@ -105,18 +116,42 @@ def _pairs(earlier, first, near, wanted):
     return np.concatenate([a, b]), np.concatenate([first[a], near[b]])
 
 
+def _halves(sums, l, c, r) -> np.ndarray:
+    """16 bits each of the HALF shingles that end and begin with the least one. Any run of WIDTH
+    about it holds one of the two; 0 for one that the window has no room for."""
+    left, right = np.zeros(len(c), np.int64), np.zeros(len(c), np.int64)
+    for half, first, there in ((left, c - HALF + 1, c - l >= HALF - 1), (right, c, r - c >= HALF - 1)):
+        at = first[there]
+        half[there] = np.maximum(texts.mix(sums[at + HALF] - sums[at]) >> np.uint64(48), np.uint64(1)).astype(np.int64)
+    return (left << 16 | right).astype(np.uint32).view(np.int32)
+
+
+def _shared(key: np.ndarray, docs: np.ndarray, halves: np.ndarray) -> np.ndarray:
+    """Windows that have one of their halves in common with another document's under their key."""
+    halves, out = halves.view(np.uint32), np.zeros(len(key), bool)
+    for half in (halves >> 16, halves & 0xFFFF) if len(key) else ():
+        at = np.lexsort((docs, half, key))
+        k, h, d = key[at], half[at], docs[at]
+        first = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (h[1:] != h[:-1])))
+        # sorted by document: of several if the last is not the first
+        several = (d[np.append(first[1:], len(d)) - 1] != d[first]) & (h[first] > 0)
+        out[at] |= np.repeat(several, np.diff(np.append(first, len(d))))
+    return out
+
+
 def _posted(batches):
-    """Rows: row, text. Gives windows to post, and pairs met in a slice (with ``other``), which
+    """Rows: row, text. Gives windows to post (of function 0 with ``c`` and their halves as ``hl``), and pairs met in a slice (with ``other``), which
     a number of their own spreads over the shuffle."""
     for batch in batches:
         rank = _order(batch.column(0)) if batch.num_rows else None
         for low, high in texts.slices(batch.column(1)):
             words, rows = texts.word_hashes(batch.column(1).slice(low, high - low), texts.SPACES)
-            owner, keys, windows = [], [], []
+            owner, keys, windows, least, halves = [], [], [], [], []
             for k, (a, b) in enumerate(zip(rows[:-1], rows[1:])):
                 if b - a < WORDS:
                     continue
                 s = texts.shingles(words[a:b], SHINGLE)
+                sums = np.append(np.uint64(0), np.cumsum(texts.mix(s), dtype=np.uint64))
                 deep = 2 * len(texts.distinct(s)) < len(s)
                 for f in range(FUNCTIONS):
                     hashed = s * _FACTORS[f]
@@ -126,13 +161,19 @@ def _posted(batches):
                     ).reshape(-1, 3)
                     owner.append(np.full(len(found), low + k))
                     windows.append(found[:, ::2])
+                    none = np.zeros(len(found), np.int32)
+                    least.append(none if f else found[:, 1])
+                    halves.append(none if f else _halves(sums, *found.T))
                     # the function in the lowest bits
                     keys.append(texts.mix(hashed[found[:, 1]]) & ~np.uint64(7) | np.uint64(f))
             if not owner:
                 continue
-            owner, keys, windows = np.concatenate(owner), np.concatenate(keys), np.concatenate(windows)
+            owner, keys, windows, least, halves = (
+                np.concatenate(x) for x in (owner, keys, windows, least, halves)
+            )
             at = np.lexsort((windows[:, 0], rank[owner], keys))
-            owner, keys, windows = owner[at], keys[at].view(np.int64), windows[at]
+            owner, keys, windows, least = owner[at], keys[at].view(np.int64), windows[at], least[at]
+            halves = halves[at]
             earlier, first, near = _met(keys, rank[owner])
             later, other = _pairs(earlier, first, near, earlier >= POSTED)
             post = np.flatnonzero(earlier < POSTED)
@@ -144,14 +185,15 @@ def _posted(batches):
                     pa.array(np.concatenate([keys[post], keys[later]])), rows,
                     pa.array(np.concatenate([windows[post, 0], windows[later, 0]])),
                     pa.array(np.concatenate([windows[post, 1], windows[later, 1]])),
+                    pa.array(np.concatenate([least[post], least[later]])),
                     batch.column(0).take(pa.array(
                         np.concatenate([none, owner[other]]),
                         mask=np.arange(len(post) + len(later)) < len(post),
                     )),
-                    pa.array(np.concatenate([none, windows[other, 0]])),
+                    pa.array(np.concatenate([halves[post], windows[other, 0]])),
                     pa.array(np.concatenate([none, windows[other, 1]])),
                 ],
-                names=["spread", "key", "row", "l", "r", "other", "hl", "hr"],
+                names=["spread", "key", "row", "l", "r", "c", "other", "hl", "hr"],
             )
 
 
@@ -164,18 +206,25 @@ def _met_in_order(batches):
         ready = batch.filter(done)
         if len(ready):
             yield _window_pairs(*[ready.column(c) for c in ("key", "row", "other", *_PLACES)])
-        rows = pa.Table.from_batches([batch.filter(pc.invert(done))]).select(["key", "row", "l", "r"])
+        rows = pa.Table.from_batches([batch.filter(pc.invert(done))]).select(["key", "row", "l", "r", "hl"])
         if not len(rows):
             continue
         old = len(kept) if kept is not None else 0
         rows = (pa.concat_tables([kept, rows]) if old else rows).combine_chunks()
-        key, row, l, r = (c.chunk(0) for c in rows.columns)
+        key, row, l, r, halves = (c.chunk(0) for c in rows.columns)
         keys = key.to_numpy(zero_copy_only=False)
         earlier, first, near = _met(keys, _order(row))
-        later, other = (pa.array(x) for x in _pairs(earlier, first, near, np.arange(len(keys)) >= old))
+        later, other = _pairs(earlier, first, near, np.arange(len(keys)) >= old)
         if len(later):
+            # windows of function 0 that are alike in a half count once more, as function ALIKE
+            a, b = (halves.to_numpy().view(np.uint32)[x] for x in (later, other))
+            x = a ^ b
+            alike = np.flatnonzero(((x >> 16 == 0) & (a >> 16 > 0)) | ((x & 0xFFFF == 0) & (a & 0xFFFF > 0)))
+            later, other = (np.concatenate([x, x[alike]]) for x in (later, other))
+            taken = np.concatenate([keys[later[: len(later) - len(alike)]], np.full(len(alike), ALIKE)])
+            later, other = pa.array(later), pa.array(other)
             yield _window_pairs(
-                key.take(later), row.take(later), row.take(other),
+                pa.array(taken), row.take(later), row.take(other),
                 l.take(later), r.take(later), l.take(other), r.take(other),
             )
         own = np.flatnonzero(earlier == earlier[-1])
@@ -183,6 +232,82 @@ def _met_in_order(batches):
         kept = rows.take(pa.array(np.unique([first[-1], near[-1] if earlier[-1] else first[-1], own])))
 
 
+class _Unmet:
+    """Of windows of function 0 in the order of ``_met_in_order``, those under values that hold more windows of
+    earlier documents than a later one meets, if one of their halves is another document's too.
+    Held back are fewer than COMPARED windows of one value; more are all given."""
+
+    def __init__(self):
+        self.held, self.hot, self.found = None, None, []
+
+    def _add(self, rows: pa.Table):
+        key, row, l, r, c = (x.combine_chunks() for x in rows.select(["key", "row", "l", "r", "c"]).columns)
+        l, r, c = (x.to_numpy(zero_copy_only=False) for x in (l, r, c))
+        # where runs of WIDTH shingles begin whose minimum is at c
+        a, b = (pa.array(x.astype(np.int32)) for x in (np.maximum(l, c - WIDTH + 1), np.minimum(c, r - WIDTH + 1)))
+        none, zero = pa.nulls(len(key), row.type), pa.array(np.zeros(len(key), np.int32))
+        self.found.append(_window_pairs(key, row, none, a, b, zero, zero))
+
+    def add(self, batch: pa.RecordBatch):
+        rows = pa.Table.from_batches([batch.filter(pa.array(batch.column("key").to_numpy() & 7 == 0))])
+        met = pc.is_valid(rows["other"])
+        if pc.any(met).as_py():
+            self._add(rows.filter(met))
+        rows = rows.filter(pc.invert(met))
+        if not len(rows):
+            return
+        if self.held is not None:
+            rows = pa.concat_tables([self.held, rows])
+        rows = rows.combine_chunks()
+        keys, docs = rows["key"].to_numpy(), _order(rows["row"].chunk(0))
+        fresh = np.append(True, keys[1:] != keys[:-1])
+        first = np.flatnonzero(fresh)
+        begun = int(first[-1]) if len(keys) - first[-1] < COMPARED and keys[-1] != self.hot else len(keys)
+        new_doc = fresh | np.append(True, docs[1:] != docs[:-1])
+        last = np.maximum.reduceat(np.where(new_doc, np.arange(len(keys)), 0), first)
+        unmet = last - first > np.minimum(np.add.reduceat(new_doc.astype(np.int64), first) - 1, 2)
+        sent = np.repeat(unmet, np.diff(np.append(first, len(keys))))
+        sent[sent] &= _shared(keys[sent], docs[sent], rows["hl"].to_numpy()[sent])
+        sent |= keys == self.hot
+        if begun < len(keys):
+            self.hot, self.held = None, rows.slice(begun)
+            sent[begun:] = False
+        else:
+            self.hot, self.held = keys[-1], None
+            sent |= keys == self.hot
+        if sent.any():
+            self._add(rows.filter(pa.array(sent)))
+
+    def finish(self):
+        held, self.held = self.held, None
+        if held is not None:
+            keys, docs = held["key"].to_numpy(), _order(held["row"].combine_chunks())
+            sent = _shared(keys, docs, held["hl"].to_numpy())
+            if sent.any():
+                self._add(held.filter(pa.array(sent)))
+
+    def taken(self):
+        out, self.found = self.found, []
+        return out
+
+
+def _met_and_unmet(batches):
+    """Rows of ``_posted`` as for ``_met_in_order``. Gives its pairs, and without ``other`` where
+    runs begin (l to r) whose holders a later document may not meet in these."""
+    unmet = _Unmet()
+
+    def seen():
+        for batch in batches:
+            unmet.add(batch)
+            yield batch
+
+    for pairs in _met_in_order(seen()):
+        yield from unmet.taken()
+        yield pairs
+    unmet.finish()
+    yield from unmet.taken()
+
+
 def _window_pairs(key, row, other, l, r, hl, hr) -> pa.RecordBatch:
     f = pa.array((key.to_numpy(zero_copy_only=False) & 7).astype(np.int8))
     return pa.RecordBatch.from_arrays(
@@ -201,7 +326,7 @@ def _stretches(pair, f, l, r, hl, hr) -> np.ndarray:
     step = np.where(ends, -1, 1)[order]
     function = np.concatenate([f, f])[order]
     # every pair's windows have ended before the next pair's begin
-    held = sum((np.cumsum(step * (function == k)) > 0).astype(np.int8) for k in range(FUNCTIONS))
+    held = sum((np.cumsum(step * (function == k)) > 0).astype(np.int8) for k in range(ALIKE + 1))
     on = np.concatenate([[False], held >= ENOUGH])
     begins, stops = np.flatnonzero(on[1:] & ~on[:-1]), np.flatnonzero(~on[1:] & on[:-1])
     if not len(begins):
@@ -225,9 +350,17 @@ def _stretches(pair, f, l, r, hl, hr) -> np.ndarray:
 
 
 def _joined(batches):
-    """Rows: row, other, collisions."""
+    """Rows: row, other, collisions. Without ``other``, gives the ranges that collisions cover."""
     names = ["row", "other", "low", "high", "other_low", "other_high"]
     for batch in batches:
+        if not batch.num_rows:
+            continue
+        alone = pc.is_null(batch.column(1))
+        if pc.any(alone).as_py():
+            yield _ranges(batch.filter(alone), names)
+            batch = batch.filter(pc.invert(alone))
+            if not batch.num_rows:
+                continue
         lists = batch.column(2)
         flat = lists.flatten()
         f, l, r, hl, hr = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(5))
@@ -242,13 +375,54 @@ def _joined(batches):
         )
 
 
+def _ranges(batch: pa.RecordBatch, names) -> pa.RecordBatch:
+    lists = batch.column(2)
+    l, r = (lists.flatten().field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2))
+    owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+    at = np.lexsort((l, owner))
+    # rows apart by more than a place
+    base = owner[at] * (int(r.max()) + 3)
+    l, r = l[at] + base, np.maximum.accumulate(r[at] + base)
+    first = np.flatnonzero(np.append(True, l[1:] > r[:-1] + 1))
+    last = np.append(first[1:], len(l)) - 1
+    rows, lows, highs = pa.array(owner[at][first]), l[first] - base[first], r[last] - base[first]
+    zero = pa.array(np.zeros(len(first), np.int32))
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0).take(rows), batch.column(1).take(rows),
+         *(pa.array(x.astype(np.int32)) for x in (lows, highs)), zero, zero],
+        names=names,
+    )
+
+
 def _cut_out(batches):
-    """Rows: row, text, stretches. Gives the stretches' shingle hashes, in 32 bits."""
+    """Rows: row, text, stretches, begins. Gives the stretches' shingle hashes, in 32 bits; of the runs
+    of WIDTH shingles that begin in a range of ``begins``, a hash in 96 bits: for the first document
+    of the batch that holds a run, to be met by others, and for the others with its place there."""
     for batch in batches:
-        for k in range(batch.num_rows):
+        rank = _order(batch.column(0)) if batch.num_rows else None
+        owners, places, runs, checks = [], [], [], []
+        for k in np.argsort(rank, kind="stable").tolist() if batch.num_rows else ():
             words, _ = texts.word_hashes(batch.column(1).slice(k, 1), texts.SPACES)
-            s = (texts.shingles(words, SHINGLE) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            whole = texts.shingles(words, SHINGLE)
+            s = (whole >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            begins = batch.column(3)[k].values
+            if begins is not None and len(begins):
+                marks = np.zeros(len(whole) + 1, np.int64)
+                lows, highs = (begins.field(c).to_numpy(zero_copy_only=False) for c in ("low", "high"))
+                np.add.at(marks, lows, 1)
+                np.add.at(marks, highs + 1, -1)
+                at = np.flatnonzero(np.cumsum(marks))
+                owners.append(np.full(len(at), k))
+                places.append(at)
+                runs.append(_run_hashes(whole)[at])
+                sums = np.append(np.uint64(0), np.cumsum(texts.mix(whole), dtype=np.uint64))
+                checks.append(((sums[at + WIDTH] - sums[at]) >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                if sum(map(len, places)) > HELD:
+                    yield _runs_met(batch.column(0), rank, *map(np.concatenate, (owners, places, runs, checks)))
+                    owners, places, runs, checks = [], [], [], []
             stretches = batch.column(2)[k].values
+            if stretches is None:
+                continue
             lows, highs = (stretches.field(c) for c in ("low", "high"))
             held = [s[a : b + 1] for a, b in zip(lows.to_pylist(), highs.to_pylist())]
             for first in range(0, len(held), 1000):
@@ -257,9 +431,57 @@ def _cut_out(batches):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array([k] * len(part))),
                      lows.slice(first, len(part)), highs.slice(first, len(part)),
-                     pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(part)))],
-                    names=["row", "low", "high", "shingles"],
+                     pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(part))),
+                     pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int32()),
+                     pa.nulls(len(part), batch.schema.field(0).type)],
+                    names=_CUT,
                 )
+        if owners:
+            yield _runs_met(batch.column(0), rank, *map(np.concatenate, (owners, places, runs, checks)))
+
+
+_CUT = ["row", "low", "high", "shingles", "run", "check", "other"]
+
+
+def _runs_met(rows: pa.StructArray, rank, owner, place, run, check) -> pa.RecordBatch:
+    # the runs come by document and place
+    at = np.argsort(run, kind="stable")
+    owner, place, run, check = (x[at] for x in (owner, place, run, check))
+    fresh = np.append(True, (run[1:] != run[:-1]) | (check[1:] != check[:-1]))
+    first = np.maximum.accumulate(np.where(fresh, np.arange(len(run)), 0))
+    later = np.flatnonzero(rank[owner] != rank[owner[first]])
+    post = np.flatnonzero(fresh)
+    at, n = np.concatenate([post, later]), len(post)
+    posted = np.arange(len(at)) < n
+    return pa.RecordBatch.from_arrays(
+        [rows.take(pa.array(owner[at])), pa.array(place[at].astype(np.int32)),
+         pa.array(np.where(posted, 0, place[first[at]]).astype(np.int32)),
+         pa.nulls(len(at), pa.list_(pa.int32())), pa.array(run[at].view(np.int64), mask=~posted),
+         pa.array(check[at]), rows.take(pa.array(owner[first[at]], mask=posted))],
+        names=_CUT,
+    )
+
+
+def _run_stretches(batches):
+    """Rows: row, other, places (low, high) of runs in both. Gives (row, other, begin, end) of the
+    stretches that consecutive ones make."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lists = batch.column(2)
+        low, high = (lists.flatten().field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+        owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+        at = np.lexsort((low, owner))
+        owner, low, high = owner[at], low[at], high[at]
+        fresh = (owner[1:] != owner[:-1]) | (low[1:] - low[:-1] > 1) | (high[1:] - high[:-1] != low[1:] - low[:-1])
+        first = np.flatnonzero(np.append(True, fresh))
+        last = np.append(first[1:], len(low)) - 1
+        rows = pa.array(owner[first])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(rows), batch.column(1).take(rows),
+             pa.array(low[first]), pa.array(low[last] + WORDS)],
+            names=["row", "other", "begin", "end"],
+        )
 
 
 def _run_hashes(x: np.ndarray) -> np.ndarray:
@@ -395,37 +617,53 @@ def _spans(docs: DataFrame, id: str, text: str) -> DataFrame:
     )
     kind = source.schema["row"].dataType.simpleString()
     posted = source.mapInArrow(
-        _posted, f"spread long, key long, row {kind}, l int, r int, other {kind}, hl int, hr int"
+        _posted, f"spread long, key long, row {kind}, l int, r int, c int, other {kind}, hl int, hr int"
     )
     pairs = posted.repartition("spread").drop("spread").sortWithinPartitions("key", "row", "l").mapInArrow(
-        _met_in_order, f"row {kind}, other {kind}, f byte, l int, r int, hl int, hr int"
+        _met_and_unmet, f"row {kind}, other {kind}, f byte, l int, r int, hl int, hr int"
     )
     met = pairs.groupBy("row", "other").agg(
-        F.collect_list(F.struct("f", *_PLACES)).alias("collisions"),  # of two documents
+        F.collect_list(F.struct("f", *_PLACES)).alias("collisions"),  # of two documents, or one's windows
         F.bit_count(F.bit_or(F.expr("shiftleft(1, f)"))).alias("functions"),
-    ).where(f"functions >= {ENOUGH}").select("row", "other", "collisions")
-    found = staged(
+    ).where(f"functions >= {ENOUGH} OR other IS NULL").select("row", "other", "collisions")
+    stretches = staged(
         met.mapInArrow(
             _joined, f"row {kind}, other {kind}, low int, high int, other_low int, other_high int"
         ),
         "stretches",
     )
-    wanted = found.select("row", "low", "high").unionByName(
-        found.selectExpr("other AS row", "other_low AS low", "other_high AS high")
-    ).distinct().groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("stretches"))
+    found, unmet = stretches.where("other IS NOT NULL"), stretches.where("other IS NULL")
+    place = F.struct("low", "high")
+    wanted = found.select("row", place.alias("place"), F.lit(False).alias("alone")).union(
+        found.selectExpr("other", "struct(other_low AS low, other_high AS high)", "false")
+    ).distinct().union(unmet.select("row", place, F.lit(True)))
     # repeated rows are one document
-    wanted = small(staged(wanted, "wanted"))
-    texts_of = source.join(wanted, "row")
-    cut = texts_of.mapInArrow(_cut_out, f"row {kind}, low int, high int, shingles array<int>")
-    cut = staged(cut.dropDuplicates(["row", "low", "high"]), "shingles")
-    pairs = found.join(cut.withColumnRenamed("shingles", "a"), ["row", "low", "high"]).join(
-        cut.selectExpr("row AS other", "low AS other_low", "high AS other_high", "shingles AS b"),
+    wanted = small(staged(wanted.groupBy("row").agg(
+        F.collect_list(F.when(~F.col("alone"), F.col("place"))).alias("stretches"),
+        F.collect_list(F.when(F.col("alone"), F.col("place"))).alias("begins"),
+    ), "wanted"))
+    cut = staged(source.join(wanted, "row").mapInArrow(
+        _cut_out, f"row {kind}, low int, high int, shingles array<int>, run long, check int, other {kind}"
+    ), "shingles")
+    held = cut.where("shingles IS NOT NULL").select("row", "low", "high", "shingles").dropDuplicates(
+        ["row", "low", "high"]
+    )
+    pairs = found.join(held.withColumnRenamed("shingles", "a"), ["row", "low", "high"]).join(
+        held.selectExpr("row AS other", "low AS other_low", "high AS other_high", "shingles AS b"),
         ["other", "other_low", "other_high"],
     ).select("row", "other", "low", "a", "b")
+    verified = pairs.mapInArrow(_verified, f"row {kind}, other {kind}, begin long, end long")
+    # a run of unmet windows goes with its first holder, of a batch of texts or of all
+    order = Window.partitionBy("run", "check").orderBy("row", "low")
+    first = F.first(F.struct("row", "low")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    runs = cut.where("run IS NOT NULL").withColumn("first", first).where("row <> first.row").selectExpr(
+        "row", "first.row AS other", "low", "first.low AS high"
+    ).union(cut.where("shingles IS NULL AND run IS NULL").select("row", "other", "low", "high"))
+    exact = runs.groupBy("row", "other").agg(
+        F.collect_list(place).alias("places")  # of two documents
+    ).mapInArrow(_run_stretches, f"row {kind}, other {kind}, begin long, end long")
     # a passage that several earlier documents hold is listed once, with the first of them
-    return pairs.mapInArrow(
-        _verified, f"row {kind}, other {kind}, begin long, end long"
-    ).groupBy("row", "begin", "end").agg(F.min("other").alias("first"))
+    return verified.union(exact).groupBy("row", "begin", "end").agg(F.min("other").alias("first"))
 
 
 def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -95,6 +95,32 @@ def test_against_all_runs(spark, rows):
     assert (2000, next(r.hash for r in order if r.doc_id == 2000)) in spans  # the near copy
 
 
+@pytest.mark.parametrize("posted", [1, 4])
+def test_no_run_is_lost(spark, rows, monkeypatch, posted):
+    """Every run of WORDS words that an earlier document holds lies in a passage, whichever of
+    the documents under its values holds it."""
+    rng = random.Random(5)
+    few = [f"w{i}" for i in range(40)]
+    line = rng.choices(few, k=6)
+    hot = [(3000 + i, " ".join(rng.choices(few, k=60) + line + rng.choices(few, k=60)), "x", 1, "y") for i in range(60)]
+    # the passages of some in the middle come again, among others under the same values
+    again = [(4000 + i, " ".join(rng.choices(few, k=30) + hot[i][1].split()[20:110]), "x", 1, "y") for i in range(5, 55)]
+    monkeypatch.setattr(substrings, "POSTED", posted)
+    rows = rows + hot + again
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    spans, seen, missed, whole = {}, {}, 0, 0
+    for r in substrings._spans(docs, "doc_id", "text").collect():
+        spans.setdefault((r.row.id, r.row.hash), []).append((r.begin, r.end))
+    for k, r in enumerate(ordered(spark, rows)):
+        w = words(r.text)
+        for i in range(len(w) - WORDS + 1):
+            run = tuple(w[i : i + WORDS])
+            if seen.setdefault(run, k) < k:
+                whole += 1
+                missed += not any(a <= i and i + WORDS <= b for a, b in spans.get((r.doc_id, r.hash), []))
+    assert whole > 4000 and not missed
+
+
 def shingles(w):
     return {tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
 
