@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.sources.staging import staging_dir, written
+from shelfmark.sources.staging import staging_dir, unsent, written
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -24,16 +24,16 @@ def components(links: DataFrame, name: str) -> DataFrame:
     roots, step = staged(roots, "roots-0"), 0
     while True:
         step += 1
-        near = edges.join(roots.selectExpr("node AS b", "root"), "b").groupBy("a").agg(
+        near = edges.join(unsent(roots.selectExpr("node AS b", "root")), "b").groupBy("a").agg(
             F.min("root").alias("near")
         ).withColumnRenamed("a", "node")
         taken = staged(
-            roots.join(near, "node").selectExpr("node", "least(root, near) AS root", "root AS before"),
+            roots.join(unsent(near), "node").selectExpr("node", "least(root, near) AS root", "root AS before"),
             f"taken-{step}",
         )
         jump = taken.selectExpr("node AS root", "root AS further")
         roots = staged(
-            taken.join(jump, "root").selectExpr("node", "least(root, further) AS root", "before"),
+            taken.join(unsent(jump), "root").selectExpr("node", "least(root, further) AS root", "before"),
             f"roots-{step}",
         )
         if roots.where("root <> before").isEmpty():

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfmark import schema as S
 from shelfmark.functions import names
 from shelfmark.operators import chapters
+from shelfmark.sources.staging import unsent
 
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
@@ -42,7 +43,7 @@ def titled(files: DataFrame, metadata: DataFrame) -> DataFrame:
     is taken without its extension where there is none. "Author - Title" is split at the
     first " - "; without one the author is empty. A null corpus counts as unassigned.
     """
-    named = files.join(metadata, "path", "left").withColumn("name", F.expr(f"coalesce(name, {_STEM})"))
+    named = files.join(unsent(metadata), "path", "left").withColumn("name", F.expr(f"coalesce(name, {_STEM})"))
     split = named.withColumn("cut", F.expr("instr(name, ' - ')")).selectExpr(
         "* EXCEPT (name, cut, corpus)", f"coalesce(corpus, '{S.UNASSIGNED}') AS corpus", f"{SHELF} AS shelf",
         "if(cut > 0, left(name, cut - 1), '') AS author",
@@ -63,7 +64,7 @@ def with_keeper(files: DataFrame) -> DataFrame:
     ).where("copies > 1").selectExpr("sha256 AS content", "shelf", "best.path AS keeper")
     # files without a hash each get a key of their own, and meet nothing
     keyed = files.withColumn("content", F.expr("coalesce(sha256, path)"))
-    return keyed.join(keepers.hint("rebalance"), ["content", "shelf"], "left").drop("content")
+    return keyed.join(unsent(keepers.hint("rebalance")), ["content", "shelf"], "left").drop("content")
 
 
 def titles(files: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def decided(files: DataFrame) -> DataFrame:
     """
     best = titles(files).drop("files").hint("rebalance")
     review = f"{LIVE} AND {RANK} > best"
-    return files.join(best, TITLE, "left").selectExpr(
+    return files.join(unsent(best), TITLE, "left").selectExpr(
         "*", f"CASE WHEN {COPY} THEN 'drop' WHEN {review} THEN 'review' ELSE 'keep' END AS decision",
         f"CASE WHEN {COPY} THEN 'exact_copy' WHEN {review} THEN 'other_format' END AS reason",
     )
@@ -98,7 +99,7 @@ def assigned(files: DataFrame, assignments: DataFrame) -> DataFrame:
         F.expr("min(corpus) <> max(corpus) AS ambiguous"),
     ).withColumnRenamed("sha256", "content")
     keyed = files.withColumn("content", F.expr("coalesce(sha256, path)"))
-    return keyed.join(given.hint("rebalance"), "content", "left").selectExpr(
+    return keyed.join(unsent(given.hint("rebalance")), "content", "left").selectExpr(
         "* EXCEPT (content, given, ambiguous, corpus)",
         f"coalesce(given, corpus, '{S.UNASSIGNED}') AS corpus",
         "coalesce(ambiguous, false) AS ambiguous",

@@ -17,7 +17,7 @@ from shelfmark import schema as S
 from shelfmark.functions.isbn import isbn13
 from shelfmark.operators.components import components
 from shelfmark.operators.curation import LIVE, name_key
-from shelfmark.sources.staging import staging_dir, written
+from shelfmark.sources.staging import staging_dir, unsent, written
 
 KEY = ["kind", "value"]
 #: What a unique match may differ in, as (field, condition that both sides are known and differ).
@@ -76,7 +76,7 @@ def _best_keys(files: DataFrame, postings: DataFrame) -> DataFrame:
     held = postings.groupBy(*KEY).agg(
         F.count("*").alias("candidates"), F.min("entry_id").alias("first")
     )
-    met = _posted(files, "path", True).join(held.hint("rebalance"), KEY)
+    met = _posted(files, "path", True).join(unsent(held.hint("rebalance")), KEY)
     return met.groupBy("path").agg(
         F.min(F.struct("level", *KEY, "candidates", "first")).alias("best")
     ).select("path", "best.kind", "best.value", "best.candidates", "best.first")
@@ -89,15 +89,15 @@ def _groups(entries: DataFrame, postings: DataFrame, best: DataFrame, name: str)
     """
     crowded = best.where("candidates > 1").select(*KEY).distinct()
     # entries sort before keys, so a group's smallest node is an entry
-    links = postings.join(crowded.hint("rebalance"), KEY).selectExpr(
+    links = postings.join(unsent(crowded.hint("rebalance")), KEY).selectExpr(
         "concat('0', entry_id) AS a", "concat('1', kind, ':', value) AS b"
     )
     found = components(links, name).where("startswith(node, '0')").selectExpr(
         "substr(node, 2) AS entry_id", "substr(root, 2) AS root"
     )
-    grouped = entries.join(found, "entry_id", "left").withColumn("group_id", F.expr("coalesce(root, entry_id)"))
+    grouped = entries.join(unsent(found), "entry_id", "left").withColumn("group_id", F.expr("coalesce(root, entry_id)"))
     sizes = grouped.groupBy("group_id").agg(F.count("*").alias("group_entries"))
-    return grouped.drop("root").join(sizes.hint("rebalance"), "group_id")
+    return grouped.drop("root").join(unsent(sizes.hint("rebalance")), "group_id")
 
 
 def reconcile(files: DataFrame, entries: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -128,9 +128,9 @@ def reconcile(files: DataFrame, entries: DataFrame, name: str) -> tuple[DataFram
         "entry_id", "isbn AS entry_isbn", "author_key AS entry_author", "title_key AS entry_title",
         "corpus AS entry_corpus", "group_id", "group_entries",
     )
-    named = best.withColumnRenamed("first", "entry_id").join(sides.hint("rebalance"), "entry_id")
+    named = best.withColumnRenamed("first", "entry_id").join(unsent(sides.hint("rebalance")), "entry_id")
     differs = ", ".join(f"if({condition}, '{field}', NULL)" for field, condition in FIELDS)
-    matches = staged(live.join(named, "path", "left").withColumn(
+    matches = staged(live.join(unsent(named), "path", "left").withColumn(
         "differs", F.expr(f"if(candidates = 1, nullif(array_join(array({differs}), ','), ''), NULL)")
     ).selectExpr(
         "path", "sha256", "kind", "value", "if(kind = 'open_title', 'title', kind) AS matched_by",
@@ -144,11 +144,11 @@ def reconcile(files: DataFrame, entries: DataFrame, name: str) -> tuple[DataFram
     met = matches.where("kind IS NOT NULL").groupBy(*KEY).agg(
         F.min(F.expr(rank)).alias("rank"), F.count("*").alias("files")
     )
-    seen = postings.join(met.hint("rebalance"), KEY).groupBy("entry_id").agg(
+    seen = postings.join(unsent(met.hint("rebalance")), KEY).groupBy("entry_id").agg(
         F.min("rank").alias("rank"), F.sum("files").alias("files")
     )
     statuses = ", ".join(f"'{s}'" for s in STATUS)
-    recorded = grouped.join(seen, "entry_id", "left").selectExpr(
+    recorded = grouped.join(unsent(seen), "entry_id", "left").selectExpr(
         "entry_id", f"coalesce(get(array({statuses}), int(rank) - 1), 'ledger_only') AS status",
         "coalesce(files, 0L) AS files", "group_id", "group_entries",
     )

@@ -14,7 +14,7 @@ from shelfmark.functions.isbn import isbn13
 from shelfmark.operators import collections, curation, moves, near_titles, passages, reconcile, retrieval
 from shelfmark.plans.queries import _contents, _files, _stored
 from shelfmark.sources import conversions, tables
-from shelfmark.sources.staging import staging_dir, written
+from shelfmark.sources.staging import staging_dir, unsent, written
 
 LIBRARY = "/library"
 #: The documents' headings: lines of up to 24 characters.
@@ -44,7 +44,7 @@ def _decided(spark, sf_dir) -> DataFrame:
 def _labelled(spark, sf_dir) -> DataFrame:
     """(number, new_sha256, quality, toxic) of labelled documents."""
     labels = tables.table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "number")
-    return _contents(spark, sf_dir).where("kind = 'documents'").join(labels, "number")
+    return _contents(spark, sf_dir).where("kind = 'documents'").join(unsent(labels), "number")
 
 
 def _assigned(spark, sf_dir) -> DataFrame:
@@ -193,7 +193,7 @@ def _ledger(spark, sf_dir) -> DataFrame:
     """The book ledger: an entry per labelled document and one per benchmark item, which is no
     file any more. Poor ones are recorded as notes, toxic ones without an author."""
     documents = tables.table(spark, sf_dir, "documents")
-    labelled = documents.join(tables.table(spark, sf_dir, "labels"), "doc_id").selectExpr(
+    labelled = documents.join(unsent(tables.table(spark, sf_dir, "labels")), "doc_id").selectExpr(
         "concat('L', doc_id) AS entry_id", f"{IMPRINT} AS isbn",
         "if(toxic = 1, NULL, upper(source)) AS author",
         "concat(if(quality = 0, 'Notes ', 'ETUDE no '), n_chars div 10) AS title",

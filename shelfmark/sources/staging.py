@@ -15,6 +15,15 @@ def staging_dir(spark: SparkSession, name: str, fallback: str | None = None) ->
     return f"{shared.rstrip('/')}/{name}"
 
 
+def unsent(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never broadcast.
+
+    A table that grows with the catalog is small enough for it at some size, and then goes
+    through the driver once a join.
+    """
+    return df.hint("merge")
+
+
 def written(df: DataFrame, target: str) -> DataFrame:
     """Write ``df`` as a table and go on from there; survives lost executors."""
     df.write.mode("overwrite").parquet(target)

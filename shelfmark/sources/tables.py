@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfmark import schema as S
 from shelfmark.functions import names
 from shelfmark.operators.merge import Run
+from shelfmark.sources.staging import unsent
 
 ROOTS = ("/lib", "/web")
 PRIOR_RUN = "inv-20240101T030000-000000Z"
@@ -122,7 +123,7 @@ def with_inner_root(entries: DataFrame) -> DataFrame:
 def prior_catalog(files: DataFrame, labels: DataFrame) -> DataFrame:
     """The stored snapshot of the scan before, in the catalog's schema."""
     documents = files.where("kind = 'documents'").join(
-        labels.withColumnRenamed("doc_id", "number"), "number", "left"
+        unsent(labels.withColumnRenamed("doc_id", "number")), "number", "left"
     ).selectExpr(
         "number * 4 + 1 AS id",
         "'/lib' AS root",

@@ -157,3 +157,28 @@ def test_entries_without_id_or_in_several_rows(spark):
 def test_empty_tables(spark):
     ours, lines, matches, recorded = check(spark, [], {}, "test-ledger-none")
     assert (ours, lines) == ({}, {}) and reconcile.report(matches, recorded).isEmpty()
+
+
+def test_no_growing_table_goes_through_the_driver(spark, tmp_path, monkeypatch):
+    """Tables small enough to be broadcast are joined as large ones are."""
+    from shelfmark.operators import components as c
+    plans = []
+
+    def written(df, target):
+        out = plain(df, target)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    plain = reconcile.written
+    monkeypatch.setattr(reconcile, "written", written)
+    monkeypatch.setattr(c, "written", written)
+    files = [(f"/f{i}", f"s{i}", None, "a", f"t{i % 7}", "unassigned") for i in range(40)]
+    entries = [(f"e{i}", None, "a", f"t{i % 5}", None) for i in range(10)]
+    files = spark.createDataFrame(files, FILE).selectExpr(
+        "*", "timestamp(NULL) AS missing_since", "1 AS rag_eligible", "path AS keeper", "'u' AS shelf",
+        "author AS author_key", "title AS title_key",
+    )
+    matches, recorded = reconcile.reconcile(files, spark.createDataFrame(entries, ENTRY), "unsent")
+    assert matches.count() == 40 and recorded.count() == 10
+    joins = [p for p in plans if "Join" in p]
+    assert len(joins) > 8 and not any("BroadcastHashJoin" in p for p in joins)
