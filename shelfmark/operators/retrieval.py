@@ -3,8 +3,9 @@
 Vectors are whole numbers (``SCALE`` times the given ones), so products are exact and results
 do not depend on how the work is dealt. The index puts every vector into the cell of its
 nearest centre; a search looks at the cells whose centres are nearest to a query, or at all
-of them, which is the exact scan. A task holds a block of a cell of a corpus and a block of
-the queries that look there, and gives its best few; these are ranked by query and corpus.
+of them, which is the exact scan. A task holds a block of a cell of a corpus (of a corpus, in
+the exact scan) and a block of the queries that look there, and gives its best few; these are
+ranked by query and corpus.
 """
 
 from functools import partial
@@ -96,14 +97,15 @@ def _best(table: pa.Table, k: int) -> pa.Table:
         for low in range(0, len(queries), 256):
             part = queries.slice(low, 256)
             scores = _matrix(part["vector"]) @ points.T
-            for query, row in zip(part["id"].to_pylist(), scores):
-                if len(row) > k:
-                    least = np.partition(row, len(row) - k)[len(row) - k]
-                    at = np.flatnonzero(row >= least)
-                else:
-                    at = np.arange(len(row))
-                at = at[np.lexsort((ids[at], -row[at]))][:k]
-                out.append((np.full(len(at), query), ids[at], row[at].astype(np.int64)))
+            n = min(k, len(points))
+            least = np.partition(scores, len(points) - n, axis=1)[:, len(points) - n]
+            row, at = np.nonzero(scores >= least[:, None])
+            order = np.lexsort((ids[at], -scores[row, at], row))
+            row, at = row[order], at[order]
+            first = np.searchsorted(row, np.arange(len(part)))
+            best = np.arange(len(row)) - first[row] < n  # of ties the smaller ids
+            row, at = row[best], at[best]
+            out.append((part["id"].to_numpy()[row], ids[at], scores[row, at].astype(np.int64)))
     columns = [np.concatenate(x) if out else np.zeros(0, np.int64) for x in (zip(*out) if out else [()] * 3)]
     corpus = table["corpus"][0].as_py()
     return pa.table({
@@ -122,9 +124,13 @@ def search(found: DataFrame, queries: DataFrame, centres: np.ndarray, k: int, pr
     probes = min(probes or len(centres), len(centres))
     if not probes:
         return found.where("false").selectExpr("id AS query_id", "corpus", "1 AS rank", "id", "0L AS score")
-    asked = _with_cells(queries.select("id", "vector"), centres, probes).select(
-        "id", "vector", F.explode("cells").alias("cell")
-    )
+    if probes == len(centres):
+        # all is looked at: cells would only cut the blocks small
+        found, asked = found.withColumn("cell", F.lit(0)), queries.select("id", "vector", F.lit(0).alias("cell"))
+    else:
+        asked = _with_cells(queries.select("id", "vector"), centres, probes).select(
+            "id", "vector", F.explode("cells").alias("cell")
+        )
     # one row for each cell of a corpus, and one for each cell that is looked at
     held = found.groupBy("corpus", "cell").agg(F.count("*").alias("n")).selectExpr(
         "corpus", "cell", f"int(ceil(n / {VECTORS})) AS parts"

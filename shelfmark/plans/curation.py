@@ -254,13 +254,13 @@ def _retrieved(spark, sf_dir, probes: int | None) -> DataFrame:
     vectors = retrieval.whole(tables.table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "id"))
     cited = _citations(spark, sf_dir)
     folder = staging_dir(spark, f"vectors/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}")
-    placed = vectors.join(cited, "id")
+    placed = vectors.join(unsent(cited), "id")
     centres = retrieval.fit_centres(vectors, CELLS, id="id")
     retrieval.write_index(retrieval.index(placed, centres, id="id"), folder)
     found = spark.read.schema("id long, vector array<int>, corpus string, cell int").parquet(folder)
     queries = vectors.where("id % 50 = 0").selectExpr("id", "embedding AS vector")
     best = retrieval.search(found, queries, centres, TOP, probes)
-    return best.join(cited.drop("corpus"), "id").selectExpr(
+    return best.join(unsent(cited.drop("corpus")), "id").selectExpr(
         "query_id", "corpus", "rank", "id", "score", "path", "author", "book"
     )
 

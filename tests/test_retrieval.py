@@ -76,3 +76,24 @@ def test_recall_of_the_index_and_pruned_folders(spark, tmp_path):
     print("recall", recall)
     assert recall >= 0.9
     assert "PartitionFilters" in stored.where("corpus = 'odd'")._jdf.queryExecution().toString()
+
+
+def test_exact_search_is_few_large_blocks(spark, vectors):
+    """A query meets as many blocks of a corpus as its vectors fill, not one for each cell."""
+    known = retrieval.whole(vectors)
+    centres = retrieval.fit_centres(known, 9)
+    found = retrieval.index(known, centres)
+    queries = known.where("vec_id % 50 = 0").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    blocks = spark.sparkContext.accumulator(0)
+    plain = retrieval._best
+
+    def counted(table, k):
+        blocks.add(1)
+        return plain(table, k)
+
+    retrieval._best = counted
+    try:
+        assert retrieval.search(found, queries, centres, 5).count() == 8 * (5 + 5 + 1)
+    finally:
+        retrieval._best = plain
+    assert blocks.value == 3
