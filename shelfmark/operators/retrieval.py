@@ -125,8 +125,9 @@ def search(found: DataFrame, queries: DataFrame, centres: np.ndarray, k: int, pr
     if not probes:
         return found.where("false").selectExpr("id AS query_id", "corpus", "1 AS rank", "id", "0L AS score")
     if probes == len(centres):
-        # all is looked at: cells would only cut the blocks small
-        found, asked = found.withColumn("cell", F.lit(0)), queries.select("id", "vector", F.lit(0).alias("cell"))
+        # all is looked at: cells would only cut the blocks small; one cell, by a key that joins can go by
+        one = F.expr("int(pmod(xxhash64(id), 1))")
+        found, asked = found.withColumn("cell", one), queries.select("id", "vector", one.alias("cell"))
     else:
         asked = _with_cells(queries.select("id", "vector"), centres, probes).select(
             "id", "vector", F.explode("cells").alias("cell")
