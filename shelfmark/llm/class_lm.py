@@ -1,16 +1,19 @@
 """Scores of texts by a class-based bigram model.
 
-A text is words and one end. The ``CLUSTERED`` most frequent words belong to ``CLASSES``
-classes, all other words to one further class, the end to its own. A token's probability
-is that of its class after the class before (smoothed by ``SMOOTHING``) times that of the
-token in its class; in the class of all other words every word counts one more, and one
-place is for words not seen. Classes come from exchange clustering: each round gives every
-second word the class that raises the likelihood most, other words as they are; a round
-that lowers it ends the clustering.
+A text is words and one end. Every word of the training texts belongs to one of
+``CLASSES`` classes or to the class of all other words, the end to its own. A token's
+probability is that of its class after the class before (smoothed by ``SMOOTHING``) times
+that of the token in its class; in the class of other words every word counts one more, and
+one place is for words not seen. The ``CLUSTERED`` most frequent words are clustered by
+exchange: each round gives every second word the class that raises the likelihood most,
+other words as they are; a round that lowers it ends the exchange. Then every further word,
+out of the class of other words, takes the class that raises the likelihood most, all at
+once: its neighbours are counted in one shuffle of the texts' words, whatever their number.
 
 Words are told apart by two independent 64-bit hashes. Counts cover all training texts.
 The ``LOOKUP`` words or fewer with the highest counts are broadcast for scoring; a text's
-other words meet their counts in a join.
+other words meet their counts and classes in a join, and its chain of classes (a byte a
+token) is filled in by their places.
 """
 
 import math
@@ -18,6 +21,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +39,8 @@ SLICE = 8 << 20
 HELD = 1_000_000
 OTHER, END = CLUSTERED, CLUSTERED + 1
 STATES = CLASSES + 2
+#: Beside the states: the word itself as its own neighbour, and a word that was not looked up.
+ITSELF, NOT_FOUND = STATES, 255
 
 
 def _words(column: pa.Array):
@@ -61,15 +67,12 @@ def _count_words(batches):
 
 
 class Lookup:
-    """Counts of the most frequent words, and the numbers of the clustered ones."""
+    """Words with a number each."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, n: np.ndarray):
+    def __init__(self, a: np.ndarray, b: np.ndarray, number: np.ndarray):
         order = np.lexsort((b, a))
-        self.a, self.b, self.n = a[order], b[order], n[order]
-        top = np.lexsort((self.b, self.a, -self.n))[:CLUSTERED]
-        self.number = np.full(len(self.a), OTHER, np.int32)
-        self.number[top] = np.arange(len(top))
-        self.clustered = self.n[top]
+        self.order = order
+        self.a, self.b, self.number = a[order], b[order], number[order]
 
     def find(self, a: np.ndarray, b: np.ndarray):
         """Place of each word, and whether it is there."""
@@ -91,6 +94,10 @@ class Lookup:
         at, found = self.find(a, b)
         return np.where(found, self.number[at] if len(self.number) else OTHER, OTHER)
 
+    @classmethod
+    def of(cls, table: pa.Table, number: np.ndarray):
+        return cls(*(table[c].to_numpy().astype(np.int64).view(np.uint64) for c in ("a", "b")), number)
+
 
 def _sequence(numbers: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """All texts one after the other, with an end after each."""
@@ -130,6 +137,7 @@ def _moves(batches, matrix, classes):
     """
     table, own = np.array(matrix.value, float), classes.value
     left, right = table.sum(0), table.sum(1)
+    empty = left[:CLASSES] == 0  # words of all kinds would go there at once
     for batch in batches:
         words, targets, gains = [], [], []
         for word, around in zip(*(c.to_pylist() for c in batch.columns)):
@@ -160,6 +168,7 @@ def _moves(batches, matrix, classes):
             fix = added - np.diag(rows) - (np.diag(with_before) - np.diag(rows)) - (np.diag(with_after) - np.diag(rows))
             sides = (_plogp(base_left + before.sum() + itself) + _plogp(base_right + total)) - columns
             score = (down + across + fix - sides)[:CLASSES]
+            score[empty & (np.arange(CLASSES) != home)] = -np.inf
             best = int(score.argmax())
             words.append(word)
             targets.append(best)
@@ -220,7 +229,121 @@ def _cluster(pairs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     return own, now
 
 
-def _score(batches, model):
+def _around(batches, top, classes):
+    """For each word of a slice that is not in ``top``: the states before and after it, as a
+    16-bit number for each time that it occurs."""
+    for batch in batches:
+        for low, high in texts.slices(batch.column(0), SLICE):
+            a, b, rows = _words(batch.column(0).slice(low, high - low))
+            if not len(a):
+                continue
+            numbers = top.value.numbers(a, b)
+            states = classes.value[numbers].astype(np.int16)
+            before, after = np.empty(len(a), np.int16), np.empty(len(a), np.int16)
+            before[1:], after[:-1] = states[:-1], states[1:]
+            same = np.flatnonzero((a[1:] == a[:-1]) & (b[1:] == b[:-1]))
+            before[same + 1] = after[same] = ITSELF
+            filled = rows[:-1] < rows[1:]
+            before[rows[:-1][filled]] = after[rows[1:][filled] - 1] = CLASSES + 1
+            others = np.flatnonzero(numbers == OTHER)
+            # words that share the first hash may come in several rows
+            others = others[np.argsort(a[others], kind="stable")]
+            a, b = a[others], b[others]
+            codes = before[others] * np.int16(STATES + 1) + after[others]
+            first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)])
+            ends = (np.append(first, len(a)) * 2).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64)),
+                 pa.BinaryArray.from_buffers(
+                     pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(codes)]
+                 )],
+                names=["a", "b", "around"],
+            )
+
+
+def _best(before: np.ndarray, after: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """For words of the class of other words, the class that raises the likelihood most; that
+    class itself where none does. Rows: counts of the states before and after a word, the word
+    itself as the last."""
+    itself = before[:, ITSELF].astype(float)
+    n = before.sum(1).astype(float)
+    left, right = table.sum(0), table.sum(1)
+    score = np.zeros((len(n), CLASSES))
+    # cells of a class with states other than those of other words stay as they are without the word
+    for around, cells in ((before, table), (after, table.T)):
+        word, state = np.nonzero(around[:, :STATES])
+        keep = state != CLASSES
+        word, state = word[keep], state[keep]
+        kinds, place = np.unique(around[word, state] * STATES + state, return_inverse=True)
+        held = cells[kinds % STATES, :CLASSES]
+        gain = _plogp(held + (kinds // STATES)[:, None]) - _plogp(held)
+        for c in range(CLASSES):
+            score[:, c] += np.bincount(word, gain[place, c], len(n))
+    # those with other words hold the word's own other side as well
+    for around, opposite, cells in ((before, after, table[CLASSES]), (after, before, table[:, CLASSES])):
+        word = np.flatnonzero(around[:, CLASSES])
+        held = cells[:CLASSES] - opposite[word, :CLASSES]
+        score[word] += _plogp(held + around[word, CLASSES][:, None]) - _plogp(held)
+    corner = np.diag(table)[:CLASSES]
+    word, c = np.nonzero(((before[:, :CLASSES] > 0) & (after[:, :CLASSES] > 0)) | (itself > 0)[:, None])
+    x, y, z = before[word, c], after[word, c], corner[c]
+    score[word, c] += _plogp(z + x + y + itself[word]) - _plogp(z + x) - _plogp(z + y) + _plogp(z)
+    sizes, place = np.unique(n, return_inverse=True)
+    sides = sum(_plogp(s[:CLASSES] + sizes[:, None]) - _plogp(s[:CLASSES]) for s in (left, right))
+    score -= sides[place]
+    score[:, left[:CLASSES] == 0] = -np.inf  # words of all kinds would go there at once
+    # to stay: the class of other words with the word, less that without it
+    rows = [x for x in range(STATES) if x != CLASSES]
+    stay = sum(
+        (_plogp(cells[rows]) - _plogp(cells[rows] - around[:, rows])).sum(1)
+        for around, cells in ((before, table[:, CLASSES]), (after, table[CLASSES]))
+    )
+    whole = table[CLASSES, CLASSES]
+    stay += _plogp(whole) - _plogp(whole - before[:, CLASSES] - after[:, CLASSES] - itself)
+    stay -= sum(_plogp(s[CLASSES]) - _plogp(s[CLASSES] - n) for s in (left, right))
+    best = score.argmax(1)
+    return np.where(score[np.arange(len(n)), best] > stay, best, CLASSES)
+
+
+def _placed(batches, matrix):
+    """Rows of ``_around``, sorted by word. Gives each word's count and class. Of a word that goes
+    on in the next batch its counts by state stay."""
+    table, width, kept = np.array(matrix.value, float), STATES + 1, None
+
+    def out(a, b, before, after):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a), pa.array(b), pa.array(before.sum(1)), pa.array(_best(before, after, table).astype(np.int32))],
+            names=["a", "b", "n", "state"],
+        )
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b = (batch.column(i).to_numpy() for i in range(2))
+        fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        column = batch.column(2)
+        codes = np.frombuffer(b"".join(column.to_pylist()), np.int16).astype(np.int64)
+        word = np.repeat(np.cumsum(fresh) - 1, pc.binary_length(column).to_numpy() // 2)
+        a, b = a[fresh], b[fresh]
+        before, after = (
+            np.bincount(word * width + x, minlength=len(a) * width).reshape(-1, width)
+            for x in np.divmod(codes, width)
+        )
+        if kept is not None:
+            if (kept[0][0], kept[1][0]) == (a[0], b[0]):
+                before[0] += kept[2][0]
+                after[0] += kept[3][0]
+            else:
+                yield out(*kept)
+        kept = [x[-1:].copy() for x in (a, b, before, after)]
+        if len(a) > 1:
+            yield out(a[:-1], b[:-1], before[:-1], after[:-1])
+    if kept is not None:
+        yield out(*kept)
+
+
+def _chains(batches, model):
+    """Every text's states, and the words that were not looked up with their places."""
     m = model.value
     lookup, number = m["lookup"], 0
     base_part = TaskContext.get().partitionId() << 40
@@ -228,26 +351,17 @@ def _score(batches, model):
         for low, high in texts.slices(batch.column(1), SLICE):
             a, b, rows = _words(batch.column(1).slice(low, high - low))
             at, found = lookup.find(a, b)
-            counts = np.where(found, lookup.n[at] if len(lookup.n) else 0, 0)
-            numbers = np.where(found, lookup.number[at] if len(lookup.number) else OTHER, OTHER)
-            states = m["classes"][numbers]
-            line = _sequence(numbers, rows)
-            chain = m["classes"][line]
-            # an end precedes every text
-            steps = m["steps"][np.concatenate([[CLASSES + 1], chain[:-1]]), chain]
-            bounds = rows + np.arange(len(rows))
-            sums = np.concatenate([[0.0], np.cumsum(steps)])
+            some = len(lookup.a) > 0
+            counts = np.where(found, m["n"][at] if some else 0, 0)
+            states = np.where(found, lookup.number[at] if some else NOT_FOUND, NOT_FOUND)
+            line = np.insert(states, rows[1:], CLASSES + 1).astype(np.uint8)
             n = len(rows) - 1
-            log_counts = np.log10(counts + 1.0)
-            emitted = np.where(
-                states < CLASSES, m["emit"][np.minimum(numbers, CLUSTERED - 1)], log_counts + m["other"]
-            )
+            bounds = (rows + np.arange(n + 1)).astype(np.int32)
             owner = np.repeat(np.arange(n), np.diff(rows))
-            emitted = np.bincount(owner, emitted, n)
+            emitted = np.bincount(owner, np.where(found, m["emit"][at] if some else 0.0, 0.0), n)
             known = np.bincount(owner, counts > 0, n).astype(np.int64) + int(m["ends"] > 0)
             size = np.diff(rows) + 1
-            base = np.bincount(owner, log_counts, n) + math.log10(m["ends"] + 1) + size * m["base"]
-            score = sums[bounds[1:]] - sums[bounds[:-1]] + emitted
+            base = np.bincount(owner, np.log10(counts + 1.0), n) + math.log10(m["ends"] + 1) + size * m["base"]
             # words that were not looked up, by text
             rest = np.flatnonzero(~found)
             order = rest[np.lexsort((b[rest], a[rest], owner[rest]))]
@@ -257,25 +371,80 @@ def _score(batches, model):
                 | (b[order][1:] != b[order][:-1])
             )
             heads = np.flatnonzero(fresh)
-            times = np.diff(np.append(heads, len(order)))
             each = order[heads]
+            places = pa.ListArray.from_arrays(
+                pa.array(np.append(heads, len(order)).astype(np.int32)),
+                pa.array((order - rows[owner[order]]).astype(np.int32)),
+            )
             struct = pa.StructArray.from_arrays(
-                [pa.array(a[each].view(np.int64)), pa.array(b[each].view(np.int64)), pa.array(times, pa.int64())],
-                names=["a", "b", "times"],
+                [pa.array(a[each].view(np.int64)), pa.array(b[each].view(np.int64)), places],
+                names=["a", "b", "places"],
             )
             ends = np.searchsorted(owner[each], np.arange(n + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low),
                     pa.array(base_part + number + np.arange(n)), pa.array(size, pa.int64()),
-                    pa.array(known), pa.array(base), pa.array(score),
+                    pa.array(known), pa.array(base), pa.array(emitted),
+                    pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(bounds), pa.py_buffer(line)]),
                     pa.ListArray.from_arrays(pa.array(ends), struct),
                 ],
-                names=["id", "held_out", "row", "n_tokens", "n_known", "base_score", "score", "rest"],
+                names=["id", "held_out", "row", "n_tokens", "n_known", "base_score", "score", "chain", "rest"],
             )
             number += n
 
 
+def _filled(batches):
+    """Rows: chain, fills, others. Gives the chain with the states of the fills; words not seen are other words."""
+    for batch in batches:
+        column, fills = batch.column(0), batch.column(1)
+        sizes = pc.binary_length(column).to_numpy().astype(np.int64)
+        ends = np.append(0, np.cumsum(sizes))
+        line = np.frombuffer(b"".join(column.to_pylist()), np.uint8).copy()
+        flat = fills.flatten()
+        counts = pc.fill_null(pc.list_value_length(fills), 0).to_numpy(zero_copy_only=False)
+        places, state = flat.field(0), flat.field(1).to_numpy(zero_copy_only=False)
+        times = pc.list_value_length(places).to_numpy(zero_copy_only=False)
+        at = places.flatten().to_numpy(zero_copy_only=False)
+        line[at + np.repeat(np.repeat(ends[:-1], counts), times)] = np.repeat(state, times)
+        left = line == NOT_FOUND
+        unseen = np.add.reduceat(left, ends[:-1], dtype=np.int64) if len(sizes) else np.zeros(0, np.int64)
+        line[left] = CLASSES
+        yield pa.RecordBatch.from_arrays(
+            [pa.BinaryArray.from_buffers(
+                pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(line)]
+            ), pa.array(unseen), *batch.columns[2:]],
+            names=["chain", "unseen", *batch.schema.names[2:]],
+        )
+
+
+def _steps_of(column):
+    """(state before, state) of all tokens, an end before each text, and where texts begin."""
+    line = np.frombuffer(b"".join(column.to_pylist()), np.uint8).astype(np.int64)
+    sizes = pc.binary_length(column).to_numpy().astype(np.int64)
+    # every chain ends in an end
+    return np.append(CLASSES + 1, line[:-1])[: len(line)], line, np.cumsum(sizes) - sizes
+
+
+def _transitions(batches):
+    out = np.zeros(STATES * STATES, np.int64)
+    for batch in batches:
+        before, line, _ = _steps_of(batch.column(0))
+        out += np.bincount(before * STATES + line, minlength=STATES * STATES)
+    at = np.flatnonzero(out)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[at])], names=["pair", "n"])
+
+
+def _stepped(batches, steps):
+    """Rows: chain, score, others. Gives the score with the chain's steps."""
+    for batch in batches:
+        before, line, first = _steps_of(batch.column(0))
+        sums = np.add.reduceat(steps.value[before, line], first) if len(first) else np.zeros(0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(batch.column(1).to_numpy() + sums), *batch.columns[2:]], names=batch.schema.names[1:]
+        )
+
+
 def scores(docs: DataFrame, held_out: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens,
     base_score, score, perplexity.
@@ -304,56 +473,86 @@ def scores(docs: DataFrame, held_out: str, id: str = "doc_id", text: str = "text
     kinds, total = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     total, kinds = total + ends, kinds + int(ends > 0)
 
+    top = counts.orderBy(F.desc("n"), "a", "b").limit(CLUSTERED).toArrow()
+    size, context = len(top), spark.sparkContext
+    clustered = context.broadcast(Lookup.of(top, np.arange(size)))
+    pairs = training.mapInArrow(partial(_count_pairs, lookup=clustered), "pair long, n long").groupBy("pair").agg(
+        F.sum("n").alias("n")
+    ).selectExpr(f"cast(pair div {END + 1} AS int) AS v", f"cast(pair % {END + 1} AS int) AS w", "n")
+    classes, table = _cluster(staged(pairs, "pairs"), size)
+
+    around = training.mapInArrow(
+        partial(_around, top=clustered, classes=context.broadcast(classes)), "a long, b long, around binary"
+    )
+    placed = around.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(
+        partial(_placed, matrix=context.broadcast(table.tolist())), "a long, b long, n long, state int"
+    )
+    own = top.append_column("state", pa.array(classes[:size]))
+    own = spark.createDataFrame(own.to_pylist(), "a long, b long, n long, state int")
+    words = staged(own.union(placed), "words")
+
+    in_class, kinds_in = np.zeros(STATES, np.int64), np.zeros(STATES, np.int64)
+    for r in words.groupBy("state").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect():
+        in_class[r["state"]], kinds_in[r["state"]] = r["n"], r["kinds"]
+    in_class[CLASSES] += kinds_in[CLASSES] + 1
+    share = -np.log10(np.maximum(in_class[: CLASSES + 1], 1))
+
     grade = F.floor(F.log2("n") * 8)
-    grades = counts.groupBy(grade.alias("g")).agg(F.count("*").alias("words")).orderBy(F.desc("g")).collect()
+    grades = words.groupBy(grade.alias("g")).agg(F.count("*").alias("words")).orderBy(F.desc("g")).collect()
     least, room = None, LOOKUP
     for r in grades:  # a few hundred
         if r["words"] > room:
             break
         least, room = r["g"], room - r["words"]
-    top = counts.where(grade >= least if least is not None else F.lit(False)).toArrow()
-    lookup = Lookup(
-        *(top[c].to_numpy().astype(np.int64).view(np.uint64) for c in ("a", "b")), top["n"].to_numpy()
-    )
-
-    pairs = training.mapInArrow(
-        partial(_count_pairs, lookup=spark.sparkContext.broadcast(lookup)), "pair long, n long"
-    ).groupBy("pair").agg(F.sum("n").alias("n")).selectExpr(
-        f"cast(pair div {END + 1} AS int) AS v", f"cast(pair % {END + 1} AS int) AS w", "n"
-    )
-    classes, table = _cluster(staged(pairs, "pairs"), len(lookup.clustered))
-
-    steps = (table + SMOOTHING) / (table.sum(1, keepdims=True) + SMOOTHING * STATES)
-    in_class = np.bincount(classes[: len(lookup.clustered)], lookup.clustered, STATES)
-    emit = np.zeros(CLUSTERED)
-    own = classes[: len(lookup.clustered)]
-    emit[: len(own)] = np.log10(lookup.clustered / in_class[own])
-    others = total - ends - int(lookup.clustered.sum())
-    other_kinds = kinds - int(ends > 0) - len(lookup.clustered)
-    model = spark.sparkContext.broadcast({
-        "lookup": lookup, "classes": classes, "steps": np.log10(steps), "emit": emit, "ends": ends,
-        "other": -math.log10(others + other_kinds + 1), "base": -math.log10(total + kinds + 1),
+    known = words.where(grade >= least if least is not None else F.lit(False)).toArrow()
+    lookup = Lookup.of(known, known["state"].to_numpy().astype(np.uint8))
+    n = known["n"].to_numpy()[lookup.order]
+    model = context.broadcast({
+        "lookup": lookup, "n": n, "emit": np.log10(n + (lookup.number == CLASSES)) + share[lookup.number],
+        "ends": ends, "base": -math.log10(total + kinds + 1),
     })
     scored = staged(
         source.select("id", "text", "held_out").mapInArrow(
-            partial(_score, model=model),
+            partial(_chains, model=model),
             f"id {kind}, held_out boolean, row long, n_tokens long, n_known long, base_score double, "
-            "score double, rest array<struct<a: long, b: long, times: long>>",
+            "score double, chain binary, rest array<struct<a: long, b: long, places: array<int>>>",
         ),
         "scored",
     )
-    rest = scored.select("row", F.explode("rest").alias("x")).selectExpr("row", "x.a", "x.b", "x.times")
-    rare = counts.where(grade < least) if least is not None else counts
+    rest = scored.select("row", F.explode("rest").alias("x")).selectExpr("row", "x.a", "x.b", "x.places")
+    rare = (words.where(grade < least) if least is not None else words).withColumn(
+        "emit",
+        F.log10(F.col("n") + (F.col("state") == CLASSES).cast("int"))
+        + F.element_at(F.array(*map(F.lit, share.tolist())), F.col("state") + 1),
+    )
     added = rest.join(rare, ["a", "b"]).groupBy("row").agg(
-        F.sum("times").alias("known_more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more")
+        F.sum(F.size("places")).alias("known_more"),
+        F.sum(F.size("places") * F.log10(F.col("n") + 1)).alias("more"),
+        F.sum(F.size("places") * F.col("emit")).alias("emitted"),
+        F.collect_list(F.struct("places", F.col("state").cast("int").alias("state"))).alias("fills"),  # of one text
     )
-    found = scored.drop("rest").join(added, "row", "left")
-    more = F.coalesce("more", F.lit(0.0))
-    score = F.col("score") + more
-    return found.select(
-        F.col("id").alias(id), "held_out", "n_tokens",
+    found = scored.drop("rest").join(added, "row", "left").select(
+        "chain", "fills", "id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("known_more", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base_score") + more).alias("base_score"), score.alias("score"),
-        F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
+        (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("emitted", F.lit(0.0))).alias("score"),
+    )
+    others = f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double"
+    whole = staged(found.mapInArrow(_filled, f"chain binary, unseen long, {others}, score double"), "chains")
+
+    table = np.zeros(STATES * STATES, np.int64)
+    for r in whole.where("NOT held_out").select("chain").mapInArrow(_transitions, "pair long, n long").groupBy(
+        "pair"
+    ).agg(F.sum("n").alias("n")).collect():  # at most STATES * STATES
+        table[r["pair"]] = r["n"]
+    table = table.reshape(STATES, STATES)
+    steps = np.log10((table + SMOOTHING) / (table.sum(1, keepdims=True) + SMOOTHING * STATES))
+    names = ["id", "held_out", "n_tokens", "n_known", "base_score"]
+    score = F.col("score") + F.col("unseen") * F.lit(float(share[CLASSES]))
+    return whole.select("chain", score.alias("score"), *names).mapInArrow(
+        partial(_stepped, steps=context.broadcast(steps)), f"score double, {others}"
+    ).select(
+        F.col("id").alias(id), "held_out", "n_tokens", "n_known",
+        F.lit(total).cast("long").alias("train_tokens"), "base_score", "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as public
 import pytest
 import tiktoken
@@ -192,6 +193,73 @@ def test_class_lm_rare_words_are_joined(docs, monkeypatch):
         assert r.n_known == whole[r.doc_id][0] and math.isclose(r.base_score, whole[r.doc_id][1])
 
 
+def test_class_lm_places_a_word_where_the_likelihood_rises_most():
+    """Against the likelihood of the table with the word in each class by turns."""
+    rng = np.random.Generator(np.random.PCG64(3))
+    S, other, width = class_lm.STATES, class_lm.CLASSES, class_lm.STATES + 1
+    codes, table = [], rng.integers(0, 40, (S, S))
+    for k in range(60):
+        some = rng.integers(0, S, 4)  # few neighbours, so that some are on both sides
+        n = int(rng.integers(1, 30))
+        x, y = rng.choice(some, n), rng.choice(some, n)
+        if k % 3 == 0 and n > 2:
+            x[0] = y[1] = other
+            x[2], y[0] = S, S  # once after itself
+        codes.append((x * width + y).astype(np.int16))
+    for c in codes:
+        x, y = np.divmod(c.astype(int), width)
+        for v, w in zip(x, y):
+            if v < S:
+                table[v, other] += 1
+            if w < S:
+                table[other, w] += 1
+        table[other, other] += (x == S).sum()
+
+    def likelihood(t):
+        return class_lm._plogp(t).sum() - class_lm._plogp(t.sum(0)).sum() - class_lm._plogp(t.sum(1)).sum()
+
+    wanted = []
+    for c in codes:
+        x, y = np.divmod(c.astype(int), width)
+        found = []
+        for state in [*range(other), other]:
+            t = table.astype(float)
+            for home, step in ((other, -1), (state, 1)):
+                np.add.at(t, (x[x < S], home), step)
+                np.add.at(t, (home, y[y < S]), step)
+                t[home, home] += step * (x == S).sum()
+            found.append(likelihood(t))
+        wanted.append(int(np.argmax(found)))
+    assert len(set(wanted)) > 10
+    # a word's rows may lie in several batches
+    parts = [(k, 7, x.tobytes()) for k, c in enumerate(codes) for x in (c[: len(c) // 2], c[len(c) // 2 :])]
+    for size in (1, 7, 1000):
+        given = pa.table({"a": [x[0] for x in parts], "b": [x[1] for x in parts], "around": pa.array([x[2] for x in parts], pa.binary())})
+        broadcast = type("Broadcast", (), {"value": table.tolist()})
+        out = pa.Table.from_batches(list(class_lm._placed(given.to_batches(max_chunksize=size), broadcast)))
+        assert out["a"].to_pylist() == list(range(60)) and out["n"].to_pylist() == [len(c) for c in codes]
+        assert out["state"].to_pylist() == wanted
+
+
+@pytest.mark.parametrize("lookup", [1_000_000, 3_000])
+def test_class_lm_clusters_all_words(spark, monkeypatch, lookup):
+    """Words beyond the most frequent ones are told apart by their neighbours, looked up or joined."""
+    rng = random.Random(2)
+    sides = [[f"{side}{i}" for i in range(2300)] for side in "xy"]
+    lines = [f"{side} {w} {side * 2}" for side, held in zip("xy", sides) for w in held[:2000] for _ in range(rng.randint(3, 6))]
+    lines += [f"{side} {w} {side * 2}" for side, held in zip("xy", sides) for w in held[2000:] for _ in range(2)]
+    rng.shuffle(lines)
+    rows = [(i, t) for i, t in enumerate(lines)]
+    rows += [(-1, "x x2200 xx"), (-2, "x y2200 xx"), (-3, "x unseen xx"), (-4, "unseen"), (-5, None)]
+    monkeypatch.setattr(class_lm, "LOOKUP", lookup)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r for r in class_lm.scores(docs, "doc_id < 0").collect()}
+    assert len(found) == len(rows)
+    assert found[-1].base_score == found[-2].base_score and found[-1].n_known == found[-2].n_known == 4
+    assert found[-1].score > found[-2].score + 1  # equal when all further words were one class
+    assert found[-3].n_known == 3 and math.isfinite(found[-3].score) and math.isfinite(found[-4].score)
+
+
 def test_unigram_counts(docs, none, texts):
     pieces, byte_pieces = unigram.pieces_of(public.path("piece_bpe_32k.model"))
     for fallback in (byte_pieces, False):
