@@ -44,6 +44,8 @@ SIMILARITY = 80  # percent
 WIDTH = WORDS - SHINGLE + 1
 #: The lesser part of a run of WIDTH shingles that lies on one side of its least one.
 HALF = WIDTH // 2
+#: Words of texts whose windows are found at once.
+TOGETHER = 1 << 16
 #: Windows under one value that a task compares, or else sends on all.
 COMPARED = 20_000
 #: Runs that a task holds before it hands them on.
@@ -53,22 +55,59 @@ _FACTORS = np.random.Generator(np.random.PCG64(4)).integers(
 ) * np.uint64(2) + np.uint64(1)
 
 
+def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
+    """``pick`` of all runs of ``width`` values."""
+    done = 1
+    while 2 * done <= width:
+        values, done = pick(values[done:], values[:-done]), 2 * done
+    return pick(values[: len(values) - width + done], values[width - done :]) if width > done else values
+
+
+def _next(values: np.ndarray, owner: np.ndarray, ties: bool) -> np.ndarray:
+    """The nearest place before each that holds less (with ``ties``, or as much) in the same
+    text, else -1. All values between are no less, so a place may go on from where another is."""
+    out = np.arange(len(values)) - 1
+    open_ = np.arange(len(values))
+    while len(open_):
+        at = out[open_]
+        same = (at >= 0) & (owner[at] == owner[open_])
+        out[open_[~same]] = -1
+        open_, at = open_[same], at[same]
+        more = values[at] > values[open_] if ties else values[at] >= values[open_]
+        open_, at = open_[more], at[more]
+        out[open_] = out[at]
+    return out
+
+
+def wide_windows(values: np.ndarray, ends: np.ndarray, width: int = WIDTH):
+    """Of texts that lie one after the other and end at ``ends``: text, l, c, r (inclusive) of every node of
+    their Cartesian trees at least ``width`` wide, by text and c.
+
+    Such a node is the least value of a run of ``width``, and so are the nodes that bound it."""
+    if len(values) < width:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    least = _sliding(values, width, np.minimum)
+    begins = np.append(0, ends[:-1])
+    text = np.repeat(np.arange(len(ends)), ends - begins)
+    least[text[: len(least)] != text[width - 1 :]] = 0  # runs across texts are none
+    none = np.zeros(width - 1, values.dtype)
+    c = np.flatnonzero(_sliding(np.concatenate([none, least, none]), width, np.maximum) == values)
+    v, text = values[c], text[c]
+    left, right = _next(v, text, True), len(c) - 1 - _next(v[::-1], text[::-1], False)[::-1]
+    l = np.where(left >= 0, c[left] + 1, begins[text])
+    r = np.where(right < len(c), c[np.minimum(right, len(c) - 1)] - 1, ends[text] - 1)
+    wide = r - l + 1 >= width
+    return text[wide], l[wide], c[wide], r[wide]
+
+
 def compact_windows(values: np.ndarray, width: int = WIDTH) -> list[tuple[int, int, int]]:
     """(l, c, r), inclusive, of every node of the Cartesian tree at least ``width`` wide."""
-    out, open_ = [], [(0, len(values) - 1)]
-    while open_:
-        low, high = open_.pop()
-        while high - low + 1 >= width:
-            least = low + int(values[low : high + 1].argmin())
-            out.append((low, least, high))
-            if high - least >= width:
-                open_.append((least + 1, high))
-            high = least - 1
-    return out
+    _, *found = wide_windows(values, np.array([len(values)]), width)
+    return list(zip(*(x.tolist() for x in found)))
 
 
 def _windows_by_stack(values: list[int], width: int) -> list[tuple[int, int, int]]:
-    """The same in one pass, for texts of few distinct shingles, whose trees are deep."""
+    """The same value by value."""
     n = len(values)
     left, right, stack = [0] * n, [n - 1] * n, []
     for i, v in enumerate(values):
@@ -139,62 +178,85 @@ def _shared(key: np.ndarray, docs: np.ndarray, halves: np.ndarray) -> np.ndarray
     return out
 
 
+def _parts(docs: np.ndarray, sizes: np.ndarray):
+    """``docs`` in order, in parts of at most TOGETHER words, or of one document."""
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(docs):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] - sizes[first] + TOGETHER, "right")))
+        yield docs[first:last]
+        first = last
+
+
+def _windows_of(words, rows, docs):
+    """By function: the document, key, l, r, c and halves of all windows of some texts."""
+    sizes = rows[docs + 1] - rows[docs]
+    ends = np.cumsum(sizes)
+    held = words[np.repeat(rows[docs] - ends + sizes, sizes) + np.arange(ends[-1])]
+    # shingles of all texts, one after the other, without those across texts
+    sizes = sizes - SHINGLE + 1
+    begins = ends - sizes - SHINGLE + 1
+    ends = np.cumsum(sizes)
+    s = texts.shingles(held, SHINGLE)[np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1])]
+    begins = ends - sizes
+    sums = np.append(np.uint64(0), np.cumsum(texts.mix(s), dtype=np.uint64))
+    for f in range(FUNCTIONS):
+        hashed = s * _FACTORS[f]
+        text, l, c, r = wide_windows(hashed, ends)
+        # the function in the lowest bits
+        keys = texts.mix(hashed[c]) & ~np.uint64(7) | np.uint64(f)
+        none, base = np.zeros(len(c), np.int32), begins[text]
+        halves = none if f else _halves(sums, l, c, r)
+        l, r, c = ((x - base).astype(np.int32) for x in (l, r, c))
+        yield docs[text].astype(np.int32), keys, l, r, none if f else c, halves
+
+
 def _posted(batches):
     """Rows: row, text. Gives windows to post (of function 0 with ``c`` and their halves as ``hl``), and pairs met in a slice (with ``other``), which
     a number of their own spreads over the shuffle."""
     for batch in batches:
         rank = _order(batch.column(0)) if batch.num_rows else None
         for low, high in texts.slices(batch.column(1)):
-            words, rows = texts.word_hashes(batch.column(1).slice(low, high - low), texts.SPACES)
-            owner, keys, windows, least, halves = [], [], [], [], []
-            for k, (a, b) in enumerate(zip(rows[:-1], rows[1:])):
-                if b - a < WORDS:
-                    continue
-                s = texts.shingles(words[a:b], SHINGLE)
-                sums = np.append(np.uint64(0), np.cumsum(texts.mix(s), dtype=np.uint64))
-                deep = 2 * len(texts.distinct(s)) < len(s)
-                for f in range(FUNCTIONS):
-                    hashed = s * _FACTORS[f]
-                    found = np.array(
-                        _windows_by_stack(hashed.tolist(), WIDTH) if deep else compact_windows(hashed),
-                        np.int32,
-                    ).reshape(-1, 3)
-                    owner.append(np.full(len(found), low + k))
-                    windows.append(found[:, ::2])
-                    none = np.zeros(len(found), np.int32)
-                    least.append(none if f else found[:, 1])
-                    halves.append(none if f else _halves(sums, *found.T))
-                    # the function in the lowest bits
-                    keys.append(texts.mix(hashed[found[:, 1]]) & ~np.uint64(7) | np.uint64(f))
-            if not owner:
-                continue
-            owner, keys, windows, least, halves = (
-                np.concatenate(x) for x in (owner, keys, windows, least, halves)
-            )
-            at = np.lexsort((windows[:, 0], rank[owner], keys))
-            owner, keys, windows, least = owner[at], keys[at].view(np.int64), windows[at], least[at]
-            halves = halves[at]
-            earlier, first, near = _met(keys, rank[owner])
-            later, other = _pairs(earlier, first, near, earlier >= POSTED)
-            post = np.flatnonzero(earlier < POSTED)
-            rows = batch.column(0).take(pa.array(np.concatenate([owner[post], owner[later]])))
-            none = np.zeros(len(post), np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([keys[post], texts.mix(later.view(np.uint64)).view(np.int64)])),
-                    pa.array(np.concatenate([keys[post], keys[later]])), rows,
-                    pa.array(np.concatenate([windows[post, 0], windows[later, 0]])),
-                    pa.array(np.concatenate([windows[post, 1], windows[later, 1]])),
-                    pa.array(np.concatenate([least[post], least[later]])),
-                    batch.column(0).take(pa.array(
-                        np.concatenate([none, owner[other]]),
-                        mask=np.arange(len(post) + len(later)) < len(post),
-                    )),
-                    pa.array(np.concatenate([halves[post], windows[other, 0]])),
-                    pa.array(np.concatenate([none, windows[other, 1]])),
-                ],
-                names=["spread", "key", "row", "l", "r", "c", "other", "hl", "hr"],
-            )
+            if (out := _posted_of(batch, rank, low, high)) is not None:
+                yield out
+                del out
+
+
+def _posted_of(batch: pa.RecordBatch, rank, low: int, high: int) -> pa.RecordBatch | None:
+    words, rows = texts.word_hashes(batch.column(1).slice(low, high - low), texts.SPACES)
+    docs = np.flatnonzero(np.diff(rows) >= WORDS)
+    if not len(docs):
+        return None
+    docs = docs[np.argsort(rank[low + docs], kind="stable")]
+    found = [x for part in _parts(docs, np.diff(rows)[docs]) for x in _windows_of(words, rows, part)]
+    owner, keys, l, r, least, halves = (np.concatenate(x) for x in zip(*found))
+    del found, words
+    # those of one key are of one function, so by document and place already
+    at = np.argsort(keys, kind="stable")
+    owner, keys, least, halves = low + owner[at], keys[at].view(np.int64), least[at], halves[at]
+    windows = np.stack([l[at], r[at]], axis=1)
+    del l, r, at
+    earlier, first, near = _met(keys, rank[owner])
+    later, other = _pairs(earlier, first, near, earlier >= POSTED)
+    post = np.flatnonzero(earlier < POSTED)
+    rows = batch.column(0).take(pa.array(np.concatenate([owner[post], owner[later]])))
+    none = np.zeros(len(post), np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([keys[post], texts.mix(later.view(np.uint64)).view(np.int64)])),
+            pa.array(np.concatenate([keys[post], keys[later]])), rows,
+            pa.array(np.concatenate([windows[post, 0], windows[later, 0]])),
+            pa.array(np.concatenate([windows[post, 1], windows[later, 1]])),
+            pa.array(np.concatenate([least[post], least[later]])),
+            batch.column(0).take(pa.array(
+                np.concatenate([none, owner[other]]),
+                mask=np.arange(len(post) + len(later)) < len(post),
+            )),
+            pa.array(np.concatenate([halves[post], windows[other, 0]])),
+            pa.array(np.concatenate([none, windows[other, 1]])),
+        ],
+        names=["spread", "key", "row", "l", "r", "c", "other", "hl", "hr"],
+    )
 
 
 def _met_in_order(batches):
@@ -394,15 +456,26 @@ def _ranges(batch: pa.RecordBatch, names) -> pa.RecordBatch:
     )
 
 
+def _words_of(column: pa.Array):
+    """Every text's place and words, slice by slice."""
+    for low, high in texts.slices(column):
+        words, rows = texts.word_hashes(column.slice(low, high - low), texts.SPACES)
+        for k, (a, b) in enumerate(zip(rows[:-1].tolist(), rows[1:].tolist())):
+            yield low + k, words[a:b]
+
+
 def _cut_out(batches):
     """Rows: row, text, stretches, begins. Gives the stretches' shingle hashes, in 32 bits; of the runs
     of WIDTH shingles that begin in a range of ``begins``, a hash in 96 bits: for the first document
     of the batch that holds a run, to be met by others, and for the others with its place there."""
     for batch in batches:
-        rank = _order(batch.column(0)) if batch.num_rows else None
-        owners, places, runs, checks = [], [], [], []
-        for k in np.argsort(rank, kind="stable").tolist() if batch.num_rows else ():
-            words, _ = texts.word_hashes(batch.column(1).slice(k, 1), texts.SPACES)
+        if not batch.num_rows:
+            continue
+        # by document, so that the first one that holds a run comes first
+        batch = batch.take(pa.array(np.argsort(_order(batch.column(0)), kind="stable")))
+        rank, held_runs, held_shingles = _order(batch.column(0)), 0, 0
+        owners, places, runs, checks, cuts, parts = [], [], [], [], [], []
+        for k, words in _words_of(batch.column(1)):
             whole = texts.shingles(words, SHINGLE)
             s = (whole >> np.uint64(32)).astype(np.uint32).view(np.int32)
             begins = batch.column(3)[k].values
@@ -417,25 +490,22 @@ def _cut_out(batches):
                 runs.append(_run_hashes(whole)[at])
                 sums = np.append(np.uint64(0), np.cumsum(texts.mix(whole), dtype=np.uint64))
                 checks.append(((sums[at + WIDTH] - sums[at]) >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                if sum(map(len, places)) > HELD:
+                held_runs += len(at)
+                if held_runs > HELD:
                     yield _runs_met(batch.column(0), rank, *map(np.concatenate, (owners, places, runs, checks)))
-                    owners, places, runs, checks = [], [], [], []
+                    owners, places, runs, checks, held_runs = [], [], [], [], 0
             stretches = batch.column(2)[k].values
             if stretches is None:
                 continue
-            lows, highs = (stretches.field(c) for c in ("low", "high"))
-            held = [s[a : b + 1] for a, b in zip(lows.to_pylist(), highs.to_pylist())]
-            for first in range(0, len(held), 1000):
-                part = held[first : first + 1000]
-                sizes = np.concatenate([[0], np.cumsum([len(x) for x in part])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array([k] * len(part))),
-                     lows.slice(first, len(part)), highs.slice(first, len(part)),
-                     pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(part))),
-                     pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int32()),
-                     pa.nulls(len(part), batch.schema.field(0).type)],
-                    names=_CUT,
-                )
+            for low, high in zip(*(stretches.field(c).to_pylist() for c in ("low", "high"))):
+                cuts.append((k, low, high))
+                parts.append(s[low : high + 1])
+                held_shingles += len(parts[-1])
+                if held_shingles > HELD:
+                    yield _stretches_cut(batch.column(0), cuts, parts)
+                    cuts, parts, held_shingles = [], [], 0
+        if parts:
+            yield _stretches_cut(batch.column(0), cuts, parts)
         if owners:
             yield _runs_met(batch.column(0), rank, *map(np.concatenate, (owners, places, runs, checks)))
 
@@ -443,6 +513,18 @@ def _cut_out(batches):
 _CUT = ["row", "low", "high", "shingles", "run", "check", "other"]
 
 
+def _stretches_cut(rows: pa.StructArray, cuts, parts) -> pa.RecordBatch:
+    owner, low, high = np.array(cuts, np.int64).T
+    sizes = np.append(0, np.cumsum([len(x) for x in parts])).astype(np.int32)
+    n = len(parts)
+    return pa.RecordBatch.from_arrays(
+        [rows.take(pa.array(owner)), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)),
+         pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(parts))),
+         pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, rows.type)],
+        names=_CUT,
+    )
+
+
 def _runs_met(rows: pa.StructArray, rank, owner, place, run, check) -> pa.RecordBatch:
     # the runs come by document and place
     at = np.argsort(run, kind="stable")
@@ -497,7 +579,8 @@ def _exact(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """Stretches (begin, end) of ``a`` whose every run of WIDTH shingles ``b`` holds somewhere."""
     if min(len(a), len(b)) < WIDTH:
         return []
-    at = np.flatnonzero(np.isin(_run_hashes(a), _run_hashes(b)))
+    own, held = _run_hashes(a), np.sort(_run_hashes(b))
+    at = np.flatnonzero(held[np.minimum(np.searchsorted(held, own), len(held) - 1)] == own)
     if not len(at):
         return []
     breaks = np.flatnonzero(np.diff(at) > 1)
@@ -505,16 +588,16 @@ def _exact(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(begins.tolist(), (ends + WIDTH).tolist()))
 
 
-def _runs(b: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, length: int):
-    """Runs of ``b`` from each of ``firsts`` to the one of ``lasts`` that makes its length
-    nearest to ``length``, nearest lengths first; runs of one content once."""
+def _runs(sums: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, length: int):
+    """Runs of b, whose mixed shingles sum up to ``sums``, from each of ``firsts`` to the one
+    of ``lasts`` that makes its length nearest to ``length``, nearest lengths first; runs of one
+    content once."""
     at = np.searchsorted(lasts, firsts + length - 1)
     ends = np.stack([lasts[np.minimum(at, len(lasts) - 1)], lasts[np.maximum(at - 1, 0)]])
-    off = np.where(ends >= firsts, np.abs(ends - firsts + 1 - length), len(b) + length)
+    off = np.where(ends >= firsts, np.abs(ends - firsts + 1 - length), len(sums) + length)
     ends = np.where(off[0] <= off[1], *ends)
     off = off.min(0)
     # of equal length and sum of mixed shingles: of one content
-    sums = np.append(np.uint64(0), np.cumsum(texts.mix(b.astype(np.uint64)), dtype=np.uint64))
     held = sums[ends + 1] - sums[firsts]
     seen = set()
     for k in np.argsort(off, kind="stable").tolist():
@@ -539,6 +622,7 @@ def passages(a: np.ndarray, b: np.ndarray, similarity: int = SIMILARITY) -> list
     order = np.argsort(b, kind="stable")
     ranked = b[order]
     common = ranked[np.minimum(np.searchsorted(ranked, a), len(b) - 1)] == a
+    sums = np.append(np.uint64(0), np.cumsum(texts.mix(b.astype(np.uint64)), dtype=np.uint64))
 
     def places_of(x):
         return order[np.searchsorted(ranked, x) : np.searchsorted(ranked, x, "right")]
@@ -551,7 +635,7 @@ def passages(a: np.ndarray, b: np.ndarray, similarity: int = SIMILARITY) -> list
         low, high = low + int(hit[0]), low + int(hit[-1]) + 1
         if high - low < WIDTH or any(x <= low and high <= y for x, y in out):
             continue
-        own = texts.distinct(a[low:high])
+        own, places = texts.distinct(a[low:high]), np.flatnonzero(common[low:high])
 
         def similar(first, last):
             other = texts.distinct(b[first : last + 1])
@@ -560,15 +644,16 @@ def passages(a: np.ndarray, b: np.ndarray, similarity: int = SIMILARITY) -> list
             both = len(own) + len(other) - len(texts.distinct(np.concatenate([own, other])))
             return 100 * both >= similarity * (len(own) + len(other) - both)
 
-        firsts, lasts = places_of(a[low]), places_of(a[high - 1])
-        # the whole run, and all of b where its ends come in another order, as well
-        first, last = int(firsts[0]), int(lasts[-1])
-        if last < first:
-            first, last = 0, len(b) - 1
-        if similar(first, last) or any(similar(*x) for x in _runs(b, firsts, lasts, high - low)):
-            out.append((low, high))
-            continue
-        places = np.flatnonzero(common[low:high])
+        # no run of b is more similar than all that b holds is in common
+        if 100 * len(texts.distinct(a[low:high][places])) >= similarity * len(own):
+            firsts, lasts = places_of(a[low]), places_of(a[high - 1])
+            # the whole run, and all of b where its ends come in another order, as well
+            first, last = int(firsts[0]), int(lasts[-1])
+            if last < first:
+                first, last = 0, len(b) - 1
+            if similar(first, last) or any(similar(*x) for x in _runs(sums, firsts, lasts, high - low)):
+                out.append((low, high))
+                continue
         gaps = np.diff(places)
         if not len(gaps):
             continue

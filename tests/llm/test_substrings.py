@@ -167,3 +167,42 @@ def test_pairs_do_not_depend_on_batches(size):
             name = [str({"id": None if a == -1 else a, "hash": b}) for a, b in ((i, h), doc)]
             wanted.append((*name, p, head))
     assert sorted(got) == sorted(wanted)
+
+
+@pytest.mark.parametrize("width", [1, 3, 46])
+def test_windows_of_several_texts(width):
+    """As of each text by itself, with ties, slopes and texts shorter than a window."""
+    rng = np.random.Generator(np.random.PCG64(5))
+    held = [rng.integers(0, k, n).astype(np.uint64) for n in (0, 1, 45, 46, 47, 400) for k in (1, 3, 10**9)]
+    held += [np.arange(300, dtype=np.uint64), np.arange(300, 0, -1).astype(np.uint64)]
+    ends = np.cumsum([len(x) for x in held])
+    begins = ends - [len(x) for x in held]
+    text, *places = substrings.wide_windows(np.concatenate(held), ends, width)
+    found = sorted(zip(text.tolist(), *((x - begins[text]).tolist() for x in places)))
+    assert found == sorted(
+        (i, *x) for i, values in enumerate(held) for x in substrings._windows_by_stack(values.tolist(), width)
+    )
+
+
+@pytest.mark.parametrize("together", [1, 500, 1 << 16])
+def test_windows_do_not_depend_on_parts(rows, monkeypatch, together):
+    kind = pa.struct([("id", pa.int64()), ("hash", pa.int64())])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([{"id": r[0], "hash": i} for i, r in enumerate(rows)], kind), pa.array([r[1] for r in rows])],
+        names=["row", "text"],
+    )
+    whole = list(substrings._posted([batch]))
+    monkeypatch.setattr(substrings, "TOGETHER", together)
+    assert sum(map(len, whole)) > 100 and all(x.equals(y) for x, y in zip(whole, substrings._posted([batch]), strict=True))
+
+
+def test_runs_are_not_compared_where_too_little_is_in_common(monkeypatch):
+    """Ends in common and a third between them: no run of the other can be similar."""
+    a = np.arange(300, dtype=np.int32)
+    b = np.where((a % 3 == 0) | (a < 5) | (a > 294), a, a + 1000).astype(np.int32)
+    near = np.where(a % 30, a, a + 1000).astype(np.int32)
+    asked = []
+    runs = substrings._runs
+    monkeypatch.setattr(substrings, "_runs", lambda *x: asked.append(x) or runs(*x))
+    assert substrings.passages(a, b) == [] and not asked
+    assert substrings.passages(a, near) == [(1, 300)]
