@@ -44,6 +44,8 @@ SIMILARITY = 80  # percent
 WIDTH = WORDS - SHINGLE + 1
 #: The lesser part of a run of WIDTH shingles that lies on one side of its least one.
 HALF = WIDTH // 2
+#: Bytes of texts that are cut into words at once.
+READ = 1 << 20
 #: Words of texts whose windows are found at once.
 TOGETHER = 1 << 16
 #: Windows under one value that a task compares, or else sends on all.
@@ -223,7 +225,9 @@ def _posted(batches):
 
 
 def _posted_of(batch: pa.RecordBatch, rank, low: int, high: int) -> pa.RecordBatch | None:
-    words, rows = texts.word_hashes(batch.column(1).slice(low, high - low), texts.SPACES)
+    words = [x for _, x in _words_of(batch.column(1).slice(low, high - low))]
+    rows = np.append(0, np.cumsum([len(x) for x in words]))
+    words = np.concatenate(words)
     docs = np.flatnonzero(np.diff(rows) >= WORDS)
     if not len(docs):
         return None
@@ -457,8 +461,8 @@ def _ranges(batch: pa.RecordBatch, names) -> pa.RecordBatch:
 
 
 def _words_of(column: pa.Array):
-    """Every text's place and words, slice by slice."""
-    for low, high in texts.slices(column):
+    """Every text's place and words, a few texts at a time."""
+    for low, high in texts.slices(column, READ):
         words, rows = texts.word_hashes(column.slice(low, high - low), texts.SPACES)
         for k, (a, b) in enumerate(zip(rows[:-1].tolist(), rows[1:].tolist())):
             yield low + k, words[a:b]

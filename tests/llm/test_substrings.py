@@ -193,6 +193,7 @@ def test_windows_do_not_depend_on_parts(rows, monkeypatch, together):
     )
     whole = list(substrings._posted([batch]))
     monkeypatch.setattr(substrings, "TOGETHER", together)
+    monkeypatch.setattr(substrings, "READ", together)
     assert sum(map(len, whole)) > 100 and all(x.equals(y) for x, y in zip(whole, substrings._posted([batch]), strict=True))
 
 
