@@ -14,8 +14,11 @@ so s, the number of a set's other shingles, bounds all its intersections, and pa
 bound is too small are skipped. First every member meets the member of its posting list with
 the smallest share of shingles of its own. Then only members that are still outside the list's main component meet
 the others, and only across components, so what is linked already is not compared again
-while no link between two components is lost. With the main component's members only those
-outside meet that have enough shingles which any of these members holds.
+while no link between two components is lost. A set outside that is to have a of its n shingles
+in common with another one has at least one of any n - a + 1 in common: it meets those others
+only, of the main component and of the sets outside, that hold one of its rarest among them.
+Texts of a pair are compared only if sketches of the sets, which never differ by more bits than
+the sets by shingles, leave the similarity open.
 """
 
 import hashlib
@@ -32,18 +35,23 @@ from shelfmark.llm.tables import small, staged
 
 COORDINATES = 48
 MATCHES = 24
+#: Bits of a set's sketch.
+BITS = 4096
 SIMILARITY = 80  # percent
+#: Sizes of sets in one class differ by a hundredth.
+_SIZE_CLASS = "cast(floor(100 * ln(n)) AS int)"
 _FACTORS = np.random.Generator(np.random.PCG64(48)).integers(
     1, 1 << 63, COORDINATES, dtype=np.uint64
 ) * np.uint64(2) + np.uint64(1)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The upper halves of the coordinates' minima, as signed 32-bit numbers."""
+    """32 bits each of the coordinates' minima, as signed numbers. Minima lie close together,
+    so they are mixed first: else unlike ones of many sets would share their upper halves."""
     least = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(shingles), 4096):
         np.minimum(least, (_FACTORS[:, None] * shingles[None, i : i + 4096]).min(1), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return (texts.mix(least) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _sets(column: pa.Array, size: int):
@@ -76,11 +84,22 @@ def _signatures(batches, size: int):
         )
 
 
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """BITS bits, each of which every shingle that falls on it turns over. So two sets' sketches
+    differ in at most as many bits as there are shingles that one of them holds alone."""
+    bits = np.bincount((texts.mix(shingles) >> np.uint64(32)).astype(np.int64) % BITS, minlength=BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _keyed(batches, size: int):
     for batch in batches:
-        keys = [_key(s) if len(s) else None for s in _sets(batch.column(1), size)]
+        keys, sketches = [], []
+        for s in _sets(batch.column(1), size):
+            keys.append(_key(s) if len(s) else None)
+            sketches.append(_sketch(s))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.binary()), batch.column(1)], names=["key", "text"]
+            [pa.array(keys, pa.binary()), batch.column(1), pa.array(sketches, pa.list_(pa.int64()))],
+            names=["key", "text", "sketch"],
         )
 
 
@@ -183,24 +202,11 @@ def near_duplicates(
         ),
         "outside",
     )
-    inside = _inside(outside, placed, sets, shingle)
-    outside = outside.join(inside, ["key", "main"], "left")
-    others = placed.join(main.select("token"), "token", "left_semi").selectExpr(
-        "token", "key AS other", "n AS other_n", "s AS other_s", "root AS other_root"
-    )
-    # a pair comes from its first common token only, and only with enough matches
-    carried = postings.groupBy("key").agg(
-        F.collect_list("token").alias("tokens")  # <= COORDINATES
-    ).join(classes.select("key", "sign"), "key")
-    carried_other = carried.selectExpr("key AS other", "tokens AS other_tokens", "sign AS other_sign")
-    most = "least(if(other_root = main, coalesce(inside, 0), s), other_s)"
-    meets = f"100 * {most} >= {similarity} * (n + other_n - {most})"
-    second = outside.join(carried, "key").join(others.join(carried_other, "other"), "token").where(
-        f"root <> other_root AND (other_root = main OR key < other) AND {fits} AND {meets} "
-        "AND array_min(array_intersect(tokens, other_tokens)) = token "
-        f"AND {_matches('sign', 'other_sign')} >= {MATCHES}"
-    )
-    second = second.selectExpr("least(key, other) AS a", "greatest(key, other) AS b")
+    nodes = placed.select("key", "n", "s", "root").distinct()
+    second = _across(outside, nodes, sets, shingle, similarity).join(nodes, "key").join(
+        nodes.selectExpr("key AS other", "n AS other_n", "s AS other_s", "root AS other_root"), "other"
+    ).where(f"root <> other_root AND {fits}")
+    second = _close(second, classes)
     links = links.unionByName(confirm(second))
 
     roots = components(links).withColumnRenamed("node", "key")
@@ -219,24 +225,44 @@ def near_duplicates(
     )
 
 
-def _inside(outside: DataFrame, placed: DataFrame, sets: DataFrame, size: int) -> DataFrame:
-    """(key, main, inside): how many shingles of a set outside any set of the component holds."""
-
-    def exploded(keyed: DataFrame) -> DataFrame:
-        rows = sets.join(keyed, "key").select(F.struct("key", "main").alias("key"), "text")
-        return rows.mapInArrow(
-            partial(_exploded, size=size), "key struct<key: binary, main: binary>, shingle long"
-        ).select("key.*", "shingle")
-
-    wanted = outside.select("key", "main").distinct()
-    mains = wanted.select("main").distinct()
-    members = placed.selectExpr("key", "root AS main").distinct().join(
-        mains.repartition("main"), "main"
+def _across(outside: DataFrame, nodes: DataFrame, sets: DataFrame, size: int, similarity: int) -> DataFrame:
+    """(key, other): sets outside a component, and the members of it and other sets outside that
+    may be similar enough, each with at least one of the set's rarest shingles in common.
+
+    Shingles are counted per component and class of sizes, so that the least intersection is
+    close to that of the pair."""
+    mains = outside.select("main").distinct()
+    members = nodes.withColumnRenamed("root", "main").join(mains.repartition("main"), "main").select(
+        "key", "main", "n", F.lit(False).alias("out")
+    ).unionByName(outside.select("key", "main", "n", F.lit(True).alias("out")).distinct())
+    rows = sets.join(members, "key").select(F.struct("key", "main", "n", "out").alias("key"), "text")
+    held = staged(
+        rows.mapInArrow(
+            partial(_exploded, size=size),
+            "key struct<key: binary, main: binary, n: long, out: boolean>, shingle long",
+        ).selectExpr("key.*", "shingle", f"{_SIZE_CLASS} AS class"),
+        "held",
+    )
+    counts = held.groupBy("main", "shingle", "class").agg(F.count("*").alias("held"))
+    low, high = "floor(exp(class / 100))", "ceil(exp((class + 1) / 100))"
+    # a set outside is among those counted
+    common = held.where("out").withColumnRenamed("class", "own").join(
+        counts.repartition("main", "shingle"), ["main", "shingle"]
+    ).withColumn("held", F.expr("if(class = own, held - 1, held)")).where(
+        f"held > 0 AND 100 * {high} >= {similarity} * n AND 100 * n >= {similarity} * {low}"
+    ).groupBy("key", "main", "n", "class").agg(
+        F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("common")  # of one set
     )
-    held = exploded(members).select("main", "shingle").distinct()
-    return exploded(wanted).join(held.repartition("main", "shingle"), ["main", "shingle"]).groupBy(
-        "key", "main"
-    ).agg(F.count("*").alias("inside"))
+    # the rarest, of which one is in common with a set of this size
+    more = f"size(common) - greatest(ceil({similarity} * n / 100), ceil({similarity} * (n + {{}}) / {100 + similarity}))"
+    rarest = common.withColumn("more", F.expr(f"cast({more.format(low)} AS int)")).where("more >= 0").select(
+        "key", "main", "class", "n", F.size("common").alias("size"),
+        F.posexplode(F.expr("slice(common, 1, more + 1)")).alias("place", "c"),
+    ).select("key", "main", "class", "n", "size", "place", "c.shingle")
+    others = held.selectExpr("main", "class", "shingle", "key AS other", "n AS other_n")
+    return rarest.join(others, ["main", "class", "shingle"]).where(
+        f"key <> other AND place <= {more.replace('size(common)', 'size').format('other_n')}"
+    ).select("key", "other").distinct()
 
 
 def _matches(a: str, b: str) -> str:
@@ -261,12 +287,12 @@ def _postings(classes: DataFrame) -> DataFrame:
 
 
 def _texts(source: DataFrame, postings: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """(key, text) of one document for each posted set."""
+    """(key, text, sketch) of one document for each posted set."""
     posted = postings.select("key").distinct()
     wanted = staged(classes.join(posted, "key", "left_semi").selectExpr("first AS id"), "wanted")
     wanted = small(wanted.distinct())
     found = source.join(wanted, "id", "left_semi").select("id", "text")
-    keyed = found.mapInArrow(partial(_keyed, size=size), "key binary, text string")
+    keyed = found.mapInArrow(partial(_keyed, size=size), "key binary, text string, sketch array<long>")
     return staged(keyed.where("key IS NOT NULL").dropDuplicates(["key"]), "sets")
 
 
@@ -274,15 +300,22 @@ def _close(found: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b) of the candidates (key, other) with enough matches of their whole signatures."""
     pairs = found.selectExpr("least(key, other) AS a", "greatest(key, other) AS b")
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("collisions"))
-    one = classes.selectExpr("key AS a", "sign AS sign_a")
-    two = classes.selectExpr("key AS b", "sign AS sign_b")
+    one = classes.selectExpr("key AS a", "sign AS sign_a", "n AS n_a")
+    two = classes.selectExpr("key AS b", "sign AS sign_b", "n AS n_b")
     return pairs.join(one, "a").join(two, "b").where(
         f"{_matches('sign_a', 'sign_b')} >= {MATCHES}"
-    ).select("a", "b")
+    ).select("a", "b", "n_a", "n_b")
 
 
 def _links(close: DataFrame, sets: DataFrame, size: int, similarity: int) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar enough."""
+    """Those of the pairs (a, b) whose full sets are similar enough. Texts meet only where the
+    sketches do not tell apart the sets by more shingles than that allows."""
+    apart = "aggregate(zip_with(sketch_a, sketch_b, (x, y) -> bit_count(x ^ y)), 0, (x, y) -> x + y)"
+    close = close.join(sets.selectExpr("key AS a", "sketch AS sketch_a"), "a").join(
+        sets.selectExpr("key AS b", "sketch AS sketch_b"), "b"
+    ).withColumn("apart", F.expr(apart)).where(
+        f"100 * (n_a + n_b - apart) >= {similarity} * (n_a + n_b + apart)"
+    ).select("a", "b")
     close = staged(close, "close")
     texts_of = close.join(sets.selectExpr("key AS a", "text AS text_a"), "a").join(
         sets.selectExpr("key AS b", "text AS text_b"), "b"

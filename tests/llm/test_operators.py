@@ -98,6 +98,46 @@ def test_near_duplicates_of_a_large_family(spark):
     found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: r.component_id for r in found.collect()} == dict(enumerate(root))
 
+def test_near_duplicates_of_one_template(spark, monkeypatch):
+    """Texts of one template whose changes coincide: few whose similarity is too small are compared."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    base = rng.choices(vocabulary, k=150)
+    rows = []
+    for i in range(240):
+        w = list(base)
+        for k in rng.sample(range(150), rng.randint(0, 10)):
+            w[k] = rng.choice(vocabulary[:8])
+        rows.append((i, " ".join(w)))
+    sets = [{tuple(w[k : k + 4]) for k in range(147)} for w in (t.split() for _, t in rows)]
+    alike = {(i, j) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if 100 * len(a & b) >= 80 * len(a | b)}
+    root, before = list(range(len(sets))), None
+    while root != before:
+        before = list(root)
+        for i, j in alike:
+            root[i] = root[j] = min(root[i], root[j])
+    compared = []
+
+    def counted(df, name, staged=near_dedup.staged):
+        out = staged(df, name)
+        if name == "close":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "staged", counted)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=4).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(root))
+    assert len(set(root)) > 40 and sum(compared) < 1000
+
+
+def test_sketches_never_tell_more_apart():
+    rng = np.random.Generator(np.random.PCG64(1))
+    for n in (0, 1, 50, 3000, 20_000):
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        b = np.append(a[n // 3 :], rng.integers(0, 1 << 63, n // 4, dtype=np.uint64))
+        apart = np.unpackbits((near_dedup._sketch(a) ^ near_dedup._sketch(b)).view(np.uint8)).sum()
+        assert apart <= n // 3 + n // 4 and (apart > 0) == (n > 2)
+
 
 def test_substrings(docs, none, texts):
     found = {(r.doc_id, r.first_id): (r.begin, r.end) for r in substrings.repeats(docs).collect()}
