@@ -173,6 +173,7 @@ def near_duplicates(
         postings.join(alone, "key", "left").selectExpr("token", "key", "n", "n - coalesce(alone, 0) AS s"),
         "postings",
     )
+    likely = partial(_likely, sets=sets, similarity=similarity)
     confirm = partial(_links, sets=sets, size=shingle, similarity=similarity)
 
     most = "least(s, other_s)"  # no intersection is larger
@@ -184,7 +185,7 @@ def near_duplicates(
         "token", "head.key AS other", "head.n AS other_n", "head.s AS other_s"
     )
     first = postings.join(heads.repartition("token"), "token").where(f"key <> other AND {fits}")
-    links = confirm(_close(first, classes))
+    links = confirm(likely(_close(first, classes)))
 
     roots = components(links).withColumnRenamed("node", "key")
     placed = staged(
@@ -206,8 +207,19 @@ def near_duplicates(
     second = _across(outside, nodes, sets, shingle, similarity).join(nodes, "key").join(
         nodes.selectExpr("key AS other", "n AS other_n", "s AS other_s", "root AS other_root"), "other"
     ).where(f"root <> other_root AND {fits}")
-    second = _close(second, classes)
-    links = links.unionByName(confirm(second))
+    second = staged(likely(_close(second, classes)).join(
+        nodes.selectExpr("key AS a", "root AS root_a"), "a"
+    ).join(nodes.selectExpr("key AS b", "root AS root_b"), "b").selectExpr(
+        "a", "b", "apart", "least(root_a, root_b) AS low", "greatest(root_a, root_b) AS high"
+    ), "second")
+    # of two components the pair that is least apart; where it is no link, all of them
+    best = staged(second.groupBy("low", "high").agg(F.min(F.struct("apart", "a", "b")).alias("pair")).select(
+        "low", "high", "pair.a", "pair.b"
+    ), "best")
+    found = confirm(best)
+    left = best.join(found, ["a", "b"], "left_anti").select("low", "high")
+    rest = second.join(left, ["low", "high"], "left_semi").join(best, ["a", "b"], "left_anti")
+    links = links.unionByName(found).unionByName(confirm(rest))
 
     roots = components(links).withColumnRenamed("node", "key")
     placed = classes.select("key", "first").join(roots, "key", "left").withColumn(
@@ -307,16 +319,20 @@ def _close(found: DataFrame, classes: DataFrame) -> DataFrame:
     ).select("a", "b", "n_a", "n_b")
 
 
-def _links(close: DataFrame, sets: DataFrame, size: int, similarity: int) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar enough. Texts meet only where the
-    sketches do not tell apart the sets by more shingles than that allows."""
+def _likely(close: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """(a, b, apart): the pairs whose sketches do not tell apart the sets by more shingles than
+    the similarity allows."""
     apart = "aggregate(zip_with(sketch_a, sketch_b, (x, y) -> bit_count(x ^ y)), 0, (x, y) -> x + y)"
-    close = close.join(sets.selectExpr("key AS a", "sketch AS sketch_a"), "a").join(
+    return close.join(sets.selectExpr("key AS a", "sketch AS sketch_a"), "a").join(
         sets.selectExpr("key AS b", "sketch AS sketch_b"), "b"
     ).withColumn("apart", F.expr(apart)).where(
         f"100 * (n_a + n_b - apart) >= {similarity} * (n_a + n_b + apart)"
-    ).select("a", "b")
-    close = staged(close, "close")
+    ).select("a", "b", "apart")
+
+
+def _links(close: DataFrame, sets: DataFrame, size: int, similarity: int) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets are similar enough."""
+    close = staged(close.select("a", "b"), "close")
     texts_of = close.join(sets.selectExpr("key AS a", "text AS text_a"), "a").join(
         sets.selectExpr("key AS b", "text AS text_b"), "b"
     )
